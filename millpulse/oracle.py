@@ -180,3 +180,213 @@ ORACLE: dict[str, str] = {
     "m3b_monthly_demand": q([M3], "select * from m3b"),
     "m3_production_performance": q([M3], "select * from m3"),
 }
+
+
+# -- operator-level oracles -------------------------------------------------------
+
+J5 = """
+select f.failure_id, f.machine_id, f.occurred_at, t.recorded_at
+from r_failures f
+join r_telemetry t on t.machine_id = f.machine_id
+  and t.recorded_at >= f.occurred_at - interval 24 hour
+  and t.recorded_at < f.occurred_at
+"""
+
+ORACLE.update(
+    {
+        "j5_interval_join": with_roles(J5, ("r_telemetry", "r_failures")),
+        "j5_interval_join_plain": with_roles(J5, ("r_telemetry", "r_failures")),
+        "w1_rolling": q(
+            [I1, M1],
+            "select machine_id, recording_date, composite_health_score, rolling_7d_health from m1",
+        ),
+        "x1_ns_timestamp": """
+            select event_id, epoch_us(ts) * 1000 + event_id % 1000 as ts_ns,
+              make_timestamp((epoch_us(ts) * 1000 + event_id % 1000) // 1000) as ts_exact
+            from events""",
+        "x6_minutes": """
+            select event_id, date_sub('minute', date_trunc('hour', ts) + interval 30 minute, ts) as minutes
+            from events""",
+        "x7_elapsed": """
+            select event_id,
+              cast(epoch_us(ts) // 1000000 - epoch_us(date_trunc('day', ts)) // 1000000 as double) / 60
+                as elapsed_minutes
+            from events""",
+        "v4_is_delayed": with_roles(
+            "select order_id, is_completed, duration_variance_minutes, is_delayed from r_orders",
+            ("r_orders",),
+        ),
+    }
+)
+
+
+# -- data quality oracles ----------------------------------------------------------
+
+_MODEL_CTE = {
+    "stg_telemetry": "r_telemetry",
+    "stg_failures": "r_failures",
+    "stg_maintenance": "r_maintenance",
+    "stg_orders": "r_orders",
+    "stg_demand": "r_demand",
+    "int_telemetry_enriched": "i1",
+    "mart_machine_health": "m1",
+    "mart_failure_analysis": "m2",
+    "mart_production_performance": "m3",
+}
+
+
+def _check_sql(table: str, column: str, check: str, params: dict) -> str:
+    from millpulse.operators.quality import _params
+
+    src = _MODEL_CTE[table]
+    head = f"'{table}' as \"table\", '{column}' as \"column\", '{check}' as \"check\", '{_params(params)}' as params"
+    if check == "unique":
+        return (
+            f"select {head}, count(*) as violations, count(*) = 0 as passed from "
+            f"(select {column} from {src} where {column} is not null group by {column} having count(*) > 1)"
+        )
+    if check == "not_null":
+        bad = f"{column} is null"
+    elif check == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in params["values"])
+        bad = f"not ({column} in ({vals}))"
+    else:
+        bad = f"not ({column} between {params['min_value']} and {params['max_value']})"
+    v = f"count(*) filter (where {bad})"
+    return f"select {head}, {v} as violations, {v} = 0 as passed from {src}"
+
+
+def _quality_sql(kind: str) -> str:
+    from millpulse.operators.quality import DECLARED_MODEL_TESTS
+
+    parts = [
+        _check_sql(t, c, k, p)
+        for t, checks in DECLARED_MODEL_TESTS.items()
+        for c, k, p in checks
+        if k == kind
+    ]
+    return q([I1, M1, M2, M3], "\nunion all\n".join(parts))
+
+
+def _freshness_sql() -> str:
+    from millpulse.operators.quality import _params
+    from millpulse.plans.registry import FRESHNESS_AS_OF
+
+    params = _params({"error_after_days": 400, "as_of": FRESHNESS_AS_OF})
+    stale = (
+        f"case when coalesce(max(recorded_at) < timestamp '{FRESHNESS_AS_OF}' - interval 400 day, true) "
+        "then 1 else 0 end"
+    )
+    return with_roles(
+        f"""select 'stg_telemetry' as "table", 'recorded_at' as "column", 'freshness' as "check",
+          '{params}' as params, cast({stale} as bigint) as violations, {stale} = 0 as passed
+        from r_telemetry""",
+        ("r_telemetry",),
+    )
+
+
+def _row_count_sql() -> str:
+    from millpulse.operators.quality import EXPECTED_ROWS
+
+    parts = []
+    for name in ("telemetry", "failures", "maintenance", "orders", "demand"):
+        n = EXPECTED_ROWS[name]
+        parts.append(
+            f"""select 'stg_{name}' as "table", '*' as "column", 'row_count' as "check",
+              'expected={n}' as params, abs(count(*) - {n}) as violations,
+              abs(count(*) - {n}) = 0 as passed from r_{name}"""
+        )
+    return with_roles("\nunion all\n".join(parts))
+
+
+ORACLE.update(
+    {
+        "d1_not_null": _quality_sql("not_null"),
+        "d2_unique": _quality_sql("unique"),
+        "d3_accepted_values": _quality_sql("accepted_values"),
+        "d4_accepted_range": _quality_sql("accepted_range"),
+        "d5_freshness": _freshness_sql(),
+        "d6_row_count": _row_count_sql(),
+    }
+)
+
+
+# -- dashboard oracles ---------------------------------------------------------------
+
+
+def _corr(src: str, x: str, y: str) -> str:
+    return (
+        f"select '{x}' as pressure, '{y}' as outcome, "
+        f"{R(f'corr(cast({x} as double), cast({y} as double))', 4)} as correlation, "
+        f"count(*) filter (where {x} is not null and {y} is not null) as pairs from {src}"
+    )
+
+
+ORACLE.update(
+    {
+        "q1_kpi_scorecards": q(
+            [I1, M1, M2, M3],
+            f"""select 'avg_composite_health' as kpi, {R('avg(composite_health_score)', 4)} as value from m1
+            union all select 'total_failures', cast(count(*) as double) from m2
+            union all select 'avg_completion_rate', {R('avg(completion_rate)', 4)} from m3""",
+        ),
+        "q2_health_trend": q(
+            [I1, M1],
+            f"""select recording_date, {R('avg(composite_health_score)', 4)} as avg_composite_health,
+              count(*) as machines from m1 group by recording_date""",
+        ),
+        "q3_tons_vs_forecast": q(
+            [M3],
+            f"""select month_date, {R('sum(total_tons_produced)', 2)} as tons_produced,
+              max(monthly_expected_tons) as expected_tons from m3 group by month_date""",
+        ),
+        "q4_rolling_health": q(
+            [I1, M1],
+            "select machine_id, recording_date, composite_health_score, rolling_7d_health, health_status from m1",
+        ),
+        "q5_status_distribution": q(
+            [I1, M1], "select machine_id, health_status, count(*) as days from m1 group by 1, 2"
+        ),
+        "q6_failure_frequency": q(
+            [I1, M2],
+            """select failure_category, root_cause, count(*) as failures,
+              count(*) filter (where was_predicted) as predicted_failures from m2 group by 1, 2""",
+        ),
+        "q7_pressure_correlation": q(
+            [I1, M1, M3],
+            "\nunion all\n".join(
+                [
+                    _corr("m3", "avg_demand_index", "delay_rate"),
+                    _corr("m3", "avg_rush_factor", "delay_rate"),
+                    _corr("m1", "avg_demand_index", "readings_predicting_failure_24h"),
+                    _corr("m1", "avg_rush_factor", "readings_predicting_failure_24h"),
+                ]
+            ),
+        ),
+        "q8_delay_hotspots": q(
+            [M3],
+            f"""select steel_grade, market, cast(sum(delayed_orders) as bigint) as delayed_orders,
+              cast(sum(completed_orders) as bigint) as completed_orders,
+              {R(SD('sum(delayed_orders)', 'sum(completed_orders)'), 4)} as delay_rate
+            from m3 group by 1, 2""",
+        ),
+        "q9_sliced_failures": q(
+            [I1, M2],
+            """select * from m2 where occurrence_date >= date '1999-01-08'
+              and occurrence_date <= date '1999-01-21' and failure_category in ('bearing', 'lube')""",
+        ),
+        "q10_mart_row_counts": q(
+            [I1, M1, M2, M3],
+            """select 'health' as mart, count(*) as row_count from m1
+            union all select 'failures', count(*) from m2
+            union all select 'production', count(*) from m3""",
+        ),
+        "q11_machines_needing_action": q(
+            [I1, M1],
+            """select machine_id, recording_date as latest_date, composite_health_score,
+              rolling_7d_health, health_status
+            from (select *, row_number() over (partition by machine_id order by recording_date desc) as rn
+                  from m1) where rn = 1""",
+        ),
+    }
+)

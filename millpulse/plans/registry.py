@@ -11,9 +11,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from millpulse.functions import elapsed_minutes, minutes_between, ns_to_timestamp, timestamp_to_ns
+from millpulse.operators import quality
 from millpulse.operators.enrich import enrich
+from millpulse.operators.interval_join import window_join, window_join_plain
+from millpulse.plans import dashboard
 from millpulse.plans.failures import failure_analysis, post_failure_maintenance, pre_failure_state
-from millpulse.plans.health import machine_health
+from millpulse.plans.health import daily_machine_health, machine_health, with_status
 from millpulse.plans.production import monthly_demand, monthly_orders, production_performance
 from millpulse.session import apply_sql_defaults
 from millpulse.sources import roles
@@ -67,6 +73,186 @@ def m3_production_performance(spark, sf_dir):
     return production_performance(roles.orders(spark, sf_dir), roles.demand(spark, sf_dir))
 
 
+def _marts(spark, sf_dir) -> dict[str, DataFrame]:
+    r = _roles(spark, sf_dir)
+    e = _enriched(r)
+    return {
+        "health": machine_health(e),
+        "failures": failure_analysis(r["failures"], e, r["maintenance"]),
+        "production": production_performance(r["orders"], r["demand"]),
+    }
+
+
+# -- operator-level queries ---------------------------------------------------
+
+
+def j5_interval_join(spark, sf_dir):
+    """Day-bucketed J5: (failure, reading) pairs in the 24 h before the failure."""
+    r = _roles(spark, sf_dir)
+    anchors = r["failures"].select("failure_id", "machine_id", "occurred_at")
+    points = r["telemetry"].select("machine_id", "recorded_at", "recording_date")
+    return window_join(
+        anchors, points, ["machine_id"], "occurred_at", "recorded_at", "recording_date", 24
+    ).select("failure_id", "machine_id", "occurred_at", "recorded_at")
+
+
+def j5_interval_join_plain(spark, sf_dir):
+    """Plain J5 (equi-join on machine plus range filter), the bucketed form's reference."""
+    r = _roles(spark, sf_dir)
+    anchors = r["failures"].select("failure_id", "machine_id", "occurred_at")
+    points = r["telemetry"].select("machine_id", "recorded_at")
+    return window_join_plain(
+        anchors, points, ["machine_id"], "occurred_at", "recorded_at", 24
+    ).select("failure_id", "machine_id", "occurred_at", "recorded_at")
+
+
+def w1_rolling(spark, sf_dir):
+    daily = daily_machine_health(_enriched(_roles(spark, sf_dir)))
+    return with_status(daily).select(
+        "machine_id", "recording_date", "composite_health_score", "rolling_7d_health"
+    )
+
+
+def x1_ns_timestamp(spark, sf_dir):
+    """Epoch-ns INT64 -> TIMESTAMP, exact; sub-microsecond digits vary per row."""
+    apply_sql_defaults(spark)
+    e = roles.read_table(spark, sf_dir, "events")
+    ns = e.select("event_id", (timestamp_to_ns("ts") + F.col("event_id") % 1000).alias("ts_ns"))
+    return ns.select("event_id", "ts_ns", ns_to_timestamp("ts_ns").cast("timestamp_ntz").alias("ts_exact"))
+
+
+def x6_minutes(spark, sf_dir):
+    """Whole minutes between a reading and the half hour of its hour (either sign)."""
+    apply_sql_defaults(spark)
+    e = roles.read_table(spark, sf_dir, "events")
+    anchor = F.date_trunc("hour", "ts") + F.expr("INTERVAL 30 MINUTES")
+    return e.select("event_id", minutes_between(F.col("ts"), anchor).alias("minutes"))
+
+
+def x7_elapsed(spark, sf_dir):
+    """Elapsed minutes (whole seconds / 60, double) since the start of the day."""
+    apply_sql_defaults(spark)
+    e = roles.read_table(spark, sf_dir, "events")
+    return e.select(
+        "event_id", elapsed_minutes(F.col("ts"), F.date_trunc("day", "ts")).alias("elapsed_minutes")
+    )
+
+
+def v4_is_delayed(spark, sf_dir):
+    o = _roles(spark, sf_dir)["orders"]
+    return o.select("order_id", "is_completed", "duration_variance_minutes", "is_delayed")
+
+
+# -- data quality ---------------------------------------------------------------
+
+
+def _model_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    r = _roles(spark, sf_dir)
+    e = _enriched(r)
+    return {
+        "stg_telemetry": r["telemetry"],
+        "stg_failures": r["failures"],
+        "stg_maintenance": r["maintenance"],
+        "stg_orders": r["orders"],
+        "stg_demand": r["demand"],
+        "int_telemetry_enriched": e,
+        "mart_machine_health": machine_health(e),
+        "mart_failure_analysis": failure_analysis(r["failures"], e, r["maintenance"]),
+        "mart_production_performance": production_performance(r["orders"], r["demand"]),
+    }
+
+
+def _declared(kind: str) -> dict:
+    return {
+        t: [c for c in checks if c[1] == kind]
+        for t, checks in quality.DECLARED_MODEL_TESTS.items()
+        if any(c[1] == kind for c in checks)
+    }
+
+
+def _quality_query(kind: str):
+    def run(spark, sf_dir):
+        tables = _model_tables(spark, sf_dir)
+        return quality.run_declared(tables, _declared(kind))
+
+    run.__name__ = f"d_{kind}"
+    return run
+
+
+def d5_freshness(spark, sf_dir):
+    t = _roles(spark, sf_dir)["telemetry"]
+    return quality.freshness_check(t, "stg_telemetry", "recorded_at", FRESHNESS_AS_OF, 400)
+
+
+def d6_row_count(spark, sf_dir):
+    r = _roles(spark, sf_dir)
+    parts = [
+        quality.row_count_check(r[name], f"stg_{name}", quality.EXPECTED_ROWS[name])
+        for name in ("telemetry", "failures", "maintenance", "orders", "demand")
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+FRESHNESS_AS_OF = "2000-01-01 00:00:00"
+
+
+# -- dashboard --------------------------------------------------------------------
+
+
+def q1_kpi_scorecards(spark, sf_dir):
+    m = _marts(spark, sf_dir)
+    return dashboard.kpi_scorecards(m["health"], m["failures"], m["production"])
+
+
+def q2_health_trend(spark, sf_dir):
+    return dashboard.health_trend(_marts(spark, sf_dir)["health"])
+
+
+def q3_tons_vs_forecast(spark, sf_dir):
+    return dashboard.tons_vs_forecast(_marts(spark, sf_dir)["production"])
+
+
+def q4_rolling_health(spark, sf_dir):
+    return dashboard.rolling_health(_marts(spark, sf_dir)["health"])
+
+
+def q5_status_distribution(spark, sf_dir):
+    return dashboard.status_distribution(_marts(spark, sf_dir)["health"])
+
+
+def q6_failure_frequency(spark, sf_dir):
+    return dashboard.failure_frequency(_marts(spark, sf_dir)["failures"])
+
+
+def q7_pressure_correlation(spark, sf_dir):
+    m = _marts(spark, sf_dir)
+    return dashboard.pressure_correlation(m["health"], m["production"])
+
+
+def q8_delay_hotspots(spark, sf_dir):
+    return dashboard.delay_hotspots(_marts(spark, sf_dir)["production"])
+
+
+# Slicer values of the q9 example (a dashboard filter is the feature here).
+Q9_SLICE = {"start": "1999-01-08", "end": "1999-01-21", "failure_category": ["bearing", "lube"]}
+
+
+def q9_sliced_failures(spark, sf_dir):
+    f = _marts(spark, sf_dir)["failures"]
+    return dashboard.slice_mart(f, "occurrence_date", **Q9_SLICE)
+
+
+def q10_mart_row_counts(spark, sf_dir):
+    return dashboard.mart_row_counts(_marts(spark, sf_dir))
+
+
+def q11_machines_needing_action(spark, sf_dir):
+    return dashboard.machines_needing_action(_marts(spark, sf_dir)["health"])
+
+
 QUERIES: dict[str, Query] = {
     "i1_enriched": i1_enriched,
     "m1_machine_health": m1_machine_health,
@@ -76,4 +262,28 @@ QUERIES: dict[str, Query] = {
     "m3a_monthly_orders": m3a_monthly_orders,
     "m3b_monthly_demand": m3b_monthly_demand,
     "m3_production_performance": m3_production_performance,
+    "j5_interval_join": j5_interval_join,
+    "j5_interval_join_plain": j5_interval_join_plain,
+    "w1_rolling": w1_rolling,
+    "x1_ns_timestamp": x1_ns_timestamp,
+    "x6_minutes": x6_minutes,
+    "x7_elapsed": x7_elapsed,
+    "v4_is_delayed": v4_is_delayed,
+    "d1_not_null": _quality_query("not_null"),
+    "d2_unique": _quality_query("unique"),
+    "d3_accepted_values": _quality_query("accepted_values"),
+    "d4_accepted_range": _quality_query("accepted_range"),
+    "d5_freshness": d5_freshness,
+    "d6_row_count": d6_row_count,
+    "q1_kpi_scorecards": q1_kpi_scorecards,
+    "q2_health_trend": q2_health_trend,
+    "q3_tons_vs_forecast": q3_tons_vs_forecast,
+    "q4_rolling_health": q4_rolling_health,
+    "q5_status_distribution": q5_status_distribution,
+    "q6_failure_frequency": q6_failure_frequency,
+    "q7_pressure_correlation": q7_pressure_correlation,
+    "q8_delay_hotspots": q8_delay_hotspots,
+    "q9_sliced_failures": q9_sliced_failures,
+    "q10_mart_row_counts": q10_mart_row_counts,
+    "q11_machines_needing_action": q11_machines_needing_action,
 }
