@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millpulse.operators.joins import DEFAULT_BROADCAST_BYTES, fits_broadcast
+from millpulse.operators.joins import DEFAULT_BROADCAST_BYTES, broadcastable
 
 _DAY = "__window_day"
 
@@ -81,10 +81,12 @@ def window_join(
         F.col(point_ts) >= F.col(anchor_ts) - lb,
         F.col(point_ts) < F.col(anchor_ts),
     ]
-    if max_broadcast_bytes is not None and fits_broadcast(a, max_broadcast_bytes):
+    if max_broadcast_bytes is None:
+        return p.join(a, cond, "inner").drop(*names.values(), _DAY)
+    buckets = a.select(*[F.col(k).alias(names[k]) for k in on], F.col(_DAY).alias(point_day)).distinct()
+    anchors_fit, buckets_fit = broadcastable([a, buckets], max_broadcast_bytes)
+    if anchors_fit:
         return p.join(F.broadcast(a), cond, "inner").drop(*names.values(), _DAY)
-    if max_broadcast_bytes is not None:
-        buckets = a.select(*[F.col(k).alias(names[k]) for k in on], F.col(_DAY).alias(point_day)).distinct()
-        if fits_broadcast(buckets, max_broadcast_bytes):
-            p = p.join(F.broadcast(buckets), [*names.values(), point_day], "left_semi")
+    if buckets_fit:
+        p = p.join(F.broadcast(buckets), [*names.values(), point_day], "left_semi")
     return p.join(a, cond, "inner").drop(*names.values(), _DAY)

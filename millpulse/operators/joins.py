@@ -15,6 +15,8 @@ table onto a large one (the enrichment joins J1-J4 and the mart joins J6-J8).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,10 +40,29 @@ def row_width(df: DataFrame) -> int:
     return 16 + 8 * len(df.schema.fields) // 8 + cols
 
 
+def max_broadcast_rows(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
+    return max(1, max_bytes // row_width(df))
+
+
+def broadcastable(dfs: list[DataFrame], max_bytes: int = DEFAULT_BROADCAST_BYTES) -> list[bool]:
+    """For each DataFrame: does it have at most ``max_bytes / row_width`` rows?
+
+    One job for all of them: each input contributes at most its bound + 1
+    rows (``limit``), no columns are read beyond what the plan needs to
+    produce rows, and a single global aggregate counts them.
+    """
+    if not dfs:
+        return []
+    bounds = [max_broadcast_rows(df, max_bytes) for df in dfs]
+    probes = [df.limit(n + 1).select(F.lit(i).alias("i")) for i, (df, n) in enumerate(zip(dfs, bounds))]
+    union = reduce(DataFrame.unionAll, probes)
+    row = union.agg(*[F.count_if(F.col("i") == i).alias(f"n{i}") for i in range(len(dfs))]).first()
+    return [row[f"n{i}"] <= n for i, n in enumerate(bounds)]
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     """True when ``df`` has at most ``max_bytes / row_width`` rows (bounded count)."""
-    max_rows = max(1, max_bytes // row_width(df))
-    return df.limit(max_rows + 1).count() <= max_rows
+    return broadcastable([df], max_bytes)[0]
 
 
 def lookup_join(
@@ -53,15 +74,19 @@ def lookup_join(
     max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
     spread_by: list[str] | None = None,
     null_spread: int = DEFAULT_NULL_SPREAD,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """LEFT JOIN ``dim`` ON fact_key = dim_key; the dim key column is dropped.
 
     Fan-out is kept as in SQL: a dim key present twice doubles the fact row.
-    ``max_broadcast_bytes=None`` skips the size check and never hints.
+    ``max_broadcast_bytes=None`` skips the size check and never hints;
+    ``broadcast`` passes the result of a check already made (``broadcastable``).
     """
     rk = f"__rk_{dim_key}"
     d = dim.where(F.col(dim_key).isNotNull()).withColumnRenamed(dim_key, rk)
-    if max_broadcast_bytes is not None and fits_broadcast(d, max_broadcast_bytes):
+    if broadcast is None:
+        broadcast = max_broadcast_bytes is not None and fits_broadcast(d, max_broadcast_bytes)
+    if broadcast:
         out = fact.join(F.broadcast(d), F.col(fact_key) == F.col(rk), "left")
         return out.drop(rk)
     if spread_by:

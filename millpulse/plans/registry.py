@@ -73,14 +73,38 @@ def m3_production_performance(spark, sf_dir):
     return production_performance(roles.orders(spark, sf_dir), roles.demand(spark, sf_dir))
 
 
-def _marts(spark, sf_dir) -> dict[str, DataFrame]:
-    r = _roles(spark, sf_dir)
-    e = _enriched(r)
-    return {
-        "health": machine_health(e),
-        "failures": failure_analysis(r["failures"], e, r["maintenance"]),
-        "production": production_performance(r["orders"], r["demand"]),
-    }
+class _Marts:
+    """The three marts over the role views, each built on first use."""
+
+    def __init__(self, spark, sf_dir):
+        self.r = _roles(spark, sf_dir)
+        self._e = None
+        self._built: dict[str, DataFrame] = {}
+
+    def _enriched(self) -> DataFrame:
+        if self._e is None:
+            self._e = _enriched(self.r)
+        return self._e
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            r = self.r
+            if name == "health":
+                self._built[name] = machine_health(self._enriched())
+            elif name == "failures":
+                self._built[name] = failure_analysis(r["failures"], self._enriched(), r["maintenance"])
+            elif name == "production":
+                self._built[name] = production_performance(r["orders"], r["demand"])
+            else:
+                raise KeyError(name)
+        return self._built[name]
+
+    def all(self) -> dict[str, DataFrame]:
+        return {k: self[k] for k in ("health", "failures", "production")}
+
+
+def _marts(spark, sf_dir) -> _Marts:
+    return _Marts(spark, sf_dir)
 
 
 # -- operator-level queries ---------------------------------------------------
@@ -246,7 +270,7 @@ def q9_sliced_failures(spark, sf_dir):
 
 
 def q10_mart_row_counts(spark, sf_dir):
-    return dashboard.mart_row_counts(_marts(spark, sf_dir))
+    return dashboard.mart_row_counts(_marts(spark, sf_dir).all())
 
 
 def q11_machines_needing_action(spark, sf_dir):

@@ -5,7 +5,7 @@ generic tables (``events``, ``orders``, ``lineitem``) are mapped onto the five
 staged shapes.  Each function reads the whole table and derives columns with
 built-in expressions, so the work grows with the table.  The DuckDB text of
 the same views lives in ``millpulse.sources.roles_sql`` and is the oracle's
-input; ``tests/test_roles.py`` checks both give the same rows.
+input; ``tests/test_roles.py`` checks that both give the same rows.
 
 Mapping (events are shifted back 25 years so they overlap orders' dates):
 
@@ -18,7 +18,7 @@ Mapping (events are shifted back 25 years so they overlap orders' dates):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = [
@@ -31,160 +31,155 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _shifted(col: str) -> Column:
-    return F.col(col) - F.expr("INTERVAL 25 YEARS")
+# Spark SQL expressions of each role view (one ``selectExpr`` call per view
+# keeps the Python-JVM round trips to a handful).
+_REC = "ts - INTERVAL 25 YEARS"
+_CATEGORY = "CASE event_id % 3 WHEN 0 THEN 'bearing' WHEN 1 THEN 'lube' ELSE 'motor' END"
+
+TELEMETRY_EXPRS = [
+    f"{_REC} AS recorded_at",
+    f"CAST({_REC} AS DATE) AS recording_date",
+    "concat('Mill_', CAST(user_id AS STRING)) AS machine_id",
+    "event_id % 3 AS shift_id",
+    "event_type AS status",
+    "event_type <> 'error' AS is_running",
+    f"dayofweek(CAST({_REC} AS DATE)) IN (1, 7) AS is_weekend",  # 1 = Sunday, 7 = Saturday
+    "CASE WHEN event_type = 'view' THEN NULL ELSE event_id END AS active_order_id",
+    "concat('G', CAST(event_id % 4 AS STRING)) AS steel_grade_active",
+    "CASE WHEN event_type = 'click' THEN event_id * 2 END AS active_maintenance_id",
+    "CASE WHEN event_type = 'click' THEN concat('type_', CAST(event_id % 4 AS STRING)) END AS active_maintenance_type",
+    "event_id - event_id % 7 AS last_failure_id",
+    "CAST(event_id % 37 AS DOUBLE) / 37 AS demand_index",
+    "CAST(event_id % 13 AS DOUBLE) / 13 AS rush_factor",
+    "CAST(event_id % 11 AS DOUBLE) / 11 AS maintenance_deferral",
+    "CAST(event_id % 50 AS DOUBLE) / 50 AS load_index",
+    "value / 2 + 40 AS bearing_temp_c",
+    "value / 100 AS vibration_rms",
+    "value * 10 AS motor_torque_nm",
+    "1 - least(value, 500) / 500 AS bearing_health",
+    "1 - least(value, 250) / 250 AS lube_health",
+    "1 - CAST(event_id % 100 AS DOUBLE) / 200 AS align_health",
+    "CASE WHEN event_type = 'error' THEN CAST(0.25 AS DOUBLE) ELSE CAST(0.75 AS DOUBLE) END AS motor_health",
+    "CAST(event_id AS DOUBLE) / 6 AS cumulative_op_hours",
+    "CAST(event_id % 500 AS DOUBLE) / 6 AS op_hours_since_lube",
+    "CAST(event_id % 700 AS DOUBLE) / 6 AS op_hours_since_calib",
+    "CAST(event_id % 900 AS DOUBLE) / 6 AS op_hours_since_bearing",
+    "CAST(event_id % 1100 AS DOUBLE) / 6 AS op_hours_since_major",
+    "value > 120 AS is_anomaly",
+    "value > 60 AS failure_predicted_24h",
+    "value > 30 AS failure_predicted_72h",
+    f"CASE WHEN value > 30 THEN {_CATEGORY} END AS predicted_failure_type",
+]
 
+FAILURES_EXPRS = [
+    "event_id AS failure_id",
+    "concat('Mill_', CAST(user_id AS STRING)) AS machine_id",
+    f"{_REC} AS occurred_at",
+    f"CAST({_REC} AS DATE) AS occurrence_date",
+    f"{_CATEGORY} AS failure_category",
+    "CASE event_id % 4 WHEN 0 THEN 'wear' WHEN 1 THEN 'overload' ELSE 'misalignment' END AS root_cause",
+    "event_id % 5 + 1 AS severity_level",
+    "concat('G', CAST(event_id % 4 AS STRING)) AS steel_grade_active",
+    f"dayofweek(CAST({_REC} AS DATE)) IN (1, 7) AS is_weekend",
+    "value / 100 AS load_index_at_failure",
+    "value / 2 + 40 AS bearing_temp_c_at_failure",
+    "value / 100 AS vibration_rms_at_failure",
+    "value * 10 AS motor_torque_nm_at_failure",
+    "1 - least(value, 500) / 500 AS bearing_health_at_failure",
+    "1 - least(value, 250) / 250 AS lube_health_at_failure",
+    "1 - CAST(event_id % 100 AS DOUBLE) / 200 AS align_health_at_failure",
+    "CAST(0.25 AS DOUBLE) AS motor_health_at_failure",
+    "CAST(event_id % 37 AS DOUBLE) / 37 AS demand_index",
+    "CAST(event_id % 13 AS DOUBLE) / 13 AS rush_factor",
+    "CAST(event_id % 11 AS DOUBLE) / 11 AS maintenance_deferral",
+]
 
-def _machine(col: str) -> Column:
-    return F.concat(F.lit("Mill_"), F.col(col).cast("string"))
+MAINTENANCE_EXPRS = [
+    "o_orderkey AS maintenance_id",
+    "concat('Mill_', CAST(o_custkey % 5 AS STRING)) AS machine_id",
+    "o_orderdate AS started_at",
+    "CAST(o_orderdate AS DATE) AS maintenance_date",
+    "o_orderpriority AS maint_type",
+    "o_orderpriority = '5-LOW' AS is_planned",
+    "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS linked_failure_id",
+    "CAST(floor(o_totalprice / 1000) AS BIGINT) AS duration_minutes",
+]
 
+_VARIANCE = "CASE WHEN o_orderstatus = 'F' THEN o_custkey % 300 - o_orderkey % 300 END"
+
+ORDERS_EXPRS = [
+    "o_orderkey AS order_id",
+    "CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE concat('Mill_', CAST(o_custkey % 5 AS STRING)) END AS machine_id",
+    "o_orderpriority AS market",
+    "concat('G', CAST(o_orderkey % 4 AS STRING)) AS steel_grade",
+    "o_totalprice / 10000 AS total_weight_tons",
+    "o_orderstatus = 'F' AS is_completed",
+    "o_orderdate AS planned_at",
+    "CAST(o_orderdate AS DATE) AS planned_date",
+    f"CAST({_VARIANCE} AS DOUBLE) AS duration_variance_minutes",
+    f"{_VARIANCE} AS __variance",
+    "CAST(o_orderkey % 37 AS DOUBLE) / 37 AS demand_index_at_intake",
+    "CAST(o_orderkey % 13 AS DOUBLE) / 13 AS rush_factor_at_intake",
+]
 
-def _weekend(date_col: Column) -> Column:
-    # dayofweek: 1 = Sunday ... 7 = Saturday
-    return F.dayofweek(date_col).isin(1, 7)
 
+def _telemetry(events: DataFrame) -> DataFrame:
+    return events.selectExpr(*TELEMETRY_EXPRS)
 
-def _category(id_col: str) -> Column:
-    k = F.col(id_col) % 3
-    return F.when(k == 0, "bearing").when(k == 1, "lube").otherwise("motor")
 
+def _failures(events: DataFrame) -> DataFrame:
+    return events.where("event_type = 'error'").selectExpr(*FAILURES_EXPRS)
 
-def _ratio(id_col: str, modulus: int, divisor: int) -> Column:
-    return (F.col(id_col) % modulus).cast("double") / F.lit(divisor)
 
+def _maintenance(orders_table: DataFrame) -> DataFrame:
+    return orders_table.selectExpr(*MAINTENANCE_EXPRS)
 
-def _health(value: Column, cap: int) -> Column:
-    return F.lit(1) - F.least(value, F.lit(cap)) / F.lit(cap)
 
+def _orders(orders_table: DataFrame) -> DataFrame:
+    from millpulse.operators.staging import is_delayed
 
-def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
-    v = F.col("value")
-    rec = _shifted("ts")
-    return e.select(
-        rec.alias("recorded_at"),
-        rec.cast("date").alias("recording_date"),
-        _machine("user_id").alias("machine_id"),
-        (F.col("event_id") % 3).alias("shift_id"),
-        F.col("event_type").alias("status"),
-        (F.col("event_type") != "error").alias("is_running"),
-        _weekend(rec.cast("date")).alias("is_weekend"),
-        F.when(F.col("event_type") == "view", F.lit(None))
-        .otherwise(F.col("event_id"))
-        .alias("active_order_id"),
-        F.concat(F.lit("G"), (F.col("event_id") % 4).cast("string")).alias("steel_grade_active"),
-        F.when(F.col("event_type") == "click", F.col("event_id") * 2).alias("active_maintenance_id"),
-        F.when(
-            F.col("event_type") == "click",
-            F.concat(F.lit("type_"), (F.col("event_id") % 4).cast("string")),
-        ).alias("active_maintenance_type"),
-        (F.col("event_id") - F.col("event_id") % 7).alias("last_failure_id"),
-        _ratio("event_id", 37, 37).alias("demand_index"),
-        _ratio("event_id", 13, 13).alias("rush_factor"),
-        _ratio("event_id", 11, 11).alias("maintenance_deferral"),
-        _ratio("event_id", 50, 50).alias("load_index"),
-        (v / 2 + 40).alias("bearing_temp_c"),
-        (v / 100).alias("vibration_rms"),
-        (v * 10).alias("motor_torque_nm"),
-        _health(v, 500).alias("bearing_health"),
-        _health(v, 250).alias("lube_health"),
-        (F.lit(1) - _ratio("event_id", 100, 200)).alias("align_health"),
-        F.when(F.col("event_type") == "error", F.lit(0.25)).otherwise(F.lit(0.75)).alias("motor_health"),
-        (F.col("event_id").cast("double") / 6).alias("cumulative_op_hours"),
-        _ratio("event_id", 500, 6).alias("op_hours_since_lube"),
-        _ratio("event_id", 700, 6).alias("op_hours_since_calib"),
-        _ratio("event_id", 900, 6).alias("op_hours_since_bearing"),
-        _ratio("event_id", 1100, 6).alias("op_hours_since_major"),
-        (v > 120).alias("is_anomaly"),
-        (v > 60).alias("failure_predicted_24h"),
-        (v > 30).alias("failure_predicted_72h"),
-        F.when(v > 30, _category("event_id")).alias("predicted_failure_type"),
+    cols = [e.rsplit(" AS ", 1)[1] for e in ORDERS_EXPRS if not e.endswith("__variance")]
+    o = orders_table.selectExpr(*ORDERS_EXPRS)
+    with_flag = o.withColumn("is_delayed", is_delayed("__variance"))
+    order = cols[:9] + ["is_delayed"] + cols[9:]
+    return with_flag.select(*order)
+
+
+def _demand(lineitem: DataFrame) -> DataFrame:
+    return lineitem.groupBy(F.col("l_shipdate").cast("date").alias("demand_date")).agg(
+        F.sum("l_quantity").alias("expected_total_tons"),
+        (F.count(F.lit(1)).cast("double") / 24).alias("trend_index"),
+        (F.min("l_linenumber").cast("double") / 7).alias("seasonal_index"),
     )
 
 
+def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _telemetry(read_table(spark, sf_dir, "events"))
+
+
 def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events").where(F.col("event_type") == "error")
-    v = F.col("value")
-    occ = _shifted("ts")
-    cause = F.col("event_id") % 4
-    return e.select(
-        F.col("event_id").alias("failure_id"),
-        _machine("user_id").alias("machine_id"),
-        occ.alias("occurred_at"),
-        occ.cast("date").alias("occurrence_date"),
-        _category("event_id").alias("failure_category"),
-        F.when(cause == 0, "wear").when(cause == 1, "overload").otherwise("misalignment").alias("root_cause"),
-        (F.col("event_id") % 5 + 1).alias("severity_level"),
-        F.concat(F.lit("G"), (F.col("event_id") % 4).cast("string")).alias("steel_grade_active"),
-        _weekend(occ.cast("date")).alias("is_weekend"),
-        (v / 100).alias("load_index_at_failure"),
-        (v / 2 + 40).alias("bearing_temp_c_at_failure"),
-        (v / 100).alias("vibration_rms_at_failure"),
-        (v * 10).alias("motor_torque_nm_at_failure"),
-        _health(v, 500).alias("bearing_health_at_failure"),
-        _health(v, 250).alias("lube_health_at_failure"),
-        (F.lit(1) - _ratio("event_id", 100, 200)).alias("align_health_at_failure"),
-        F.lit(0.25).alias("motor_health_at_failure"),
-        _ratio("event_id", 37, 37).alias("demand_index"),
-        _ratio("event_id", 13, 13).alias("rush_factor"),
-        _ratio("event_id", 11, 11).alias("maintenance_deferral"),
-    )
+    return _failures(read_table(spark, sf_dir, "events"))
 
 
 def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    return o.select(
-        F.col("o_orderkey").alias("maintenance_id"),
-        F.concat(F.lit("Mill_"), (F.col("o_custkey") % 5).cast("string")).alias("machine_id"),
-        F.col("o_orderdate").alias("started_at"),
-        F.col("o_orderdate").cast("date").alias("maintenance_date"),
-        F.col("o_orderpriority").alias("maint_type"),
-        (F.col("o_orderpriority") == "5-LOW").alias("is_planned"),
-        F.when(F.col("o_orderstatus") == "P", F.lit(None))
-        .otherwise(F.col("o_custkey"))
-        .alias("linked_failure_id"),
-        F.floor(F.col("o_totalprice") / 1000).cast("bigint").alias("duration_minutes"),
-    )
+    return _maintenance(read_table(spark, sf_dir, "orders"))
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millpulse.operators.staging import is_delayed
-
-    o = read_table(spark, sf_dir, "orders")
-    done = F.col("o_orderstatus") == "F"
-    variance = F.when(done, F.col("o_custkey") % 300 - F.col("o_orderkey") % 300)
-    return o.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.when(F.col("o_orderkey") % 10 == 0, F.lit(None))
-        .otherwise(F.concat(F.lit("Mill_"), (F.col("o_custkey") % 5).cast("string")))
-        .alias("machine_id"),
-        F.col("o_orderpriority").alias("market"),
-        F.concat(F.lit("G"), (F.col("o_orderkey") % 4).cast("string")).alias("steel_grade"),
-        (F.col("o_totalprice") / 10000).alias("total_weight_tons"),
-        done.alias("is_completed"),
-        F.col("o_orderdate").alias("planned_at"),
-        F.col("o_orderdate").cast("date").alias("planned_date"),
-        variance.cast("double").alias("duration_variance_minutes"),
-        is_delayed(variance).alias("is_delayed"),
-        _ratio("o_orderkey", 37, 37).alias("demand_index_at_intake"),
-        _ratio("o_orderkey", 13, 13).alias("rush_factor_at_intake"),
-    )
+    return _orders(read_table(spark, sf_dir, "orders"))
 
 
 def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    return li.groupBy(F.col("l_shipdate").cast("date").alias("demand_date")).agg(
-        F.sum("l_quantity").alias("expected_total_tons"),
-        (F.count(F.lit(1)).cast("double") / 24).alias("trend_index"),
-        (F.min("l_linenumber").cast("double") / 7).alias("seasonal_index"),
-    )
+    return _demand(read_table(spark, sf_dir, "lineitem"))
 
 
 def all_roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    events = read_table(spark, sf_dir, "events")
+    orders_table = read_table(spark, sf_dir, "orders")
     return {
-        "telemetry": telemetry(spark, sf_dir),
-        "failures": failures(spark, sf_dir),
-        "maintenance": maintenance(spark, sf_dir),
-        "orders": orders(spark, sf_dir),
-        "demand": demand(spark, sf_dir),
+        "telemetry": _telemetry(events),
+        "failures": _failures(events),
+        "maintenance": _maintenance(orders_table),
+        "orders": _orders(orders_table),
+        "demand": _demand(read_table(spark, sf_dir, "lineitem")),
     }
