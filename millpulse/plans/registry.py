@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 
 from millpulse.functions import elapsed_minutes, minutes_between, ns_to_timestamp, timestamp_to_ns
 from millpulse.operators import quality
+from millpulse.operators.clean import CLEANERS
 from millpulse.operators.enrich import enrich
+from millpulse.operators.staging import STAGERS
 from millpulse.operators.interval_join import window_join, window_join_plain
 from millpulse.plans import dashboard
 from millpulse.plans.failures import failure_analysis, post_failure_maintenance, pre_failure_state
 from millpulse.plans.health import daily_machine_health, machine_health, with_status
 from millpulse.plans.production import monthly_demand, monthly_orders, production_performance
 from millpulse.session import apply_sql_defaults
-from millpulse.sources import roles
+from millpulse.sources import raw_roles, roles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -167,6 +169,40 @@ def v4_is_delayed(spark, sf_dir):
     return o.select("order_id", "is_completed", "duration_variance_minutes", "is_delayed")
 
 
+# -- raw path: declared-schema raw tables -> clean (T1-T5) -> stage (V1-V5) -----
+
+# Batch year for the range check; None where the test table spans several years.
+RAW_BATCH_YEAR = {"telemetry": 1999, "failures": 1999, "maintenance": None, "orders": None, "demand": None}
+
+
+def _ntz(df: DataFrame) -> DataFrame:
+    """Session-zone TIMESTAMP columns as TIMESTAMP_NTZ (UTC wall clock) for comparison."""
+    return df.select(
+        [
+            F.col(f.name).cast("timestamp_ntz").alias(f.name) if f.dataType.simpleString() == "timestamp" else f.name
+            for f in df.schema.fields
+        ]
+    )
+
+
+def _clean_query(name: str):
+    def run(spark, sf_dir):
+        apply_sql_defaults(spark)
+        raw = raw_roles.RAW_ROLES[name](spark, sf_dir)
+        return _ntz(CLEANERS[name](raw, RAW_BATCH_YEAR[name]).drop("loaded_at"))
+
+    return run
+
+
+def _stage_query(name: str):
+    def run(spark, sf_dir):
+        apply_sql_defaults(spark)
+        raw = raw_roles.RAW_ROLES[name](spark, sf_dir)
+        return _ntz(STAGERS[name](CLEANERS[name](raw, RAW_BATCH_YEAR[name])).drop("loaded_at"))
+
+    return run
+
+
 # -- data quality ---------------------------------------------------------------
 
 
@@ -293,6 +329,16 @@ QUERIES: dict[str, Query] = {
     "x6_minutes": x6_minutes,
     "x7_elapsed": x7_elapsed,
     "v4_is_delayed": v4_is_delayed,
+    "t1_clean_telemetry": _clean_query("telemetry"),
+    "t2_clean_failures": _clean_query("failures"),
+    "t3_clean_maintenance": _clean_query("maintenance"),
+    "t4_clean_orders": _clean_query("orders"),
+    "t5_clean_demand": _clean_query("demand"),
+    "v1_stg_telemetry": _stage_query("telemetry"),
+    "v2_stg_failures": _stage_query("failures"),
+    "v3_stg_maintenance": _stage_query("maintenance"),
+    "v4_stg_orders": _stage_query("orders"),
+    "v5_stg_demand": _stage_query("demand"),
     "d1_not_null": _quality_query("not_null"),
     "d2_unique": _quality_query("unique"),
     "d3_accepted_values": _quality_query("accepted_values"),

@@ -10,7 +10,18 @@ pipeline (it infers them); they are declared here as assumed.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+_TYPES = {"BIGINT": LongType(), "STRING": StringType(), "DOUBLE": DoubleType(),
+          "BOOLEAN": BooleanType(), "DATE": DateType()}
 
 TELEMETRY_DDL = """
 timestamp BIGINT NOT NULL, machine_id STRING NOT NULL, shift_id BIGINT, demand_index DOUBLE,
@@ -76,4 +87,9 @@ KEYS = {
 
 
 def schema(name: str) -> StructType:
-    return StructType.fromDDL(" ".join(DDL[name].split()))
+    """StructType of a declared table (built without a running session)."""
+    fields = []
+    for item in " ".join(DDL[name].split()).split(","):
+        col, typ, *rest = item.split()
+        fields.append(StructField(col, _TYPES[typ], nullable=not rest))
+    return StructType(fields)
