@@ -7,9 +7,11 @@ table onto a large one (the enrichment joins J1-J4 and the mart joins J6-J8).
   (``limit(n + 1).count()`` reads at most n + 1 rows per partition; the byte
   bound is rows times the schema's default row width).
 * Otherwise the join shuffles.  Fact rows whose key is NULL can never match,
-  but hash partitioning would send all of them to one reducer; they get a
-  deterministic spread value instead, so the NULL group is split over
-  ``null_spread`` partitions.  Hot non-NULL keys are left to adaptive skew-join
+  but hash partitioning would send all of them to one reducer; their join key
+  is replaced by one of ``null_spread`` deterministic sentinel values (a hash
+  of the row's identity columns), so the NULL group is split over that many
+  partitions, and an ``IS NOT NULL`` guard in the join condition keeps the
+  sentinels from matching.  Hot non-NULL keys are left to adaptive skew-join
   splitting, which applies to the fact (left) side of a left outer join.
 """
 
@@ -31,7 +33,8 @@ _WIDTH = {
     T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
     T.TimestampNTZType: 8, T.DecimalType: 16,
 }
-_STRING_WIDTH = 32  # assumed average for strings, binaries and nested values
+_STRING_WIDTH = 32
+_SPREADABLE = (T.StringType, T.LongType, T.IntegerType, T.ShortType)  # assumed average for strings, binaries and nested values
 
 
 def row_width(df: DataFrame) -> int:
@@ -89,14 +92,17 @@ def lookup_join(
     if broadcast:
         out = fact.join(F.broadcast(d), F.col(fact_key) == F.col(rk), "left")
         return out.drop(rk)
-    if spread_by:
-        spread = F.when(
-            F.col(fact_key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(null_spread))
-        ).otherwise(F.lit(0))
-        f = fact.withColumn(_SPREAD + "_l", spread)
-        d = d.withColumn(_SPREAD + "_r", F.lit(0).cast("bigint"))
-        cond = (F.col(fact_key) == F.col(rk)) & (
-            F.col(_SPREAD + "_l").cast("bigint") == F.col(_SPREAD + "_r")
-        )
-        return f.join(d, cond, "left").drop(rk, _SPREAD + "_l", _SPREAD + "_r")
+    key_type = fact.schema[fact_key].dataType
+    if spread_by and isinstance(key_type, _SPREADABLE):
+        # NULL keys become one of ``null_spread`` sentinel keys, so the NULL
+        # group hashes to many reducers; the IS NOT NULL guard keeps a
+        # sentinel from ever matching a real dimension key.
+        sentinel = F.pmod(F.xxhash64(*spread_by), F.lit(null_spread))
+        if isinstance(key_type, T.StringType):
+            sentinel = F.concat(F.lit("\u0000null-"), sentinel.cast("string"))
+        else:
+            sentinel = (F.lit(-1) - sentinel).cast(key_type)
+        f = fact.withColumn(_SPREAD, F.coalesce(F.col(fact_key), sentinel))
+        cond = (F.col(_SPREAD) == F.col(rk)) & F.col(fact_key).isNotNull()
+        return f.join(d, cond, "left").drop(rk, _SPREAD)
     return fact.join(d, F.col(fact_key) == F.col(rk), "left").drop(rk)

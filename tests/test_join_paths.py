@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 import pytest
 
 from millpulse.operators.enrich import enrich
@@ -22,7 +25,7 @@ def r(spark):
     return roles.all_roles(spark, SF_ORACLE)
 
 
-@pytest.mark.parametrize("max_bytes", [1, 4096, None])
+@pytest.mark.parametrize("max_bytes", [1, 4096, 150_000, None])
 def test_interval_join_paths_equal_plain(spark, r, max_bytes):
     anchors = r["failures"].select("failure_id", "machine_id", "occurred_at")
     points = r["telemetry"].select("machine_id", "recorded_at", "recording_date")
@@ -58,3 +61,38 @@ def test_lookup_join_shuffle_path_equals_broadcast(spark, r):
 def test_enrich_shuffle_path_equals_broadcast(spark, r):
     args = (r["telemetry"], r["orders"], r["failures"], r["maintenance"], r["demand"])
     _same(enrich(*args), enrich(*args, max_broadcast_bytes=1))
+
+
+def test_interval_join_semi_path_is_planned(spark, r):
+    """Anchors too big to broadcast, their day buckets small enough: the readings
+    are semi-joined against the broadcast buckets before the shuffle."""
+    anchors = r["failures"].select("failure_id", "machine_id", "occurred_at")
+    points = r["telemetry"].select("machine_id", "recorded_at", "recording_date")
+    out = window_join(
+        anchors, points, ["machine_id"], "occurred_at", "recorded_at", "recording_date", max_broadcast_bytes=150_000
+    )
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    assert "LeftSemi" in buf.getvalue()
+
+
+def test_null_keys_spread_over_partitions(spark, r):
+    """In the shuffle path the NULL-key rows hash to many reducers, not one."""
+    from pyspark.sql import functions as F
+
+    t = r["telemetry"].select("machine_id", "recorded_at", "active_maintenance_id")
+    m = r["maintenance"].select("maintenance_id", "is_planned")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = lookup_join(t, m, "active_maintenance_id", "maintenance_id", max_broadcast_bytes=1,
+                          spread_by=["machine_id", "recorded_at"], null_spread=64)
+        per_part = (
+            out.where(F.col("active_maintenance_id").isNull())
+            .groupBy(F.spark_partition_id().alias("p")).count().collect()
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(per_part) == int(spark.conf.get("spark.sql.shuffle.partitions"))
