@@ -1 +1,8 @@
-"""streaming"""
+"""Streaming: intentionally empty.
+
+The plant pipeline this library re-implements is a yearly batch job (one run
+per year, at most one at a time).  It has no stream source, watermark, window
+over event time or state store, so there is no Structured Streaming operator
+to provide.  Late or corrected files are handled by the idempotent year
+replace in ``millpulse.sinks.tables`` instead.
+"""
