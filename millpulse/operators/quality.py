@@ -15,8 +15,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REPORT_COLUMNS = ["table", "column", "check", "params", "violations", "passed"]
-
 # The declared tests of the plant models and sources.
 # model -> list of (column, check, params)
 DECLARED_MODEL_TESTS: dict[str, list[tuple[str, str, dict]]] = {
@@ -210,8 +208,9 @@ def run_checks(df: DataFrame, table: str, checks: list[tuple[str, str, dict]]) -
     return reduce(DataFrame.unionByName, parts)
 
 
-def run_declared(tables: dict[str, DataFrame], declared=None) -> DataFrame:
-    """Report for every declared test whose table is given."""
+def run_declared(tables, declared=None) -> DataFrame:
+    """Report for every declared test whose table is given (``tables`` maps
+    names to DataFrames; only the tables that have declared tests are read)."""
     declared = DECLARED_MODEL_TESTS if declared is None else declared
     parts = [run_checks(tables[name], name, checks) for name, checks in declared.items() if name in tables]
     return reduce(DataFrame.unionByName, parts)

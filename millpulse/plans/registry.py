@@ -7,7 +7,7 @@ of the same name.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -206,20 +206,38 @@ def _stage_query(name: str):
 # -- data quality ---------------------------------------------------------------
 
 
-def _model_tables(spark, sf_dir) -> dict[str, DataFrame]:
-    r = _roles(spark, sf_dir)
-    e = _enriched(r)
-    return {
-        "stg_telemetry": r["telemetry"],
-        "stg_failures": r["failures"],
-        "stg_maintenance": r["maintenance"],
-        "stg_orders": r["orders"],
-        "stg_demand": r["demand"],
-        "int_telemetry_enriched": e,
-        "mart_machine_health": machine_health(e),
-        "mart_failure_analysis": failure_analysis(r["failures"], e, r["maintenance"]),
-        "mart_production_performance": production_performance(r["orders"], r["demand"]),
-    }
+class _ModelTables(Mapping):
+    """Staged role views, enriched table and marts by model name, built on first use."""
+
+    _NAMES = (
+        "stg_telemetry", "stg_failures", "stg_maintenance", "stg_orders", "stg_demand",
+        "int_telemetry_enriched", "mart_machine_health", "mart_failure_analysis",
+        "mart_production_performance",
+    )
+
+    def __init__(self, spark, sf_dir):
+        self.marts = _Marts(spark, sf_dir)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        m = self.marts
+        if name.startswith("stg_"):
+            return m.r[name[4:]]
+        return {
+            "int_telemetry_enriched": m._enriched,
+            "mart_machine_health": lambda: m["health"],
+            "mart_failure_analysis": lambda: m["failures"],
+            "mart_production_performance": lambda: m["production"],
+        }[name]()
+
+    def __iter__(self):
+        return iter(self._NAMES)
+
+    def __len__(self):
+        return len(self._NAMES)
+
+
+def _model_tables(spark, sf_dir) -> Mapping:
+    return _ModelTables(spark, sf_dir)
 
 
 def _declared(kind: str) -> dict:
