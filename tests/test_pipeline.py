@@ -114,3 +114,27 @@ def test_run_year_builds_models_and_report(spark, work):
     assert rep[("stg_orders", "order_id", "unique")]["passed"] is True
     assert rep[("telemetry", "loaded_at", "freshness")]["passed"] is True
     assert len(rep) == 51
+
+
+def test_failure_window_prunes_enriched_partitions(spark, work):
+    """On the written enriched table (partitioned by recording_date) the
+    day-bucketed J5 prunes partitions to failure days at run time."""
+    import contextlib
+    import io
+
+    from millpulse.operators.enrich import enrich
+    from millpulse.plans.failures import pre_failure_state
+    from millpulse.sinks.tables import write_table
+    from millpulse.sources import roles
+    from tests.conftest import SF_SMALL
+
+    r = roles.all_roles(spark, SF_SMALL)
+    path = f"{work}/enriched"
+    write_table(enrich(r["telemetry"], r["orders"], r["failures"], r["maintenance"], r["demand"]),
+                path, ["recording_date"], ["machine_id"])
+    p = pre_failure_state(r["failures"], spark.read.parquet(path))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        p.explain()
+    assert "dynamicpruning" in buf.getvalue()
+    assert p.count() > 0
