@@ -8,9 +8,11 @@
                  the three marts -> declared data tests as a report table.
 ``run_year``     both, in the order delete/replace year -> rebuild marts.
 
-Run with spark-submit::
+Run with spark-submit (ship the package with ``--py-files``)::
 
-    spark-submit -m millpulse.plans.pipeline --input-prefix PREFIX --year 2025 --out ROOT
+    zip -r millpulse.zip millpulse
+    spark-submit --py-files millpulse.zip millpulse/plans/pipeline.py \
+        --input-prefix PREFIX --year 2025 --out ROOT
 """
 
 from __future__ import annotations
