@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millpulse.sources.files import file_schema
@@ -39,9 +39,18 @@ def write_table(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     mode: str = "overwrite",
+    rows: Observation | None = None,
 ) -> None:
-    """K6: full rebuild of a (partitioned, clustered) table."""
-    w = organize(df, partition_by, cluster_by).write.mode(mode)
+    """K6: full rebuild of a (partitioned, clustered) table.
+
+    ``rows`` (K9) observes the written row count.  It is attached after the
+    rebalance, i.e. in the write's result stage, where Spark applies each
+    task's metric update once even when tasks or stages are retried.
+    """
+    out = organize(df, partition_by, cluster_by)
+    if rows is not None:
+        out = out.observe(rows, F.count(F.lit(1)).alias("rows"))
+    w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.option("partitionOverwriteMode", "static").parquet(path)
@@ -62,6 +71,7 @@ def replace_year(
     year: int,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    rows: Observation | None = None,
 ) -> str:
     """K2/K3/K4: replace one batch year of a raw table; other years are untouched.
 
@@ -72,9 +82,9 @@ def replace_year(
     layout = table_layout(spark, root)
     if layout == "legacy":
         out = df.withColumn(LOAD_YEAR, F.lit(int(year)))
-        write_table(out, root, [LOAD_YEAR, *partition_by], cluster_by)
+        write_table(out, root, [LOAD_YEAR, *partition_by], cluster_by, rows=rows)
         return "recreated"
-    write_table(df, f"{root.rstrip('/')}/{LOAD_YEAR}={int(year)}", partition_by, cluster_by)
+    write_table(df, f"{root.rstrip('/')}/{LOAD_YEAR}={int(year)}", partition_by, cluster_by, rows=rows)
     return "replaced" if layout == "by_year" else "created"
 
 
