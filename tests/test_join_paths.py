@@ -96,3 +96,40 @@ def test_null_keys_spread_over_partitions(spark, r):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(per_part) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_hot_key_split_by_adaptive_skew_join(spark):
+    """A third of the fact rows share one key; on the shuffle path AQE splits
+    that key's partition instead of giving it to one task."""
+    from pyspark.sql import functions as F
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(60000).select(
+            F.col("id").alias("rid"),
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("order_fk"),
+        )
+        dim = spark.range(60000).select(F.col("id").alias("order_id"), (F.col("id") * 2).alias("w"))
+        out = lookup_join(fact, dim, "order_fk", "order_id", max_broadcast_bytes=1, spread_by=["rid"])
+        rows = out.collect()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            out.explain()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert len(rows) == 60000 and sum(r["w"] for r in rows if r["order_fk"] == 7) == 20001 * 14  # ids 0, 3, 6, ... and id 7
+    assert "skew=true" in buf.getvalue()
