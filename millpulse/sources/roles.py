@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -27,8 +28,36 @@ TABLES = [
 ]
 
 
+def _struct(*cols: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(n, t, True) for n, t in cols])
+
+
+_L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
+
+# Stored schemas of the driver tables the role views read.
+# Declaring them skips footer-based schema inference on every read;
+# tests/test_roles.py checks them against the files.
+DECLARED = {
+    "events": _struct(
+        ("event_id", _L), ("ts", _TS), ("user_id", _L), ("event_type", _S), ("value", _D), ("props", _S)
+    ),
+    "orders": _struct(
+        ("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S), ("o_totalprice", _D),
+        ("o_orderdate", _TS), ("o_orderpriority", _S),
+    ),
+    "lineitem": _struct(
+        ("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L), ("l_linenumber", _I),
+        ("l_quantity", _D), ("l_extendedprice", _D), ("l_discount", _D), ("l_tax", _D),
+        ("l_returnflag", _S), ("l_linestatus", _S), ("l_shipdate", _TS),
+    ),
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name in DECLARED:
+        return spark.read.schema(DECLARED[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 # Spark SQL expressions of each role view (one ``selectExpr`` call per view
