@@ -3,9 +3,8 @@
 ``lookup_join(fact, dim, fact_key, dim_key)`` is a LEFT equi-join of a small
 table onto a large one (the enrichment joins J1-J4 and the mart joins J6-J8).
 
-* The dimension is broadcast only after a bounded row count proves it fits
-  (``limit(n + 1).count()`` reads at most n + 1 rows per partition; the byte
-  bound is rows times the schema's default row width).
+* The dimension is broadcast only after its row count proves it fits (the
+  byte bound is rows times an estimated row width; see ``broadcastable``).
 * Otherwise the join shuffles.  Fact rows whose key is NULL can never match,
   but hash partitioning would send all of them to one reducer; their join key
   is replaced by one of ``null_spread`` deterministic sentinel values (a hash
@@ -33,14 +32,16 @@ _WIDTH = {
     T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
     T.TimestampNTZType: 8, T.DecimalType: 16,
 }
-_STRING_WIDTH = 32
-_SPREADABLE = (T.StringType, T.LongType, T.IntegerType, T.ShortType)  # assumed average for strings, binaries and nested values
+_STRING_WIDTH = 32  # assumed average for strings, binaries and nested values
+_SPREADABLE = (T.StringType, T.LongType, T.IntegerType, T.ShortType)
 
 
 def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row in the broadcast hash relation (with row overhead)."""
+    """Estimated bytes per row in the broadcast hash relation: hash-table entry
+    overhead, the row's null bitmap (one word per 64 fields) and the values."""
+    n = len(df.schema.fields)
     cols = sum(_WIDTH.get(type(f.dataType), _STRING_WIDTH) for f in df.schema.fields)
-    return 16 + 8 * len(df.schema.fields) // 8 + cols
+    return 16 + 8 * ((n + 63) // 64) + cols
 
 
 def max_broadcast_rows(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
@@ -50,17 +51,19 @@ def max_broadcast_rows(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
 def broadcastable(dfs: list[DataFrame], max_bytes: int = DEFAULT_BROADCAST_BYTES) -> list[bool]:
     """For each DataFrame: does it have at most ``max_bytes / row_width`` rows?
 
-    One job for all of them: each input contributes at most its bound + 1
-    rows (``limit``), no columns are read beyond what the plan needs to
-    produce rows, and a single global aggregate counts them.
+    One job for all of them: each input is counted with a global aggregate
+    (one partial count per partition, a single tiny reduce), and only the
+    counts come back to the driver.  Unlike ``limit(n).count()``, which
+    gathers up to n rows of every partition into one task, this stays cheap
+    for a dimension that turns out to be large, and a plain parquet input is
+    counted from row-group metadata without decoding data pages.
     """
     if not dfs:
         return []
     bounds = [max_broadcast_rows(df, max_bytes) for df in dfs]
-    probes = [df.limit(n + 1).select(F.lit(i).alias("i")) for i, (df, n) in enumerate(zip(dfs, bounds))]
-    union = reduce(DataFrame.unionAll, probes)
-    row = union.agg(*[F.count_if(F.col("i") == i).alias(f"n{i}") for i in range(len(dfs))]).first()
-    return [row[f"n{i}"] <= n for i, n in enumerate(bounds)]
+    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, df in enumerate(dfs)]
+    got = {r["i"]: r["n"] for r in reduce(DataFrame.unionAll, counts).collect()}
+    return [got[i] <= n for i, n in enumerate(bounds)]
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:

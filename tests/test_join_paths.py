@@ -25,7 +25,7 @@ def r(spark):
     return roles.all_roles(spark, SF_ORACLE)
 
 
-@pytest.mark.parametrize("max_bytes", [1, 4096, 150_000, None])
+@pytest.mark.parametrize("max_bytes", [1, 4096, 200_000, None])
 def test_interval_join_paths_equal_plain(spark, r, max_bytes):
     anchors = r["failures"].select("failure_id", "machine_id", "occurred_at")
     points = r["telemetry"].select("machine_id", "recorded_at", "recording_date")
@@ -69,7 +69,7 @@ def test_interval_join_semi_path_is_planned(spark, r):
     anchors = r["failures"].select("failure_id", "machine_id", "occurred_at")
     points = r["telemetry"].select("machine_id", "recorded_at", "recording_date")
     out = window_join(
-        anchors, points, ["machine_id"], "occurred_at", "recorded_at", "recording_date", max_broadcast_bytes=150_000
+        anchors, points, ["machine_id"], "occurred_at", "recorded_at", "recording_date", max_broadcast_bytes=200_000
     )
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
