@@ -19,6 +19,9 @@ HEALTH_STATUSES = ["healthy", "warning", "critical"]
 # from zero on the decimal value, independent of the binary expansion and of
 # summation order.  Scale 10 absorbs floating noise far below the output scale.
 _ROUND_VIA = DecimalType(38, 10)
+# Outside this magnitude (and for NaN / infinity) the decimal cast would
+# overflow; such values are rounded as doubles instead of failing the job.
+_DECIMAL_SAFE = 1e27
 
 
 def _c(col) -> Column:
@@ -26,8 +29,13 @@ def _c(col) -> Column:
 
 
 def round_half_up(col, scale: int) -> Column:
-    """``round(x, scale)`` with decimal half-away-from-zero ties; returns double."""
-    return F.round(_c(col).cast(_ROUND_VIA), scale).cast("double")
+    """``round(x, scale)`` with decimal half-away-from-zero ties; returns double.
+
+    NaN, infinities and magnitudes of 1e27 or more take plain double ``round``.
+    """
+    x = _c(col)
+    exact = F.round(x.cast(_ROUND_VIA), scale).cast("double")
+    return F.when(F.abs(x) < F.lit(_DECIMAL_SAFE), exact).otherwise(F.round(x, scale))
 
 
 def safe_divide(numerator, denominator) -> Column:

@@ -11,7 +11,10 @@ from millpulse.sources.roles_sql import with_roles
 
 
 def R(expr: str, n: int) -> str:
-    return f"cast(round(cast({expr} as decimal(38,10)), {n}) as double)"
+    return (
+        f"(case when abs({expr}) < 1e27 then cast(round(cast({expr} as decimal(38,10)), {n}) as double) "
+        f"else round({expr}, {n}) end)"
+    )
 
 
 def SD(num: str, den: str) -> str:

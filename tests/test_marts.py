@@ -41,9 +41,14 @@ def test_rolling_counts_rows_not_days(spark):
 def test_rounding_half_away_from_zero(spark):
     from millpulse.functions import round_half_up
 
-    df = spark.createDataFrame([(1.005,), (-1.005,), (2.5,), (0.12345,)], "x double")
+    import math
+
+    df = spark.createDataFrame(
+        [(1.005,), (-1.005,), (2.5,), (0.12345,), (None,), (float("nan"),), (float("inf"),), (1e30,)], "x double"
+    )
     got = [r[0] for r in df.select(round_half_up("x", 2)).collect()]
-    assert got == [1.01, -1.01, 2.5, 0.12]
+    assert got[:5] == [1.01, -1.01, 2.5, 0.12, None]
+    assert math.isnan(got[5]) and got[6] == float("inf") and got[7] == 1e30
 
 
 def _staged(spark):
