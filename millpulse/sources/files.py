@@ -23,20 +23,47 @@ def year_path(prefix: str, name: str, year: int | str) -> str:
     return f"{prefix.rstrip('/')}/{name}_{year}.parquet"
 
 
+_NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+
+
 def file_schema(spark: SparkSession, path: str) -> StructType | None:
-    """Schema stored in the file (footer read), or None when the path is missing."""
+    """Schema stored in the file (footer read), or None when the path is missing.
+
+    Epoch columns may be plain INT64 or INT64 annotated as TIMESTAMP(NANOS);
+    schema inference rejects the latter, so it is inferred as BIGINT here (the
+    declared-schema read handles both the same way).
+    """
+    previous = spark.conf.get(_NANOS_AS_LONG, None)
+    spark.conf.set(_NANOS_AS_LONG, "true")
     try:
         return spark.read.parquet(path).schema
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc).lower():
             return None
         raise
+    finally:
+        if previous is None:
+            spark.conf.unset(_NANOS_AS_LONG)
+        else:
+            spark.conf.set(_NANOS_AS_LONG, previous)
+
+
+# Stored types a declared type can be read from (parquet reads widen these).
+_READABLE_AS = {
+    "bigint": {"bigint", "int", "smallint", "tinyint"},
+    "double": {"double", "float"},
+}
+
+
+def _compatible(stored: str, declared: str) -> bool:
+    return stored == declared or stored in _READABLE_AS.get(declared, ())
 
 
 def check_sources(
     spark: SparkSession, prefix: str, year: int | str, names: list[str] = SOURCE_NAMES
 ) -> None:
-    """Raise listing every missing file and every declared column a file lacks."""
+    """Raise listing every missing file, every declared column a file lacks and
+    every column stored in a type the declared read cannot widen from."""
     problems = []
     for name in names:
         path = year_path(prefix, name, year)
@@ -44,10 +71,18 @@ def check_sources(
         if found is None:
             problems.append(f"missing file: {path}")
             continue
-        have = {f.name.lower() for f in found.fields}
-        lacking = [f.name for f in schema(name).fields if f.name.lower() not in have]
+        have = {f.name.lower(): f.dataType.simpleString() for f in found.fields}
+        declared = schema(name).fields
+        lacking = [f.name for f in declared if f.name.lower() not in have]
         if lacking:
             problems.append(f"{path} lacks columns: {', '.join(lacking)}")
+        wrong = [
+            f"{f.name} is {have[f.name.lower()]}, declared {f.dataType.simpleString()}"
+            for f in declared
+            if f.name.lower() in have and not _compatible(have[f.name.lower()], f.dataType.simpleString())
+        ]
+        if wrong:
+            problems.append(f"{path} has columns of another type: {'; '.join(wrong)}")
     if problems:
         raise SourceError("sources incomplete:\n  " + "\n  ".join(problems))
 

@@ -138,3 +138,42 @@ def test_failure_window_prunes_enriched_partitions(spark, work):
         p.explain()
     assert "dynamicpruning" in buf.getvalue()
     assert p.count() > 0
+
+
+def test_nanosecond_annotated_files_load_exactly(spark, work):
+    """Epoch columns stored as INT64 TIMESTAMP(NANOS) instead of plain INT64:
+    the source check accepts them and the declared read keeps every nanosecond."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    src, raw_root = f"{work}/src", f"{work}/raw"
+    rows = small_year(2025)
+    year_files(spark, src, 2025, {k: v for k, v in rows.items() if k != "failures"})
+    from millpulse.sources.schemas import schema
+
+    arrow = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}
+    fields = [
+        pa.field(f.name, pa.timestamp("ns") if f.name == "timestamp_occurrence" else arrow[f.dataType.simpleString()])
+        for f in schema("failures").fields
+    ]
+    table = pa.Table.from_pylist(
+        [{f.name: r.get(f.name) for f in fields} for r in rows["failures"]], schema=pa.schema(fields)
+    )
+    import os
+
+    os.makedirs(f"{src}/failures_2025.parquet", exist_ok=True)
+    pq.write_table(table, f"{src}/failures_2025.parquet/part-0.parquet")
+    check_sources(spark, src, 2025)
+    counts = load_year(spark, src, 2025, raw_root)
+    assert counts["failures"]["clean"] == 1
+    got = spark.read.parquet(f"{raw_root}/failures").first()["timestamp_occurrence"]
+    assert got == dt.datetime(2025, 3, 1, 6, 0)
+
+
+def test_column_of_wrong_type_reported(spark, work):
+    rows = small_year()
+    year_files(spark, work, 2025, rows)
+    bad = raw_df(spark, "orders", rows["orders"]).withColumn("total_weight_tons", F.col("total_weight_tons").cast("string"))
+    bad.write.mode("overwrite").parquet(f"{work}/orders_2025.parquet")
+    with pytest.raises(SourceError, match="total_weight_tons is string, declared double"):
+        check_sources(spark, work, 2025)
