@@ -172,8 +172,13 @@ def freshness_check(
     df: DataFrame, table: str, field: str, as_of: dt.datetime | str, error_after_days: int
 ) -> DataFrame:
     """Violation when ``max(field)`` is older than ``as_of - error_after_days``
-    (or the table is empty)."""
-    as_of_col = F.lit(as_of).cast("timestamp")
+    (or the table is empty).  ``as_of`` is a UTC wall-clock string or a
+    datetime (naive ones are taken as UTC)."""
+    if isinstance(as_of, dt.datetime):
+        if as_of.tzinfo is not None:
+            as_of = as_of.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        as_of = as_of.isoformat(sep=" ")
+    as_of_col = F.lit(as_of).cast("timestamp")  # parsed in the session zone (UTC)
     latest = df.agg(F.max(F.col(field).cast("timestamp")).alias("latest"))
     stale = F.coalesce(
         F.col("latest") < as_of_col - F.make_dt_interval(F.lit(error_after_days)), F.lit(True)

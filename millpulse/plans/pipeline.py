@@ -1,7 +1,7 @@
 """T6 and the model build: the yearly job end to end.
 
 ``load_year``    S4 check -> declared-schema read -> clean (year range check)
-                 -> year-scoped replace of each raw table.  K9 counts: the raw
+                 -> year-scoped replace of each raw table (swapped in at commit).  K9 counts: the raw
                  count is a parquet row-group metadata count; the clean count is
                  observed in the write itself (no extra pass over the data).
 ``build_models`` stage the raw tables -> write the enriched table once ->
@@ -36,8 +36,9 @@ from millpulse.sinks.tables import replace_year, write_table
 from millpulse.sources.files import check_sources, read_raw
 from millpulse.sources.schemas import SOURCE_NAMES
 
-# Physical layout of the raw tables inside each load_year.
-RAW_LAYOUT = {"telemetry": (["date"], ["machine_id"])}
+# Raw tables: (cluster columns, rebalance columns) inside each load_year.  Telemetry
+# files are rebalanced by day and sorted by (date, machine_id) for min/max skipping.
+RAW_LAYOUT = {"telemetry": (["date", "machine_id"], ["date"])}
 
 # Model tables: (partition column, cluster columns).
 MODEL_LAYOUT = {
@@ -57,10 +58,10 @@ def load_year(spark: SparkSession, prefix: str, year: int, raw_root: str) -> dic
         raw = read_raw(spark, prefix, name, year)
         raw_rows = raw.count()  # answered from parquet row-group metadata
         written = Observation(f"{name}_clean")
-        parts, cluster = RAW_LAYOUT.get(name, ([], []))
+        cluster, rebalance = RAW_LAYOUT.get(name, ([], None))
         action = replace_year(
             spark, CLEANERS[name](raw, int(year)), f"{raw_root.rstrip('/')}/{name}", int(year),
-            parts, cluster, rows=written,
+            cluster_by=cluster, rows=written, rebalance_by=rebalance,
         )
         counts[name] = {"raw": raw_rows, "clean": written.get["rows"], "write": action}
     return counts
@@ -114,11 +115,8 @@ def build_models(
         quality.run_declared(raw, quality.DECLARED_SOURCE_TESTS)
     )
     field, days = quality.FRESHNESS["telemetry"]
-    report = report.unionByName(
-        quality.freshness_check(
-            raw["telemetry"], "telemetry", field, as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), days
-        )
-    )
+    as_of = as_of or dt.datetime.now(dt.timezone.utc)
+    report = report.unionByName(quality.freshness_check(raw["telemetry"], "telemetry", field, as_of, days))
     report.coalesce(1).write.mode("overwrite").parquet(f"{root}/_data_tests")
     return spark.read.parquet(f"{root}/_data_tests")
 

@@ -2,13 +2,17 @@
 
 Layout: every table lives under ``{root}/{table}``.  Raw tables are split by a
 literal ``load_year`` partition (the batch argument, never a nullable data
-column), so reloading a year replaces exactly that year and a rerun is
-idempotent.  Model tables are fully rebuilt and partitioned by a date.
+column).  A year is replaced with dynamic partition overwrite: Spark writes the
+new files to a staging folder and swaps the ``load_year=Y`` partition only
+when the job commits, so a failed load leaves the previous version of the
+year in place and a rerun replaces exactly that year.  Model tables are fully
+rebuilt and partitioned by a date.
 
 Physical organisation before a write: ``rebalance`` on the partition column
-lets adaptive execution split an oversized day (or a hot machine's day) into
-several tasks and merge tiny ones; sorting within partitions by the date and
-the cluster columns gives per-file min/max ranges that parquet readers skip on.
+(or the first clustering column) lets adaptive execution split an oversized
+day (or a hot machine's day) into several tasks and merge tiny ones; sorting
+within partitions by the date and the cluster columns gives per-file min/max
+ranges that parquet readers skip on.
 """
 
 from __future__ import annotations
@@ -23,11 +27,17 @@ from millpulse.sources.files import file_schema
 LOAD_YEAR = "load_year"
 
 
-def organize(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Rebalance on the partition columns and sort for clustering (K7, K8)."""
+def organize(
+    df: DataFrame,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    rebalance_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Rebalance (default: on the partition columns) and sort for clustering (K7, K8)."""
     keys = [*partition_by, *cluster_by]
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
+    rebalance = list(partition_by if rebalance_by is None else rebalance_by)
+    if rebalance:
+        df = df.hint("rebalance", *rebalance)
     if keys:
         df = df.sortWithinPartitions(*keys)
     return df
@@ -40,24 +50,28 @@ def write_table(
     cluster_by: Sequence[str] = (),
     mode: str = "overwrite",
     rows: Observation | None = None,
+    dynamic: bool = False,
+    rebalance_by: Sequence[str] | None = None,
 ) -> None:
-    """K6: full rebuild of a (partitioned, clustered) table.
+    """K6: write a (partitioned, clustered) table.
 
-    ``rows`` (K9) observes the written row count.  It is attached after the
-    rebalance, i.e. in the write's result stage, where Spark applies each
-    task's metric update once even when tasks or stages are retried.
+    ``dynamic`` replaces only the partitions present in ``df`` (at commit);
+    otherwise an overwrite replaces the whole path.  ``rows`` (K9) observes the
+    written row count.  It is attached after the rebalance, i.e. in the write's
+    result stage, where Spark applies each task's metric update once even when
+    tasks or stages are retried.
     """
-    out = organize(df, partition_by, cluster_by)
+    out = organize(df, partition_by, cluster_by, rebalance_by)
     if rows is not None:
         out = out.observe(rows, F.count(F.lit(1)).alias("rows"))
-    w = out.write.mode(mode)
+    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.option("partitionOverwriteMode", "static").parquet(path)
+    w.parquet(path)
 
 
 def table_layout(spark: SparkSession, root: str) -> str:
-    """'absent', 'by_year' (has the load_year partition) or 'legacy'."""
+    """'absent' (no readable files), 'by_year' (has the load_year partition) or 'legacy'."""
     found = file_schema(spark, root)
     if found is None:
         return "absent"
@@ -69,38 +83,32 @@ def replace_year(
     df: DataFrame,
     root: str,
     year: int,
-    partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     rows: Observation | None = None,
+    rebalance_by: Sequence[str] | None = None,
 ) -> str:
     """K2/K3/K4: replace one batch year of a raw table; other years are untouched.
 
-    The year's directory is overwritten as a whole, so a corrected file that
-    lost a day leaves no stale day behind.  A table written without the
-    ``load_year`` partition (older layout) is recreated from this batch.
+    The whole year is replaced (a corrected file that lost a day leaves no
+    stale day behind) and the swap happens at job commit.  A table written
+    without the ``load_year`` partition (older layout) cannot be split by year;
+    as in the original pipeline it is dropped and recreated from this batch.
     """
     layout = table_layout(spark, root)
+    out = df.withColumn(LOAD_YEAR, F.lit(int(year)))
+    kw = dict(cluster_by=cluster_by, rows=rows, rebalance_by=rebalance_by or [LOAD_YEAR])
     if layout == "legacy":
-        out = df.withColumn(LOAD_YEAR, F.lit(int(year)))
-        write_table(out, root, [LOAD_YEAR, *partition_by], cluster_by, rows=rows)
+        write_table(out, root, [LOAD_YEAR], dynamic=False, **kw)
         return "recreated"
-    write_table(df, f"{root.rstrip('/')}/{LOAD_YEAR}={int(year)}", partition_by, cluster_by, rows=rows)
+    write_table(out, root, [LOAD_YEAR], dynamic=True, **kw)
     return "replaced" if layout == "by_year" else "created"
 
 
 def replace_days(
     df: DataFrame,
     root: str,
-    year: int,
     date_col: str = "date",
     cluster_by: Sequence[str] = (),
 ) -> None:
-    """K1: overwrite only the day partitions present in ``df`` within its year."""
-    path = f"{root.rstrip('/')}/{LOAD_YEAR}={int(year)}"
-    (
-        organize(df, [date_col], cluster_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(date_col)
-        .parquet(path)
-    )
+    """K1: in a day-partitioned table, replace only the days present in ``df``."""
+    write_table(df, root, [date_col], cluster_by, dynamic=True)

@@ -27,7 +27,7 @@ _NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 
 
 def file_schema(spark: SparkSession, path: str) -> StructType | None:
-    """Schema stored in the file (footer read), or None when the path is missing.
+    """Schema stored in the file (footer read), or None when there is no data file.
 
     Epoch columns may be plain INT64 or INT64 annotated as TIMESTAMP(NANOS);
     schema inference rejects the latter, so it is inferred as BIGINT here (the
@@ -38,7 +38,9 @@ def file_schema(spark: SparkSession, path: str) -> StructType | None:
     try:
         return spark.read.parquet(path).schema
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc).lower():
+        msg = str(exc)
+        # missing path, or a folder without data files (e.g. left by an aborted write)
+        if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg or "does not exist" in msg.lower():
             return None
         raise
     finally:
