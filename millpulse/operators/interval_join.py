@@ -44,7 +44,11 @@ def window_join_plain(
     point_ts: str,
     lookback_hours: int = 24,
 ) -> DataFrame:
-    """Reference form: equi-join on ``on`` with the window as a post-filter."""
+    """Brute-force form: equi-join on ``on`` with the window as a post-filter.
+
+    Compares every anchor with every point of its key, so it is kept only as
+    the test oracle of ``window_join`` on small data, never for whole tables.
+    """
     p, names = _prefixed(points, on)
     cond = [F.col(k) == F.col(names[k]) for k in on]
     cond += [
@@ -83,10 +87,9 @@ def window_join(
     ]
     if max_broadcast_bytes is None:
         return p.join(a, cond, "inner").drop(*names.values(), _DAY)
-    buckets = a.select(*[F.col(k).alias(names[k]) for k in on], F.col(_DAY).alias(point_day)).distinct()
-    anchors_fit, buckets_fit = broadcastable([a, buckets], max_broadcast_bytes)
-    if anchors_fit:
+    if broadcastable([a], max_broadcast_bytes)[0]:
         return p.join(F.broadcast(a), cond, "inner").drop(*names.values(), _DAY)
-    if buckets_fit:
+    buckets = a.select(*[F.col(k).alias(names[k]) for k in on], F.col(_DAY).alias(point_day)).distinct()
+    if broadcastable([buckets], max_broadcast_bytes)[0]:
         p = p.join(F.broadcast(buckets), [*names.values(), point_day], "left_semi")
     return p.join(a, cond, "inner").drop(*names.values(), _DAY)

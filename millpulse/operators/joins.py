@@ -8,8 +8,8 @@ table onto a large one (the enrichment joins J1-J4 and the mart joins J6-J8).
 * Otherwise the join shuffles.  Fact rows whose key is NULL can never match,
   but hash partitioning would send all of them to one reducer; their join key
   is replaced by one of ``null_spread`` deterministic sentinel values (a hash
-  of the row's identity columns), so the NULL group is split over that many
-  partitions, and an ``IS NOT NULL`` guard in the join condition keeps the
+  of the row's identity columns; by default as many as shuffle partitions), so
+  the NULL group is split over all reducers, and an ``IS NOT NULL`` guard in the join condition keeps the
   sentinels from matching.  Hot non-NULL keys are left to adaptive skew-join
   splitting, which applies to the fact (left) side of a left outer join.
 """
@@ -79,7 +79,7 @@ def lookup_join(
     *,
     max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
     spread_by: list[str] | None = None,
-    null_spread: int = DEFAULT_NULL_SPREAD,
+    null_spread: int | None = None,
     broadcast: bool | None = None,
 ) -> DataFrame:
     """LEFT JOIN ``dim`` ON fact_key = dim_key; the dim key column is dropped.
@@ -87,6 +87,8 @@ def lookup_join(
     Fan-out is kept as in SQL: a dim key present twice doubles the fact row.
     ``max_broadcast_bytes=None`` skips the size check and never hints;
     ``broadcast`` passes the result of a check already made (``broadcastable``).
+    ``null_spread`` defaults to the session's shuffle partition count (at least
+    ``DEFAULT_NULL_SPREAD``), so NULL keys can use every reducer.
     """
     rk = f"__rk_{dim_key}"
     d = dim.where(F.col(dim_key).isNotNull()).withColumnRenamed(dim_key, rk)
@@ -100,6 +102,9 @@ def lookup_join(
         # NULL keys become one of ``null_spread`` sentinel keys, so the NULL
         # group hashes to many reducers; the IS NOT NULL guard keeps a
         # sentinel from ever matching a real dimension key.
+        if null_spread is None:
+            partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            null_spread = max(DEFAULT_NULL_SPREAD, partitions)
         sentinel = F.pmod(F.xxhash64(*spread_by), F.lit(null_spread))
         if isinstance(key_type, T.StringType):
             sentinel = F.concat(F.lit("\u0000null-"), sentinel.cast("string"))

@@ -198,7 +198,6 @@ join r_telemetry t on t.machine_id = f.machine_id
 ORACLE.update(
     {
         "j5_interval_join": with_roles(J5, ("r_telemetry", "r_failures")),
-        "j5_interval_join_plain": with_roles(J5, ("r_telemetry", "r_failures")),
         "w1_rolling": q(
             [I1, M1],
             "select machine_id, recording_date, composite_health_score, rolling_7d_health from m1",
@@ -318,9 +317,13 @@ ORACLE.update(
 
 
 def _corr(src: str, x: str, y: str) -> str:
+    both = f"{x} is not null and {y} is not null"
+    xx = f"cast(case when {both} then {x} end as double)"
+    yy = f"cast(case when {both} then {y} end as double)"
+    pearson = f"covar_samp({xx}, {yy}) / nullif(stddev_samp({xx}) * stddev_samp({yy}), 0)"
     return (
         f"select '{x}' as pressure, '{y}' as outcome, "
-        f"{R(f'corr(cast({x} as double), cast({y} as double))', 4)} as correlation, "
+        f"{R(pearson, 4)} as correlation, "
         f"count(*) filter (where {x} is not null and {y} is not null) as pairs from {src}"
     )
 

@@ -69,6 +69,15 @@ def failure_frequency(failures: DataFrame) -> DataFrame:
     )
 
 
+def pearson(x, y) -> Column:
+    """Sample Pearson correlation; NULL (not an ANSI divide-by-zero error) when
+    either side is constant or there are fewer than two pairs."""
+    x, y = F.col(x).cast("double"), F.col(y).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)  # pairwise-complete, like corr()
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def pressure_correlation(health: DataFrame, production: DataFrame) -> DataFrame:
     """Q7: Pearson correlation of operational pressure with delays (monthly
     groups) and with failure-predicting readings (machine-days)."""
@@ -80,7 +89,7 @@ def pressure_correlation(health: DataFrame, production: DataFrame) -> DataFrame:
     ]
     parts = [
         df.agg(
-            round_half_up(F.corr(F.col(x).cast("double"), F.col(y).cast("double")), 4).alias("correlation"),
+            round_half_up(pearson(x, y), 4).alias("correlation"),
             F.count_if(F.col(x).isNotNull() & F.col(y).isNotNull()).alias("pairs"),
         ).select(F.lit(x).alias("pressure"), F.lit(y).alias("outcome"), "correlation", "pairs")
         for df, x, y in pairs

@@ -50,7 +50,7 @@ def _norm(v):
         return None
     if isinstance(v, float):
         if math.isnan(v):
-            return None
+            return "NaN"  # distinct from NULL
         return v
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:

@@ -108,3 +108,18 @@ def test_declared_inventory_size():
     n_models = sum(len(v) for v in quality.DECLARED_MODEL_TESTS.values())
     n_sources = sum(len(v) for v in quality.DECLARED_SOURCE_TESTS.values())
     assert (n_models, n_sources) == (36, 14)
+
+
+def test_correlation_of_constant_column_is_null_not_an_error(spark):
+    prod = spark.createDataFrame(
+        [(0.1, 0.0, 0.2), (0.2, 0.0, 0.4), (0.3, 0.0, 0.6)], "avg_demand_index double, delay_rate double, avg_rush_factor double"
+    )
+    health = spark.createDataFrame(
+        [(0.5, 1, 0.1)], "avg_demand_index double, readings_predicting_failure_24h bigint, avg_rush_factor double"
+    )
+    got = {(r["pressure"], r["outcome"]): r for r in dashboard.pressure_correlation(health, prod).collect()}
+    assert got[("avg_demand_index", "delay_rate")]["correlation"] is None  # delay_rate constant
+    assert got[("avg_demand_index", "readings_predicting_failure_24h")]["correlation"] is None  # one pair
+    assert got[("avg_demand_index", "readings_predicting_failure_24h")]["pairs"] == 1
+    both = prod.agg(dashboard.pearson("avg_demand_index", "avg_rush_factor").alias("r")).first()["r"]
+    assert abs(both - 1.0) < 1e-12
