@@ -4,18 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents
+from .common import documents, table
+from .decontaminate import find_contamination
 from .minhash_dedup import near_duplicates
+from .packing import pack_documents
+from .substring_dedup import remove_repeats
+from .suffix_dedup import remove_repeated_bytes
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.drop("spans", "items", "clean_text")
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir)).drop("kept_text")
+
+
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(documents(spark, sf_dir)).drop("kept_bytes")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_decontamination": op7_decontamination,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
 ORACLE: dict[str, str] = {}
