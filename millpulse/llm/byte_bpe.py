@@ -38,7 +38,7 @@ def byte_symbols() -> list[str]:
 
 class ByteBpe:
     #: Distinct words kept by a worker; beyond it the store starts anew.
-    MOST_WORDS = 1_500_000
+    MOST_WORDS = 500_000
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, table
 from .decontaminate import find_contamination
+from .language_id import identify
 from .minhash_dedup import near_duplicates
 from .packing import pack_documents
 from .substring_dedup import remove_repeats
@@ -28,6 +29,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans", "items", "clean_text")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).drop("kept_text")
 
@@ -41,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_language_id": op8_language_id,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
