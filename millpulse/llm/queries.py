@@ -14,6 +14,7 @@ from .minhash_dedup import near_duplicates
 from .packing import pack_documents
 from .substring_dedup import remove_repeats
 from .suffix_dedup import remove_repeated_bytes
+from .url_filter import judge_urls
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +34,15 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
+#: The rules of the registered query: (host, path, verdict).
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).drop("kept_text")
 
@@ -44,10 +54,30 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_url_filter": op5_url_filter,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_language_id": op8_language_id,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_url_filter": """
+        WITH parts AS (
+            SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), hosts AS (
+            SELECT page_id,
+                   translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM parts
+        ), rules(rhost, rpath, says) AS (
+            VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+        ), best AS (
+            SELECT page_id, max_by(rhost || rpath, length(rhost) + length(rpath)) AS rule, max_by(says, length(rhost) + length(rpath)) AS says
+            FROM hosts JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+            GROUP BY page_id
+        )
+        SELECT h.page_id, h.host, h.path, b.rule, coalesce(b.says, 'allow') AS verdict
+        FROM hosts h LEFT JOIN best b USING (page_id)
+    """,
+}
