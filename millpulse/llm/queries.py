@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import documents, table
 from .decontaminate import find_contamination
 from .language_id import identify
+from .line_dedup import deduplicate_lines
 from .minhash_dedup import near_duplicates
 from .packing import pack_documents
 from .substring_dedup import remove_repeats
@@ -17,6 +19,11 @@ from .suffix_dedup import remove_repeated_bytes
 from .url_filter import judge_urls
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = deduplicate_lines(documents(spark, sf_dir))
+    return out.select("doc_id", F.col("_lines.total").alias("n_lines"), F.col("_lines.removed").alias("n_removed"), "text")
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -52,6 +59,7 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_url_filter": op5_url_filter,
@@ -62,6 +70,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_line_dedup": r"""
+        WITH every AS (
+            SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents
+        ), seq AS (
+            SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p FROM every WHERE NOT regexp_full_match(line, '\s*')
+        ), runs AS (
+            SELECT doc_id, i, p, line,
+                   lead(line, 1) OVER w AS line2, lead(line, 2) OVER w AS line3,
+                   len(string_split_regex(trim(line), '\s+')) AS words
+            FROM seq WINDOW w AS (PARTITION BY doc_id ORDER BY p)
+        ), marked AS (
+            SELECT doc_id, p, words,
+                   row_number() OVER (PARTITION BY line ORDER BY doc_id, p) AS nth1,
+                   CASE WHEN line3 IS NOT NULL THEN row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, p) END AS nth3
+            FROM runs
+        ), gone AS (
+            SELECT doc_id, p FROM marked WHERE words >= 50 AND nth1 > 1
+            UNION SELECT doc_id, p + k FROM marked, (VALUES (0), (1), (2)) AS t(k) WHERE nth3 > 1
+        ), kept AS (
+            SELECT e.doc_id, string_agg(e.line, chr(10) ORDER BY e.i) AS text
+            FROM every e LEFT JOIN seq s ON s.doc_id = e.doc_id AND s.i = e.i LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.p = s.p
+            WHERE g.p IS NULL GROUP BY e.doc_id
+        )
+        SELECT d.doc_id, coalesce(n.n_lines, 0) AS n_lines, coalesce(r.n_removed, 0) AS n_removed,
+               CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
+        FROM documents d
+        LEFT JOIN (SELECT doc_id, count(*) AS n_lines FROM seq GROUP BY doc_id) n USING (doc_id)
+        LEFT JOIN (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id) r USING (doc_id)
+        LEFT JOIN kept k USING (doc_id)
+    """,
     "op5_url_filter": """
         WITH parts AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
