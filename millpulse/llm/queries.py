@@ -14,6 +14,7 @@ from .language_id import identify
 from .line_dedup import deduplicate_lines
 from .minhash_dedup import near_duplicates
 from .packing import pack_documents
+from .pii import replace_pii
 from .substring_dedup import remove_repeats
 from .suffix_dedup import remove_repeated_bytes
 from .url_filter import judge_urls
@@ -58,6 +59,11 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(documents(spark, sf_dir)).drop("kept_bytes")
 
 
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = replace_pii(documents(spark, sf_dir), key="registered query: a key that is not secret")
+    return out.select("doc_id", F.col("_entities").alias("n_entities"), "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination,
     "op8_language_id": op8_language_id,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    "op10_pii_surrogates": op10_pii_surrogates,
 }
 
 ORACLE: dict[str, str] = {
