@@ -1,4 +1,9 @@
-"""Scratch tables, size-checked joins and grouping of sorted Arrow batches."""
+"""Scratch tables and grouping of sorted Arrow batches.
+
+Joins carry no hints: Catalyst broadcasts a stored table only where its size is
+within ``spark.sql.autoBroadcastJoinThreshold`` and adaptive execution splits
+skewed keys of the others.
+"""
 
 from __future__ import annotations
 
@@ -11,11 +16,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: A side of a join is broadcast only if its measured size is at most this.
-BROADCAST_BYTES = 48 << 20
+from pyspark.sql import DataFrame, SparkSession
 
 _made: list[tuple[SparkSession, str]] = []
 
@@ -62,15 +63,6 @@ class Scratch:
         _delete(self.spark, f"{self.root}/{name}")
 
 
-def broadcast_if(small: DataFrame, size: Column | int, most: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a stored table for broadcast if the sum of ``size`` over its rows is within ``most``.
-
-    Beyond that the join shuffles; results are the same.
-    """
-    total = small.agg(F.sum(F.lit(size) if isinstance(size, int) else size)).first()[0] or 0
-    return F.broadcast(small) if total <= most else small.hint("merge")
-
-
 def column(batch: pa.RecordBatch, name: str) -> np.ndarray:
     """A column without nulls as numpy array."""
     return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textops as tx
-from .common import Scratch, binary, binary_values, broadcast_if, groups, spread
+from .common import Scratch, binary, binary_values, groups, spread
 from .graph import components
 
 W = 5
@@ -227,7 +227,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     live = clusters.join(classes.select("nid", "n", "rep.id", "rep.h"), "nid")
     sizes = live.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") * 8 / block_bytes)).cast("int").alias("blocks"))
     live = scratch.table(live.join(sizes, "cluster").select("cluster", "blocks", "nid", F.col("id").alias("rid"), F.col("h").alias("rh")), "live")
-    wanted = docs.join(broadcast_if(live, 64), docs["id"].eqNullSafe(live["rid"]) & (docs["h"] == live["rh"]))
+    wanted = docs.join(live, docs["id"].eqNullSafe(live["rid"]) & (docs["h"] == live["rh"]))
     sets = set_rows(wanted, w)
     own = F.pmod(F.xxhash64("nid"), F.col("blocks").cast("long")).cast("int")
     cells = sets.select("cluster", "nid", "shingles", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from . import textops as tx
 from .byte_bpe import load
-from .common import Scratch, binary, broadcast_if, groups, spread
+from .common import Scratch, binary, groups, spread
 
 CAPACITY = 1024
 END = 2
@@ -147,7 +147,7 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             break
         moved = scratch.table(_merge_round(rest, nodes, capacity), f"round-{rounds}")
         step = moved.where("bin <> into").select(F.col("bin").alias("moved"), "into", "shift")
-        out = out.join(broadcast_if(step, 40), F.col("bin") == F.col("moved"), "left").withColumn("bin", F.coalesce("into", "bin")).withColumn("offset", F.col("offset") + F.coalesce("shift", F.lit(0))).drop("moved", "into", "shift")
+        out = out.join(step, F.col("bin") == F.col("moved"), "left").withColumn("bin", F.coalesce("into", "bin")).withColumn("offset", F.col("offset") + F.coalesce("shift", F.lit(0))).drop("moved", "into", "shift")
         rest = moved.where((F.col("bin") == F.col("into")) & (F.col("used") < full)).select("bin", "used")
         rounds += 1
     out = out.select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset", *(["ids"] if with_ids else []))

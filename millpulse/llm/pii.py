@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, broadcast_if
+from .common import Scratch
 
 # What entities look like.
 TITLES_F = "Mrs|Ms|Miss|Frau|Mme|Madame|Señora|Sra|Doña|Госпожа|Κυρία"
@@ -249,13 +249,13 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     found = scratch.table(seen.select("id", "h", "parts").where(F.exists("parts", lambda x: x["kind"] != "")), "parts")
     units = found.select("id", "h", F.posexplode("parts").alias("u", "x")).where("x.kind <> ''").select("id", "h", "u", "x.kind", "x.text").withColumn("canon", _canonical(F.col("kind"), F.col("text")))
     named = assign(units, key, scratch)
-    drawn = units.join(broadcast_if(named, F.length("canon") + F.length("surrogate") + 64), ["kind", "canon"])
+    drawn = units.join(named, ["kind", "canon"])
     drawn = drawn.groupBy("id", "h").agg(F.collect_set(F.struct("u", _written(F.col("kind"), F.col("text"), F.col("surrogate")).alias("text"))).alias("drawn"))
     both = found.dropDuplicates(["id", "h"]).join(drawn.withColumnsRenamed({"id": "did", "h": "dh"}), F.col("id").eqNullSafe(F.col("did")) & (F.col("h") == F.col("dh")))
     kept = F.filter(F.transform("parts", lambda x, i: F.struct(i.alias("u"), F.when(x["kind"] == "", x["text"]).alias("text"))), lambda x: x["text"].isNotNull())
     whole = F.array_join(F.transform(F.array_sort(F.concat(kept, "drawn")), lambda x: x["text"]), "")
     new = scratch.table(both.select(F.col("id").alias("nid"), F.col("h").alias("nh"), whole.alias("new"), F.size("drawn").cast("long").alias("many")), "texts")
     keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
-    out = keyed.join(broadcast_if(new, F.length("new") + 64), keyed["id"].eqNullSafe(new["nid"]) & (keyed["h"] == new["nh"]), "left")
+    out = keyed.join(new, keyed["id"].eqNullSafe(new["nid"]) & (keyed["h"] == new["nh"]), "left")
     cols = [F.coalesce("new", F.col("row").getField(c)).alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns]
     return out.select(*cols, F.coalesce("many", F.lit(0)).cast("long").alias("_entities"))
