@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, table
 from .decontaminate import find_contamination
+from .embedding_dedup import link_vectors
 from .language_id import identify
 from .line_dedup import deduplicate_lines
 from .minhash_dedup import near_duplicates
@@ -42,6 +43,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 #: The rules of the registered query: (host, path, verdict).
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
