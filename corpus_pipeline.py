@@ -1,16 +1,74 @@
-"""Corpus pipeline: documents -> cleaned, deduplicated, packed sequences."""
+"""Corpus pipeline: documents -> identified, deduplicated, decontaminated, packed.
+
+Each stage takes the documents that the stage before kept, as written and read
+again, and returns the columns of documents; the last one returns the pieces of
+packed sequences (columns of ``op3_best_fit_packing``).  Where a stage changes a
+text, ``n_chars`` follows.  Stages handle null and empty texts, repeated rows and
+empty tables as their operators say.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millpulse.llm.common import Scratch, documents, table
+from millpulse.llm.decontaminate import cut_contamination
+from millpulse.llm.language_id import keep_identified
+from millpulse.llm.line_dedup import deduplicate_lines
+from millpulse.llm.minhash_dedup import keep_one
+from millpulse.llm.packing import pack_documents
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the text as it is now."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: texts without an identified language go."""
+    return keep_identified(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: later copies of line runs go, and documents made of nothing else."""
+    out = deduplicate_lines(docs).where("_lines.removed = 0 or _lines.removed < _lines.total")
+    return _counted(out.drop("_lines"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: one document of each group of near copies stays."""
+    return keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: passages of benchmark items are cut out."""
+    return _counted(cut_contamination(docs, table(spark, sf_dir, "benchmark")))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: what is left, packed into sequences."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
-from millpulse.llm.common import documents
-from millpulse.llm.minhash_dedup import near_duplicates
 
-STAGES = []
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("packing", packing),
+]
 
+#: SQL expresses neither the language model nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir)
+    scratch = Scratch(spark, "pipeline")
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES:
+        docs = scratch.table(stage(spark, docs, sf_dir), name)
+    return docs

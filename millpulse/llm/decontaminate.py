@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,7 +133,7 @@ SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.Str
 
 
 def scan(docs: DataFrame, shared, window_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Merge one block's spans (in words) and items into docs (id, text, spans, items)."""
+    """Merge one block's spans (in words) and items into docs (rest, text, spans, items)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases: Phrases = shared.value
@@ -169,10 +169,10 @@ def scan(docs: DataFrame, shared, window_bytes: int = SHARD_BYTES) -> DataFrame:
                     names[d] = names[d] + [phrases.names[item]]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(1), _list_of_pairs(text_of, a - first[text_of], b - first[text_of], n), pa.array([sorted(set(x)) for x in names], pa.list_(pa.string()))],
-                    names=["id", "text", "spans", "items"],
+                    names=["rest", "text", "spans", "items"],
                 )
 
-    schema = T.StructType([docs.schema["id"], T.StructField("text", T.StringType()), T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType()))])
+    schema = T.StructType([docs.schema["rest"], T.StructField("text", T.StringType()), T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType()))])
     return docs.mapInArrow(run, schema)
 
 
@@ -197,29 +197,42 @@ def _report(docs: DataFrame) -> DataFrame:
                 digest = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array(np.diff(first).astype(np.int64)), pa.array(hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(digest), pa.array([x > 0 for x in hit]), rows.column(2), rows.column(3), pa.array(clean, pa.binary()).cast(pa.string())],
-                    names=["id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items", "clean_text"],
+                    names=["rest", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items", "clean_text"],
                 )
 
     schema = T.StructType([
-        docs.schema["id"], T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType()),
+        docs.schema["rest"], T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType()),
         T.StructField("contaminated", T.BooleanType()), T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("clean_text", T.StringType()),
     ])
     return docs.mapInArrow(run, schema)
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per row: id, n_words, n_hit, n_items, items_sha256, contaminated, spans, items, clean_text.
-
-    ``spans`` are the merged hits in word numbers; ``clean_text`` is the text
-    without them, each cut from its first word's start to its last word's end.
-    """
+def _found(docs: DataFrame, rest: Column, text: Column, benchmark: DataFrame, item_col: str, item_text_col: str, window: int, block_bytes: int) -> DataFrame:
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    out = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
+    out = docs.select(rest.alias("rest"), F.coalesce(text, F.lit("")).alias("text"), F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
     for b in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).toArrow()
         phrases = make_phrases(block.column("item").to_pylist(), block.column("text").to_pylist(), window)
         out = scan(out, spark.sparkContext.broadcast(phrases))
-    return _report(out).withColumnRenamed("id", id_col)
+    return _report(out)
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Per row: id, n_words, n_hit, n_items, items_sha256, contaminated, spans, items, clean_text.
+
+    ``spans`` are the merged hits in word numbers; ``clean_text`` is the text
+    without them, each cut from its first word's start to its last word's end.
+    """
+    out = _found(docs, F.col(id_col), F.col(text_col), benchmark, item_col, item_text_col, window, block_bytes)
+    return out.withColumnRenamed("rest", id_col)
+
+
+def cut_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs, all columns, with the clean text; documents made of nothing but hits go."""
+    rest = F.struct(*[docs[c] for c in docs.columns])
+    out = _found(docs, rest, F.col(text_col), benchmark, item_col, item_text_col, window, block_bytes).where("n_hit = 0 or n_hit < n_words")
+    clean = F.when(F.col("contaminated"), F.col("clean_text")).otherwise(F.col("rest").getField(text_col))
+    return out.select(*[clean.alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in docs.columns])

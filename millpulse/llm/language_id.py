@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +45,8 @@ TOP_GRAMS = 20_000
 ORDERS = (4, 3, 2, 1)
 ALPHA = 0.1
 UNKNOWN = "und"
+#: A filter keeps texts whose language has at least this score.
+LEAST_SCORE = 0.3
 #: Words that a worker keeps besides the model's.
 CACHE_WORDS = 200_000
 
@@ -196,6 +199,29 @@ def predict(docs: DataFrame, shared) -> DataFrame:
     return docs.select("id", "held", "text").mapInArrow(run, schema)
 
 
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = LEAST_SCORE, fit_docs: int = FIT_DOCS, top_words: int = TOP_WORDS, top_grams: int = TOP_GRAMS) -> DataFrame:
+    """The rows of docs, all columns, whose language is found with a score of at least ``least``.
+
+    A missing language becomes the one found; a given one stays.
+    """
+    spark = docs.sparkSession
+    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(~held_out(F.col("id")))
+    shared = spark.sparkContext.broadcast(fit(known, Scratch(spark, "language"), fit_docs, top_words, top_grams))
+    text_at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            found = [scorer.predict(t.as_py() or "") for t in batch.column(text_at)]
+            names = pa.array([x for x, _ in found], pa.string()).cast(batch.column(lang_at).type)
+            columns = list(batch.columns)
+            columns[lang_at] = pc.coalesce(columns[lang_at], names)
+            stays = pa.array([x != UNKNOWN and s >= least for x, s in found], pa.bool_())
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(stays)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_docs: int = FIT_DOCS, top_words: int = TOP_WORDS, top_grams: int = TOP_GRAMS) -> DataFrame:
     """Per row: id, held_out, lang_pred, score."""
     spark = docs.sparkSession

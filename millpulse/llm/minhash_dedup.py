@@ -24,7 +24,8 @@ Method
 Defined cases: null or blank text and text without words have the empty set,
 link with nothing and are kept.  Fewer than w words: the whole sequence is the
 one shingle.  Rows with a null id take part; they never name a component unless
-all its ids are null (then ``component_id`` is null and they are kept).
+all its ids are null (then ``component_id`` is null and they are kept); ``first``
+marks exactly one document of each group, also among equal ids.
 Repeated rows (same id and text) get the same answer.  Only the id and the text
 column are read; other columns, whatever their names, play no part.
 """
@@ -35,9 +36,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from . import textops as tx
 from .common import Scratch, binary, binary_values, groups, spread
@@ -213,15 +215,20 @@ def candidate_clusters(classes: DataFrame, m: int, scratch: Scratch) -> DataFram
     return found.select(F.col("node").alias("nid"), F.col("root").alias("cluster"))
 
 
+def _row() -> Column:
+    """A document's place among the copies of its set: rows with a null id come last."""
+    return F.struct(F.col("id").isNull().alias("unnamed"), "id", "h")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w: int = W, part: int = 85, whole: int = 100, m: int = TABLES, r: int = ROWS, block_sets: int = BLOCK_SETS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per row: id, h (hash of the text), n_shingles, component_id, kept.
+    """Per row: id, h (hash of the text), n_shingles, component_id, kept, first (the row of its group that stays).
 
     Links are pairs with ``whole * |x & y| >= part * |x | y|``.
     """
     scratch = Scratch(docs.sparkSession, "minhash")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     signed = scratch.table(signatures(docs, w, m, r), "signatures")
-    classes = signed.where("n > 0").groupBy("c1", "c2", "n").agg(F.min("id").alias("least"), F.min(F.struct("id", "h")).alias("rep"), F.first("parts").alias("parts"))
+    classes = signed.where("n > 0").groupBy("c1", "c2", "n").agg(F.min("id").alias("least"), F.min(_row()).alias("rep"), F.first("parts").alias("parts"))
     classes = scratch.table(classes.withColumn("nid", F.monotonically_increasing_id()), "classes")
     clusters = scratch.table(candidate_clusters(classes, m, scratch), "candidates")
     live = clusters.join(classes.select("nid", "n", "rep.id", "rep.h"), "nid")
@@ -233,8 +240,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cells = sets.select("cluster", "nid", "shingles", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     cells = cells.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "nid", "shingles")
     found = components(compare_cells(cells, part, whole), scratch, "links")
-    named = classes.select("nid", "c1", "c2", "n", "least").join(found, F.col("nid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "nid"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "root").select("c1", "c2", "n", "component_id")
+    named = classes.select("nid", "c1", "c2", "n", "least", "rep").join(found, F.col("nid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "nid"))
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"), F.min("rep").alias("first"))
+    named = named.join(least, "root").select("c1", "c2", "n", "component_id", "first")
     out = signed.join(named, ["c1", "c2", "n"], "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
-    return out.select(F.col("id").alias(id_col), "h", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select(F.col("id").alias(id_col), "h", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), F.coalesce(_row() == F.col("first"), F.lit(True)).alias("first"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of docs, all columns, of which one stays of each group of near copies.
+
+    Documents without words are in no group.  Of repeated rows one stays.
+    """
+    scratch = Scratch(docs.sparkSession, "keep")
+    stays = scratch.table(near_duplicates(docs, id_col, text_col, **how).where("first").select(F.col(id_col).alias("sid"), F.col("h").alias("sh"), (F.col("n_shingles") > 0).alias("words")).distinct(), "stays")
+    row = F.struct(*[docs[c] for c in docs.columns])
+    keyed = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"))
+    out = keyed.join(stays, keyed["id"].eqNullSafe(stays["sid"]) & (keyed["h"] == stays["sh"]))
+    copy = F.row_number().over(Window.partitionBy("id", "h").orderBy(F.lit(0)))
+    return out.withColumn("copy", copy).where("copy = 1 or not words").select("row.*")
