@@ -214,8 +214,14 @@ def run_checks(df: DataFrame, table: str, checks: list[tuple[str, str, dict]]) -
 
 
 def run_declared(tables, declared=None) -> DataFrame:
-    """Report for every declared test whose table is given (``tables`` maps
-    names to DataFrames; only the tables that have declared tests are read)."""
+    """Report for every declared test (``tables`` maps names to DataFrames).
+
+    A table that has declared tests and is not given raises: a report that lacks
+    it would read as passed.
+    """
     declared = DECLARED_MODEL_TESTS if declared is None else declared
-    parts = [run_checks(tables[name], name, checks) for name, checks in declared.items() if name in tables]
+    missing = [name for name in declared if name not in tables]
+    if missing:
+        raise KeyError(f"declared tests without their table: {', '.join(missing)}")
+    parts = [run_checks(tables[name], name, checks) for name, checks in declared.items()]
     return reduce(DataFrame.unionByName, parts)

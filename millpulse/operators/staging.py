@@ -29,7 +29,7 @@ def is_delayed(duration_variance) -> Column:
 def stg_telemetry(telemetry: DataFrame) -> DataFrame:
     return telemetry.where(_not_null("timestamp", "machine_id")).select(
         F.col("timestamp").alias("recorded_at"),
-        F.to_date("timestamp").alias("recording_date"),
+        F.col("date").alias("recording_date"),
         "machine_id",
         "shift_id",
         "status",

@@ -1,15 +1,21 @@
 """T6 and the model build: the yearly job end to end.
 
-``load_year``    S4 check -> declared-schema read -> clean (year range check)
-                 -> year-scoped replace of each raw table (swapped in at commit).  K9 counts: the raw
-                 count is a parquet row-group metadata count; the clean count is
-                 observed in the write itself (no extra pass over the data).
+``load_year``    all checks first, on all five files and tables: presence and
+                 columns (S4), years (``check_years``), stored layouts.  Then
+                 declared-schema read -> clean -> year-scoped replace of each
+                 raw table (swapped in at commit).  K9 counts: the raw count is
+                 a parquet row-group metadata count; the clean count is observed
+                 in the write itself (no extra pass over the data).
 ``build_models`` stage the raw tables -> write the enriched table once ->
                  read it back (lineage cut, shared by two marts) -> rebuild
                  the three marts -> declared data tests as a report table.
-``run_year``     both, in the order delete/replace year -> rebuild marts.
+``run_year``     both, in the order replace year -> rebuild marts.
 
-Run with spark-submit (ship the package with ``--py-files``)::
+Raw and model tables are read with their declared columns, so tables without
+rows work like any other.
+
+Run with spark-submit (ship the package with ``--py-files``); the exit status is
+1 when a data test fails::
 
     zip -r millpulse.zip millpulse
     spark-submit --py-files millpulse.zip millpulse/plans/pipeline.py \
@@ -20,26 +26,27 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import sys
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from millpulse.operators import quality
-from millpulse.operators.clean import CLEANERS
+from millpulse.operators.clean import clean, outside_years
 from millpulse.operators.enrich import enrich
 from millpulse.operators.staging import stage_all
 from millpulse.plans.failures import failure_analysis
 from millpulse.plans.health import machine_health
 from millpulse.plans.production import production_performance
 from millpulse.session import apply_sql_defaults
-from millpulse.sinks.tables import replace_year, write_table
-from millpulse.sources.files import check_sources, read_raw
-from millpulse.sources.schemas import SOURCE_NAMES
-
-# Raw tables: (cluster columns, rebalance columns) inside each load_year.  Telemetry
-# files are rebalanced by day and sorted by (date, machine_id) for min/max skipping.
-RAW_LAYOUT = {"telemetry": (["date", "machine_id"], ["date"])}
+from millpulse.sinks.tables import check_layouts, read_years, rebuild_table, replace_year
+from millpulse.sources.files import SourceError, check_sources, read_raw
+from millpulse.sources.schemas import SOURCE_NAMES, schema
 
+# Raw tables: cluster columns and day partition inside each load_year.
+RAW_LAYOUT = {"telemetry": (["machine_id"], "date")}
 # Model tables: (partition column, cluster columns).
 MODEL_LAYOUT = {
     "int_telemetry_enriched": (["recording_date"], ["machine_id"]),
@@ -49,34 +56,50 @@ MODEL_LAYOUT = {
 }
 
 
-def load_year(spark: SparkSession, prefix: str, year: int, raw_root: str) -> dict[str, dict]:
+def check_years(spark: SparkSession, prefix: str, year: int, slack_years: int = 1, most_outside: float = 0.5) -> None:
+    """Raise if a file's timestamps are not of the batch year.
+
+    A column fails when more than ``most_outside`` of its values lie further than
+    ``slack_years`` from the year: that is a file of another year or unit (micro-
+    instead of nanoseconds read as 1970), not an odd order planned far ahead.
+    ``most_outside=1`` turns the check off.
+    """
+    counted = [outside_years(read_raw(spark, prefix, name, year), name, year - slack_years, year + slack_years) for name in SOURCE_NAMES]
+    bad = [r for r in reduce(DataFrame.unionByName, counted).collect() if r["outside"] > most_outside * r["rows"]]
+    if bad:
+        raise SourceError("values outside batch year " + f"{year}: " + "; ".join(f"{r['source']}.{r['column']}: {r['outside']} of {r['rows']} (is the file in nanoseconds?)" for r in bad))
+
+
+def load_year(spark: SparkSession, prefix: str, year: int, raw_root: str, slack_years: int = 1, most_outside: float = 0.5) -> dict[str, dict]:
     """Load the five yearly files into ``{raw_root}/{name}``; returns row counts."""
     apply_sql_defaults(spark)
+    year = int(year)
+    roots = {name: f"{raw_root.rstrip('/')}/{name}" for name in SOURCE_NAMES}
     check_sources(spark, prefix, year)
+    check_years(spark, prefix, year, slack_years, most_outside)
+    check_layouts(spark, list(roots.values()))
     counts: dict[str, dict] = {}
-    for name in SOURCE_NAMES:
+    for name, root in roots.items():
         raw = read_raw(spark, prefix, name, year)
-        raw_rows = raw.count()  # answered from parquet row-group metadata
         written = Observation(f"{name}_clean")
-        cluster, rebalance = RAW_LAYOUT.get(name, ([], None))
-        action = replace_year(
-            spark, CLEANERS[name](raw, int(year)), f"{raw_root.rstrip('/')}/{name}", int(year),
-            cluster_by=cluster, rows=written, rebalance_by=rebalance,
-        )
-        counts[name] = {"raw": raw_rows, "clean": written.get["rows"], "write": action}
+        cluster, day = RAW_LAYOUT.get(name, ([], None))
+        action = replace_year(spark, clean(raw, name), root, year, cluster, day, written)
+        # the raw count is answered from parquet row-group metadata
+        counts[name] = {"raw": raw.count(), "clean": written.get["rows"], "write": action}
     return counts
 
 
+def clean_schema(spark: SparkSession, name: str) -> StructType:
+    """The declared columns of a cleaned table."""
+    fields = clean(spark.createDataFrame([], schema(name)), name).schema.fields
+    return StructType([StructField(f.name, f.dataType, True) for f in fields])
+
+
 def read_raw_tables(spark: SparkSession, raw_root: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{raw_root.rstrip('/')}/{name}") for name in SOURCE_NAMES}
+    return {name: read_years(spark, f"{raw_root.rstrip('/')}/{name}", clean_schema(spark, name)) for name in SOURCE_NAMES}
 
 
-def build_models(
-    spark: SparkSession,
-    raw_root: str,
-    model_root: str,
-    as_of: dt.datetime | None = None,
-) -> DataFrame:
+def build_models(spark: SparkSession, raw_root: str, model_root: str, as_of: dt.datetime | None = None) -> DataFrame:
     """Rebuild the enriched table and the marts; return the data-test report."""
     apply_sql_defaults(spark)
     root = model_root.rstrip("/")
@@ -84,51 +107,29 @@ def build_models(
     stg = stage_all(raw)
 
     def save(name: str, df: DataFrame) -> DataFrame:
-        parts, cluster = MODEL_LAYOUT[name]
-        write_table(df, f"{root}/{name}", parts, cluster)
-        return spark.read.parquet(f"{root}/{name}")
-
-    enriched = save(
-        "int_telemetry_enriched",
-        enrich(stg["telemetry"], stg["orders"], stg["failures"], stg["maintenance"], stg["demand"]),
-    )
-    health = save("mart_machine_health", machine_health(enriched))
-    failures = save(
-        "mart_failure_analysis", failure_analysis(stg["failures"], enriched, stg["maintenance"])
-    )
-    production = save(
-        "mart_production_performance", production_performance(stg["orders"], stg["demand"])
-    )
-
-    models = {
-        "stg_telemetry": stg["telemetry"],
-        "stg_failures": stg["failures"],
-        "stg_maintenance": stg["maintenance"],
-        "stg_orders": stg["orders"],
-        "stg_demand": stg["demand"],
+        return rebuild_table(spark, df, f"{root}/{name}", *MODEL_LAYOUT[name])
+
+    enriched = save("int_telemetry_enriched", enrich(stg["telemetry"], stg["orders"], stg["failures"], stg["maintenance"], stg["demand"]))
+    models = {f"stg_{name}": stg[name] for name in SOURCE_NAMES} | {
         "int_telemetry_enriched": enriched,
-        "mart_machine_health": health,
-        "mart_failure_analysis": failures,
-        "mart_production_performance": production,
+        "mart_machine_health": save("mart_machine_health", machine_health(enriched)),
+        "mart_failure_analysis": save("mart_failure_analysis", failure_analysis(stg["failures"], enriched, stg["maintenance"])),
+        "mart_production_performance": save("mart_production_performance", production_performance(stg["orders"], stg["demand"])),
     }
-    report = quality.run_declared(models).unionByName(
-        quality.run_declared(raw, quality.DECLARED_SOURCE_TESTS)
-    )
+    report = quality.run_declared(models).unionByName(quality.run_declared(raw, quality.DECLARED_SOURCE_TESTS))
     field, days = quality.FRESHNESS["telemetry"]
     as_of = as_of or dt.datetime.now(dt.timezone.utc)
     report = report.unionByName(quality.freshness_check(raw["telemetry"], "telemetry", field, as_of, days))
-    report.coalesce(1).write.mode("overwrite").parquet(f"{root}/_data_tests")
-    return spark.read.parquet(f"{root}/_data_tests")
+    return rebuild_table(spark, report, f"{root}/data_tests")
 
 
-def run_year(
-    spark: SparkSession, prefix: str, year: int, raw_root: str, model_root: str
-) -> tuple[dict, DataFrame]:
+def run_year(spark: SparkSession, prefix: str, year: int, raw_root: str, model_root: str) -> tuple[dict, DataFrame]:
     counts = load_year(spark, prefix, year, raw_root)
     return counts, build_models(spark, raw_root, model_root)
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None) -> int:
+    """Run one year; 0 when all data tests passed, else 1."""
     from millpulse.session import get_session
 
     p = argparse.ArgumentParser(description="Load one year of plant files and rebuild the marts")
@@ -142,7 +143,8 @@ def main(argv: list[str] | None = None) -> None:
         print(f"{name}: raw {c['raw']:,} clean {c['clean']:,} ({c['write']})")
     failed = report.where(~F.col("passed"))
     failed.show(truncate=False)
+    return 0 if failed.isEmpty() else 1
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

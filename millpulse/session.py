@@ -9,15 +9,14 @@ configuration leaves them unset.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
-# Settings the library's results depend on: dates in UTC, ANSI arithmetic.
+# Settings the library's results depend on: dates in UTC, ANSI arithmetic, epoch
+# columns annotated as nanosecond timestamps read as the INT64 they are.
 SQL_REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
 # Execution settings the plans are designed for (runtime broadcast conversion,
@@ -55,25 +54,7 @@ def get_session(
 
 
 def apply_sql_defaults(spark: SparkSession) -> None:
-    """Pin the SQL settings the library's semantics depend on (time zone, ANSI)."""
+    """Pin the SQL settings the library's semantics depend on (time zone, ANSI, epochs)."""
     for k, v in SQL_REQUIRED.items():
         spark.conf.set(k, v)
 
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
-
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) is a private folder created and registered.
-    """
-    conf = spark.sparkContext.getConf()
-    configured = conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="millpulse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local

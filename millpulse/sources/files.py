@@ -23,31 +23,22 @@ def year_path(prefix: str, name: str, year: int | str) -> str:
     return f"{prefix.rstrip('/')}/{name}_{year}.parquet"
 
 
-_NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+_NO_DATA = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
 def file_schema(spark: SparkSession, path: str) -> StructType | None:
     """Schema stored in the file (footer read), or None when there is no data file.
 
-    Epoch columns may be plain INT64 or INT64 annotated as TIMESTAMP(NANOS);
-    schema inference rejects the latter, so it is inferred as BIGINT here (the
-    declared-schema read handles both the same way).
+    Epoch columns may be plain INT64 or INT64 annotated as TIMESTAMP(NANOS); the
+    session settings (``session.SQL_REQUIRED``) have both read as BIGINT.
     """
-    previous = spark.conf.get(_NANOS_AS_LONG, None)
-    spark.conf.set(_NANOS_AS_LONG, "true")
     try:
         return spark.read.parquet(path).schema
     except AnalysisException as exc:
-        msg = str(exc)
         # missing path, or a folder without data files (e.g. left by an aborted write)
-        if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg or "does not exist" in msg.lower():
+        if exc.getCondition() in _NO_DATA:
             return None
         raise
-    finally:
-        if previous is None:
-            spark.conf.unset(_NANOS_AS_LONG)
-        else:
-            spark.conf.set(_NANOS_AS_LONG, previous)
 
 
 # Stored types a declared type can be read from (parquet reads widen these).
@@ -93,6 +84,3 @@ def read_raw(spark: SparkSession, prefix: str, name: str, year: int | str) -> Da
     """Declared-schema read of one yearly file (no inference, epochs as BIGINT)."""
     return spark.read.schema(schema(name)).parquet(year_path(prefix, name, year))
 
-
-def read_all(spark: SparkSession, prefix: str, year: int | str) -> dict[str, DataFrame]:
-    return {name: read_raw(spark, prefix, name, year) for name in SOURCE_NAMES}

@@ -22,11 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TABLES = [
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-    "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-]
-
 
 def _struct(*cols: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in cols])

@@ -14,9 +14,9 @@ from tests.fixtures import ns, raw_df, reading, small_year
 
 def test_null_keys_dropped(spark):
     rows = small_year()
-    t = clean.clean_telemetry(raw_df(spark, "telemetry", rows["telemetry"]))
+    t = clean.CLEANERS["telemetry"](raw_df(spark, "telemetry", rows["telemetry"]))
     assert t.count() == 4
-    f = clean.clean_failures(raw_df(spark, "failures", rows["failures"]))
+    f = clean.CLEANERS["failures"](raw_df(spark, "failures", rows["failures"]))
     assert f.count() == 1
 
 
@@ -32,7 +32,7 @@ def test_ns_conversion_is_exact(spark):
 
 
 def test_flags_any_nonzero_is_true(spark):
-    t = clean.clean_telemetry(
+    t = clean.CLEANERS["telemetry"](
         raw_df(spark, "telemetry", [reading("M", "2025-01-01T00:00:00", label_anomaly=2, is_running=0, is_weekend=None)])
     )
     r = t.first()
@@ -49,7 +49,7 @@ def test_orders_durations_and_delay(spark):
         dict(base, order_id="minus", timestamp_end=ns("2025-01-01T00:09:00"), duration_minutes_planned=10.0),
         dict(base, order_id="secs", timestamp_end=ns("2025-01-01T00:00:59.900"), duration_minutes_planned=0.0),
     ]
-    o = staging.stg_orders(clean.clean_orders(raw_df(spark, "orders", rows)))
+    o = staging.stg_orders(clean.CLEANERS["orders"](raw_df(spark, "orders", rows)))
     got = {r["order_id"]: r for r in o.collect()}
     assert got["null_end"]["actual_duration_minutes"] is None
     assert got["null_end"]["duration_variance_minutes"] is None
@@ -63,16 +63,27 @@ def test_orders_durations_and_delay(spark):
 
 def test_orders_year_from_planned_date(spark):
     rows = [{"order_id": "a", "timestamp_planned": None}, {"order_id": "b", "timestamp_planned": ns("2024-12-31T23:00:00")}]
-    o = clean.clean_orders(raw_df(spark, "orders", rows)).select("order_id", "year").collect()
+    o = clean.CLEANERS["orders"](raw_df(spark, "orders", rows)).select("order_id", "year").collect()
     assert {r[0]: r[1] for r in o} == {"a": None, "b": 2024}
 
 
-def test_microsecond_file_rejected_by_year_check(spark):
+def test_year_guard_is_optional_and_covers_every_table(spark):
     us = ns("2025-05-01T00:00:00") // 1000  # a file written in microseconds
     df = raw_df(spark, "telemetry", [reading("M", "2025-05-01T00:00:00", timestamp=us)])
-    with pytest.raises(Exception, match="outside batch year 2025"):
-        clean.clean_telemetry(df, 2025).collect()
-    assert clean.clean_telemetry(raw_df(spark, "telemetry", [reading("M", "2025-05-01T00:00:00")]), 2025).count() == 1
+    assert clean.clean(df, "telemetry").count() == 1
+    with pytest.raises(Exception, match="timestamp outside 2024-2026"):
+        clean.clean(df, "telemetry", (2024, 2026)).collect()
+    for name, rows in small_year().items():
+        table = clean.clean(raw_df(spark, name, rows), name, (2025, 2025))
+        assert table.count() == clean.clean(raw_df(spark, name, rows), name).count()
+        with pytest.raises(Exception, match="outside 2030-2031"):
+            clean.clean(raw_df(spark, name, rows), name, (2030, 2031)).collect()
+
+
+def test_outside_years_counts(spark):
+    rows = [{"order_id": "a", "timestamp_planned": ns("2027-01-01T00:00:00")}, {"order_id": "b", "timestamp_planned": ns("2025-01-01T00:00:00")}]
+    got = {r["column"]: (r["rows"], r["outside"]) for r in clean.outside_years(raw_df(spark, "orders", rows), "orders", 2024, 2026).collect()}
+    assert got == {"timestamp_planned": (2, 1), "timestamp_start": (0, 0), "timestamp_end": (0, 0)}
 
 
 def test_staged_column_counts(spark):
@@ -85,8 +96,8 @@ def test_staged_column_counts(spark):
 
 def test_staging_renames(spark):
     rows = small_year()
-    t = staging.stg_telemetry(clean.clean_telemetry(raw_df(spark, "telemetry", rows["telemetry"])))
+    t = staging.stg_telemetry(clean.CLEANERS["telemetry"](raw_df(spark, "telemetry", rows["telemetry"])))
     assert {"recorded_at", "recording_date", "failure_predicted_24h", "predicted_failure_type"} <= set(t.columns)
-    d = staging.stg_demand(clean.clean_demand(raw_df(spark, "demand", rows["demand"])))
+    d = staging.stg_demand(clean.CLEANERS["demand"](raw_df(spark, "demand", rows["demand"])))
     assert d.columns[0] == "demand_date"
     assert d.where(F.col("is_weekend")).count() == 1

@@ -8,8 +8,9 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from millpulse.plans.pipeline import build_models, load_year, run_year
-from millpulse.sinks.tables import replace_days, table_layout
+from millpulse.plans import pipeline
+from millpulse.plans.pipeline import clean_schema, load_year, read_raw_tables, run_year
+from millpulse.sinks.tables import LayoutError, migrate_by_year, read_years, rebuild_table, replace_days, replace_year, table_layout
 from millpulse.sources.files import SourceError, check_sources, year_path
 from tests.fixtures import ns, raw_df, small_year, year_files
 
@@ -76,17 +77,59 @@ def test_other_years_kept_and_year_fully_replaced(spark, work):
     assert tel.where(F.col("date") == dt.date(2025, 3, 2)).count() == 0
 
 
-def test_legacy_layout_recreated(spark, work):
+def test_unknown_layout_recreated(spark, work):
     src, raw_root = f"{work}/src", f"{work}/raw"
     year_files(spark, src, 2025, small_year(2025))
-    spark.range(3).write.parquet(f"{raw_root}/demand")  # table without load_year
-    assert table_layout(spark, f"{raw_root}/demand") == "legacy"
+    spark.range(3).write.parquet(f"{raw_root}/demand")  # neither load_year nor year nor date
+    assert table_layout(spark, f"{raw_root}/demand") == "unknown"
     counts = load_year(spark, src, 2025, raw_root)
     assert counts["demand"]["write"] == "recreated"
     assert table_layout(spark, f"{raw_root}/demand") == "by_year"
     assert spark.read.parquet(f"{raw_root}/demand").count() == 2
 
 
+@pytest.mark.parametrize("name", ["telemetry", "failures", "maintenance", "orders", "demand"])
+def test_other_layouts_are_refused_before_any_write_and_migrate_losslessly(spark, work, name):
+    from millpulse.operators.clean import clean
+
+    src, raw_root = f"{work}/src", f"{work}/raw"
+    old = None
+    for year in (2023, 2024):
+        table = clean(raw_df(spark, name, small_year(year)[name]), name)
+        old = table if old is None else old.unionByName(table)
+    old.write.parquet(f"{work}/old/{name}")
+    kept = old.count()
+    old.write.parquet(f"{raw_root}/{name}")
+    year_files(spark, src, 2025, small_year(2025))
+    with pytest.raises(LayoutError):
+        load_year(spark, src, 2025, raw_root)
+    assert spark.read.parquet(f"{raw_root}/{name}").count() == kept
+    import os
+
+    assert os.listdir(raw_root) == [name]
+    new_root = f"{work}/new"
+    migrate_by_year(spark, f"{work}/old/{name}", f"{new_root}/{name}", "date" if name == "telemetry" else "year")
+    load_year(spark, src, 2025, new_root)
+    load_year(spark, src, 2025, new_root)
+    whole = read_years(spark, f"{new_root}/{name}", clean_schema(spark, name))
+    assert whole.where("load_year <> 2025").count() == kept
+    assert whole.where("load_year = 2025").count() == clean(raw_df(spark, name, small_year(2025)[name]), name).count()
+
+
+@pytest.mark.parametrize("name", ["telemetry", "failures", "maintenance", "orders", "demand"])
+def test_empty_batch_empties_exactly_its_year(spark, work, name):
+    from millpulse.operators.clean import clean
+
+    root, day = f"{work}/{name}", "date" if name == "telemetry" else None
+    table = {y: clean(raw_df(spark, name, small_year(y)[name]), name) for y in (2024, 2025)}
+    for y, df in table.items():
+        replace_year(spark, df, root, y, day_col=day)
+    assert replace_year(spark, table[2025].limit(0), root, 2025, day_col=day) == "replaced"
+    got = read_years(spark, root, clean_schema(spark, name))
+    assert [r[0] for r in got.select("load_year").distinct().collect()] == [2024]
+    assert got.count() == table[2024].count()
+
+
 def test_replace_days_keeps_other_days(spark, work):
     root = f"{work}/t"
     df = spark.createDataFrame([(dt.date(2025, 1, 1), 1), (dt.date(2025, 1, 2), 2)], "date date, v int")
@@ -96,26 +139,100 @@ def test_replace_days_keeps_other_days(spark, work):
     assert got == [(1, 1), (2, 9)]
 
 
-def test_run_year_builds_models_and_report(spark, work):
+def _model(spark, root, name):
+    from millpulse.sinks.tables import current_version
+
+    return spark.read.parquet(current_version(spark, f"{root}/{name}"))
+
+
+def test_run_year_builds_models_and_report(spark, work, monkeypatch):
+    from millpulse.operators.enrich import ENRICHED_COLUMNS
+    from millpulse.plans.failures import FAILURE_COLUMNS
+    from millpulse.plans.production import PRODUCTION_COLUMNS
+
     src = f"{work}/src"
     year_files(spark, src, 2025, small_year(2025))
+    stored = {}
+    rebuild = pipeline.rebuild_table
+    monkeypatch.setattr(pipeline, "rebuild_table", lambda s, df, root, *a: stored.setdefault(root.rsplit("/", 1)[1], rebuild(s, df, root, *a)))
     counts, report = run_year(spark, src, 2025, f"{work}/raw", f"{work}/models")
-    m = f"{work}/models"
-    enriched = spark.read.parquet(f"{m}/int_telemetry_enriched")
-    assert enriched.count() == 4 and len(enriched.columns) == 44
-    health = spark.read.parquet(f"{m}/mart_machine_health")
-    assert len(health.columns) == 28
-    fa = spark.read.parquet(f"{m}/mart_failure_analysis").first()
+    enriched = stored["int_telemetry_enriched"]
+    assert enriched.count() == 4 and enriched.columns == ENRICHED_COLUMNS
+    assert len(stored["mart_machine_health"].columns) == 28
+    assert stored["mart_failure_analysis"].columns == FAILURE_COLUMNS
+    fa = stored["mart_failure_analysis"].first()
     assert fa["failure_id"] == "F1" and fa["minutes_to_first_maintenance"] == 60
     assert fa["avg_bearing_health_24h_prior"] == 0.9 and fa["was_predicted"] is True
-    prod = spark.read.parquet(f"{m}/mart_production_performance")
-    assert len(prod.columns) == 19
+    assert stored["mart_production_performance"].columns == PRODUCTION_COLUMNS
     rep = {(r["table"], r["column"], r["check"]): r for r in report.collect()}
     assert rep[("stg_orders", "order_id", "unique")]["passed"] is True
     assert rep[("telemetry", "loaded_at", "freshness")]["passed"] is True
     assert len(rep) == 51
 
 
+@pytest.mark.parametrize("empty", [["failures"], ["maintenance"], ["telemetry", "failures", "maintenance", "orders", "demand"]])
+def test_tables_without_rows_end_to_end(spark, work, empty):
+    src = f"{work}/src"
+    rows = small_year(2025)
+    # a file without rows, or one whose rows are all dropped for a missing key
+    for name in empty:
+        rows[name] = [] if len(empty) == 1 else [{}]
+    year_files(spark, src, 2025, rows)
+    counts, report = run_year(spark, src, 2025, f"{work}/raw", f"{work}/models")
+    assert all(counts[name]["clean"] == 0 for name in empty)
+    raw = read_raw_tables(spark, f"{work}/raw")
+    assert all(raw[name].count() == 0 and raw[name].columns[:-1] == clean_schema(spark, name).names for name in empty)
+    assert report.count() == 51
+    if "telemetry" in empty:
+        assert {r["check"] for r in report.where("not passed").collect()} == {"freshness"}
+
+
+def test_failed_rebuild_keeps_the_previous_version(spark, work):
+    root = f"{work}/t"
+    rebuild_table(spark, spark.range(5).toDF("v"), root)
+    with pytest.raises(Exception, match="broken"):
+        rebuild_table(spark, spark.range(5).select(F.raise_error(F.lit("broken")).cast("bigint").alias("v")), root)
+    assert _model(spark, work, "t").count() == 5
+    assert rebuild_table(spark, spark.range(7).toDF("v"), root).count() == 7
+
+
+def test_main_exits_non_zero_when_a_test_fails(spark, work):
+    rows = small_year(2025)
+    rows["orders"] = rows["orders"][:1]  # the other one has no planned month, which is a violation
+    year_files(spark, f"{work}/good", 2025, rows)
+    assert pipeline.main(["--input-prefix", f"{work}/good", "--year", "2025", "--out", f"{work}/a"]) == 0
+    rows["orders"].append(dict(rows["orders"][0]))
+    year_files(spark, f"{work}/bad", 2025, rows)
+    assert pipeline.main(["--input-prefix", f"{work}/bad", "--year", "2025", "--out", f"{work}/b"]) == 1
+
+
+def test_declared_tests_need_their_table(spark):
+    from millpulse.operators import quality
+
+    with pytest.raises(KeyError, match="stg_failures"):
+        quality.run_declared({"stg_telemetry": spark.range(1)})
+
+
+def test_odd_order_loads_and_day_partitions_prune(spark, work):
+    import contextlib
+    import io
+
+    from millpulse.operators.staging import stg_telemetry
+
+    rows = small_year(2025)
+    rows["orders"] += [{"order_id": f"x{i}", "timestamp_planned": ns("2025-05-01T00:00:00")} for i in range(3)]
+    rows["orders"].append({"order_id": "far", "timestamp_planned": ns("2027-05-01T00:00:00")})
+    year_files(spark, f"{work}/src", 2025, rows)
+    counts = load_year(spark, f"{work}/src", 2025, f"{work}/raw")
+    assert counts["orders"]["clean"] == 6
+    t = stg_telemetry(read_raw_tables(spark, f"{work}/raw")["telemetry"]).where("recording_date = date'2025-03-02'")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        t.explain()
+    assert "PartitionFilters: [isnotnull(date" in buf.getvalue()
+    assert t.count() == 1
+
+
 def test_failure_window_prunes_enriched_partitions(spark, work):
     """On the written enriched table (partitioned by recording_date) the
     day-bucketed J5 prunes partitions to failure days at run time."""
@@ -131,7 +248,7 @@ def test_failure_window_prunes_enriched_partitions(spark, work):
     r = roles.all_roles(spark, SF_SMALL)
     path = f"{work}/enriched"
     write_table(enrich(r["telemetry"], r["orders"], r["failures"], r["maintenance"], r["demand"]),
-                path, ["recording_date"], ["machine_id"])
+                path, ["recording_date"], ["machine_id"], rebalance_by=["recording_date"])
     p = pre_failure_state(r["failures"], spark.read.parquet(path))
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
