@@ -71,38 +71,37 @@ def column(batch: pa.RecordBatch, name: str) -> np.ndarray:
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 0) -> Iterator[pa.Table]:
     """Whole groups of batches sorted by ``keys``, one table each time.
 
-    With ``rows`` a table holds consecutive whole groups of at least so many rows.
+    With ``rows`` a table holds consecutive whole groups of more than so many rows.
     """
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        if not batch.num_rows:
+        n = batch.num_rows
+        if not n:
             continue
-        change = np.zeros(batch.num_rows, dtype=bool)
+        change = np.zeros(n, dtype=bool)
         for k in keys:
             v = column(batch, k)
             change[1:] |= v[1:] != v[:-1]
             if held:
                 change[0] |= v[0] != column(held[-1], k)[-1]
-        start = 0
-        for at in np.flatnonzero(change):
-            if at > start:
-                held.append(batch.slice(start, at - start))
-                size += at - start
-                start = at
-            if held and size > rows:
-                yield pa.Table.from_batches(held)
-                held, size = [], 0
-        held.append(batch.slice(start))
-        size += batch.num_rows - start
+        starts, at = np.flatnonzero(change), 0
+        while True:
+            # the next group's start with enough rows before it
+            k = int(np.searchsorted(starts, at + max(rows + 1 - size, 0 if size else 1)))
+            if k == len(starts):
+                break
+            cut = int(starts[k])
+            if cut > at:
+                held.append(batch.slice(at, cut - at))
+            yield pa.Table.from_batches(held)
+            held, size, at = [], 0, cut
+        held.append(batch.slice(at))
+        size += n - at
     if held:
         yield pa.Table.from_batches(held)
 
 
-def out_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
 def binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     """Binary column of consecutive slices of an array; ``ends`` counts elements, from 0 on."""
     raw = np.ascontiguousarray(values)

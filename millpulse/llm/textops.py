@@ -87,7 +87,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
-def text_blocks(column: pa.Array, most_bytes: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_blocks(column: pa.Array, most_bytes: int = 1 << 19) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, data, offs) of runs of texts of about ``most_bytes``; null: empty.
 
     A longer text is a block of its own: texts are never cut.
