@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millpulse.operators.joins import DEFAULT_BROADCAST_BYTES, broadcastable, lookup_join
+from millpulse.operators.joins import lookup_join
 
 # Output contract: 44 columns in this order.
 ENRICHED_COLUMNS = [
@@ -45,8 +45,6 @@ def enrich(
     failures: DataFrame,
     maintenance: DataFrame,
     demand: DataFrame,
-    *,
-    max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join staged orders, failures, maintenance and demand onto staged telemetry."""
     o = orders.select(
@@ -74,18 +72,12 @@ def enrich(
         F.col("expected_total_tons").alias("daily_expected_tons"),
         F.col("seasonal_index").alias("daily_seasonal_index"),
     )
-    # Smallest dimensions first: they broadcast into the scan stage.
-    joins = [
+    t = telemetry
+    for dim, fact_key, dim_key in [
         (d, "recording_date", "demand_date"),
         (f, "last_failure_id", "failure_id"),
         (m, "active_maintenance_id", "maintenance_id"),
         (o, "active_order_id", "order_id"),
-    ]
-    if max_broadcast_bytes is None:
-        flags = [False] * len(joins)
-    else:  # one bounded counting job for all four dimensions
-        flags = broadcastable([dim.where(F.col(k).isNotNull()) for dim, _, k in joins], max_broadcast_bytes)
-    t = telemetry
-    for (dim, fact_key, dim_key), flag in zip(joins, flags):
-        t = lookup_join(t, dim, fact_key, dim_key, spread_by=_SPREAD_BY, broadcast=flag)
+    ]:
+        t = lookup_join(t, dim, fact_key, dim_key, spread_by=_SPREAD_BY)
     return t.select(*ENRICHED_COLUMNS)

@@ -1,18 +1,15 @@
 """Join each anchor event to the points of the same key that precede it
 within a look-back window: ``anchor_ts - lookback <= point_ts < anchor_ts``.
 
-Spark has no interval join.  Written as "equi-join on the key, range as a
-post-filter" (``window_join_plain``) every anchor is compared with its key's
-whole history, and with few keys (machines) the work lands on few tasks.
-
-``window_join`` adds the calendar day to the equi-join key: each anchor is
-exploded to the days its window touches (two for 24 h), each point sits in
-exactly one day, so no pair is produced twice and the exact time predicates
-stay as the post-filter.  A hot key (a machine with a third of all readings)
-is split over its days.  The anchors side is broadcast when its size is
-proven small; otherwise the points are first semi-joined against the set of
-(key, day) buckets (broadcast when bounded) so only readings on anchor days
-reach the shuffle.
+Spark has no interval join.  As "equi-join on the key, range as a post-filter"
+every anchor is compared with its key's whole history, and with few keys
+(machines) the work lands on few tasks.  ``window_join`` adds the calendar day
+to the equi-join key: each anchor is exploded to the days its window touches
+(two for 24 h), each point sits in exactly one day, so no pair is produced twice
+and the exact time predicates stay as the post-filter.  A hot key (a machine
+with a third of all readings) is split over its days.  Catalyst broadcasts the
+anchors where their measured size allows it, which also prunes the points' day
+partitions; elsewhere both sides are shuffled on (key, day).
 """
 
 from __future__ import annotations
@@ -20,44 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millpulse.operators.joins import DEFAULT_BROADCAST_BYTES, broadcastable
-
 _DAY = "__window_day"
 
 
-def _prefixed(points: DataFrame, on: list[str]) -> tuple[DataFrame, dict[str, str]]:
-    names = {k: f"__p_{k}" for k in on}
-    for k, v in names.items():
-        points = points.withColumnRenamed(k, v)
-    return points, names
-
-
-def _lookback(hours: int):
-    return F.expr(f"INTERVAL {int(hours)} HOURS")
-
-
-def window_join_plain(
-    anchors: DataFrame,
-    points: DataFrame,
-    on: list[str],
-    anchor_ts: str,
-    point_ts: str,
-    lookback_hours: int = 24,
-) -> DataFrame:
-    """Brute-force form: equi-join on ``on`` with the window as a post-filter.
-
-    Compares every anchor with every point of its key, so it is kept only as
-    the test oracle of ``window_join`` on small data, never for whole tables.
-    """
-    p, names = _prefixed(points, on)
-    cond = [F.col(k) == F.col(names[k]) for k in on]
-    cond += [
-        F.col(point_ts) >= F.col(anchor_ts) - _lookback(lookback_hours),
-        F.col(point_ts) < F.col(anchor_ts),
-    ]
-    return anchors.join(p, cond, "inner").drop(*names.values())
-
-
 def window_join(
     anchors: DataFrame,
     points: DataFrame,
@@ -66,30 +28,21 @@ def window_join(
     point_ts: str,
     point_day: str,
     lookback_hours: int = 24,
-    *,
-    max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Day-bucketed interval join; same rows as ``window_join_plain``.
+    """Day-bucketed interval join.
 
     ``point_day`` must be ``to_date(point_ts)`` (e.g. the partition column
     ``recording_date``), which also lets the scan prune day partitions.
     """
-    lb = _lookback(lookback_hours)
-    a = anchors.withColumn(
-        _DAY, F.explode(F.sequence(F.to_date(F.col(anchor_ts) - lb), F.to_date(F.col(anchor_ts))))
-    )
-    p, names = _prefixed(points, on)
+    lookback = F.expr(f"INTERVAL {int(lookback_hours)} HOURS")
+    days = F.sequence(F.to_date(F.col(anchor_ts) - lookback), F.to_date(F.col(anchor_ts)))
+    a = anchors.withColumn(_DAY, F.explode(days))
+    names = {k: f"__p_{k}" for k in on}
+    p = points.withColumnsRenamed(names)
     cond = [F.col(k) == F.col(names[k]) for k in on]
     cond += [
         F.col(point_day) == F.col(_DAY),
-        F.col(point_ts) >= F.col(anchor_ts) - lb,
+        F.col(point_ts) >= F.col(anchor_ts) - lookback,
         F.col(point_ts) < F.col(anchor_ts),
     ]
-    if max_broadcast_bytes is None:
-        return p.join(a, cond, "inner").drop(*names.values(), _DAY)
-    if broadcastable([a], max_broadcast_bytes)[0]:
-        return p.join(F.broadcast(a), cond, "inner").drop(*names.values(), _DAY)
-    buckets = a.select(*[F.col(k).alias(names[k]) for k in on], F.col(_DAY).alias(point_day)).distinct()
-    if broadcastable([buckets], max_broadcast_bytes)[0]:
-        p = p.join(F.broadcast(buckets), [*names.values(), point_day], "left_semi")
     return p.join(a, cond, "inner").drop(*names.values(), _DAY)

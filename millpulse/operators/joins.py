@@ -1,74 +1,29 @@
-"""Lookup (dimension) joins with a checked broadcast and a skew-safe fallback.
+"""Lookup (dimension) joins that need no job of their own.
 
 ``lookup_join(fact, dim, fact_key, dim_key)`` is a LEFT equi-join of a small
-table onto a large one (the enrichment joins J1-J4 and the mart joins J6-J8).
-
-* The dimension is broadcast only after its row count proves it fits (the
-  byte bound is rows times an estimated row width; see ``broadcastable``).
-* Otherwise the join shuffles.  Fact rows whose key is NULL can never match,
-  but hash partitioning would send all of them to one reducer; their join key
-  is replaced by one of ``null_spread`` deterministic sentinel values (a hash
-  of the row's identity columns; by default as many as shuffle partitions), so
-  the NULL group is split over all reducers, and an ``IS NOT NULL`` guard in the join condition keeps the
-  sentinels from matching.  Hot non-NULL keys are left to adaptive skew-join
-  splitting, which applies to the fact (left) side of a left outer join.
+table onto a large one (the enrichment joins J1-J4 and M3's forecast).  Whether
+the dimension is broadcast is Catalyst's decision, from the measured size of its
+files and ``spark.sql.autoBroadcastJoinThreshold``; nothing is counted while the
+plan is built, and a dimension whose columns nobody uses costs nothing.
+
+On the shuffle path, fact rows whose key is NULL can never match, but hash
+partitioning would send all of them to one reducer.  Their join key is replaced
+by one of ``null_spread`` sentinel values (a hash of the row's identity
+columns; by default as many as shuffle partitions), and an ``IS NOT NULL`` guard
+in the join condition keeps a sentinel from matching.  Hot keys that are not
+NULL are split by adaptive skew joins, which apply to the fact (left) side of a
+left outer join.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_NULL_SPREAD = 64
 _SPREAD = "__null_spread"
-
-
-_WIDTH = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
-    T.TimestampNTZType: 8, T.DecimalType: 16,
-}
-_STRING_WIDTH = 32  # assumed average for strings, binaries and nested values
-_SPREADABLE = (T.StringType, T.LongType, T.IntegerType, T.ShortType)
-
-
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row in the broadcast hash relation: hash-table entry
-    overhead, the row's null bitmap (one word per 64 fields) and the values."""
-    n = len(df.schema.fields)
-    cols = sum(_WIDTH.get(type(f.dataType), _STRING_WIDTH) for f in df.schema.fields)
-    return 16 + 8 * ((n + 63) // 64) + cols
-
-
-def max_broadcast_rows(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
-    return max(1, max_bytes // row_width(df))
-
-
-def broadcastable(dfs: list[DataFrame], max_bytes: int = DEFAULT_BROADCAST_BYTES) -> list[bool]:
-    """For each DataFrame: does it have at most ``max_bytes / row_width`` rows?
-
-    One job for all of them: each input is counted with a global aggregate
-    (one partial count per partition, a single tiny reduce), and only the
-    counts come back to the driver.  Unlike ``limit(n).count()``, which
-    gathers up to n rows of every partition into one task, this stays cheap
-    for a dimension that turns out to be large, and a plain parquet input is
-    counted from row-group metadata without decoding data pages.
-    """
-    if not dfs:
-        return []
-    bounds = [max_broadcast_rows(df, max_bytes) for df in dfs]
-    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, df in enumerate(dfs)]
-    got = {r["i"]: r["n"] for r in reduce(DataFrame.unionAll, counts).collect()}
-    return [got[i] <= n for i, n in enumerate(bounds)]
-
-
-def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_bytes / row_width`` rows (bounded count)."""
-    return broadcastable([df], max_bytes)[0]
+_SPREADABLE = (T.StringType, T.LongType, T.IntegerType)
 
 
 def lookup_join(
@@ -77,40 +32,32 @@ def lookup_join(
     fact_key: str,
     dim_key: str,
     *,
-    max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
     spread_by: list[str] | None = None,
     null_spread: int | None = None,
-    broadcast: bool | None = None,
+    broadcast: bool = False,
 ) -> DataFrame:
     """LEFT JOIN ``dim`` ON fact_key = dim_key; the dim key column is dropped.
 
     Fan-out is kept as in SQL: a dim key present twice doubles the fact row.
-    ``max_broadcast_bytes=None`` skips the size check and never hints;
-    ``broadcast`` passes the result of a check already made (``broadcastable``).
+    ``broadcast`` is for dimensions of a structurally bounded size only.
     ``null_spread`` defaults to the session's shuffle partition count (at least
     ``DEFAULT_NULL_SPREAD``), so NULL keys can use every reducer.
     """
     rk = f"__rk_{dim_key}"
     d = dim.where(F.col(dim_key).isNotNull()).withColumnRenamed(dim_key, rk)
-    if broadcast is None:
-        broadcast = max_broadcast_bytes is not None and fits_broadcast(d, max_broadcast_bytes)
     if broadcast:
-        out = fact.join(F.broadcast(d), F.col(fact_key) == F.col(rk), "left")
-        return out.drop(rk)
+        return fact.join(F.broadcast(d), F.col(fact_key) == F.col(rk), "left").drop(rk)
     key_type = fact.schema[fact_key].dataType
-    if spread_by and isinstance(key_type, _SPREADABLE):
-        # NULL keys become one of ``null_spread`` sentinel keys, so the NULL
-        # group hashes to many reducers; the IS NOT NULL guard keeps a
-        # sentinel from ever matching a real dimension key.
-        if null_spread is None:
-            partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            null_spread = max(DEFAULT_NULL_SPREAD, partitions)
-        sentinel = F.pmod(F.xxhash64(*spread_by), F.lit(null_spread))
-        if isinstance(key_type, T.StringType):
-            sentinel = F.concat(F.lit("\u0000null-"), sentinel.cast("string"))
-        else:
-            sentinel = (F.lit(-1) - sentinel).cast(key_type)
-        f = fact.withColumn(_SPREAD, F.coalesce(F.col(fact_key), sentinel))
-        cond = (F.col(_SPREAD) == F.col(rk)) & F.col(fact_key).isNotNull()
-        return f.join(d, cond, "left").drop(rk, _SPREAD)
-    return fact.join(d, F.col(fact_key) == F.col(rk), "left").drop(rk)
+    if not spread_by or not isinstance(key_type, _SPREADABLE):
+        return fact.join(d, F.col(fact_key) == F.col(rk), "left").drop(rk)
+    if null_spread is None:
+        partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        null_spread = max(DEFAULT_NULL_SPREAD, partitions)
+    sentinel = F.pmod(F.xxhash64(*spread_by), F.lit(null_spread))
+    if isinstance(key_type, T.StringType):
+        sentinel = F.concat(F.lit("\u0000null-"), sentinel.cast("string"))
+    else:
+        sentinel = (F.lit(-1) - sentinel).cast(key_type)
+    f = fact.withColumn(_SPREAD, F.coalesce(F.col(fact_key), sentinel))
+    cond = (F.col(_SPREAD) == F.col(rk)) & F.col(fact_key).isNotNull()
+    return f.join(d, cond, "left").drop(rk, _SPREAD)

@@ -122,6 +122,11 @@ def _violation_expr(column: str, check: str, params: dict) -> Column:
     raise ValueError(f"not a row-level check: {check}")
 
 
+def violations(check: tuple[str, str, dict]) -> Column:
+    """The number of violations of a row-level check, as an aggregate."""
+    return _violation_expr(*check)
+
+
 def _report(table: str, rows: DataFrame) -> DataFrame:
     """``rows`` has column, check, params, violations -> full report shape."""
     return rows.select(
@@ -134,24 +139,27 @@ def _report(table: str, rows: DataFrame) -> DataFrame:
     )
 
 
-def row_checks(df: DataFrame, table: str, checks: list[tuple[str, str, dict]]) -> DataFrame:
-    """D1/D3/D4 for one table in one aggregate pass, unpivoted to one row per check."""
-    exprs = [
-        _violation_expr(col, check, params).alias(f"c{i}")
-        for i, (col, check, params) in enumerate(checks)
-    ]
-    wide = df.agg(*exprs)
-    entries = [
+Check = tuple[str, str, dict]
+
+
+def aggregate_checks(df: DataFrame, checks: list[tuple[str, Check, Column]]) -> DataFrame:
+    """Report rows of (table, check, violations as an aggregate over ``df``), in one pass."""
+    rows = [
         F.struct(
-            F.lit(col).alias("column"),
+            F.lit(table).alias("table"),
+            F.lit(column).alias("column"),
             F.lit(check).alias("check"),
             F.lit(_params(params)).alias("params"),
-            F.col(f"c{i}").alias("violations"),
+            violations.cast("bigint").alias("violations"),
         )
-        for i, (col, check, params) in enumerate(checks)
+        for table, (column, check, params), violations in checks
     ]
-    long = wide.select(F.inline(F.array(*entries)))
-    return _report(table, long)
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows")).withColumn("passed", F.col("violations") == 0)
+
+
+def row_checks(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
+    """D1/D3/D4 for one table in one aggregate pass, one row per check."""
+    return aggregate_checks(df, [(table, c, _violation_expr(*c)) for c in checks])
 
 
 def unique_check(df: DataFrame, table: str, column: str) -> DataFrame:

@@ -78,23 +78,27 @@ def pearson(x, y) -> Column:
     return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
 
 
-def pressure_correlation(health: DataFrame, production: DataFrame) -> DataFrame:
-    """Q7: Pearson correlation of operational pressure with delays (monthly
-    groups) and with failure-predicting readings (machine-days)."""
-    pairs = [
-        (production, "avg_demand_index", "delay_rate"),
-        (production, "avg_rush_factor", "delay_rate"),
-        (health, "avg_demand_index", "readings_predicting_failure_24h"),
-        (health, "avg_rush_factor", "readings_predicting_failure_24h"),
-    ]
-    parts = [
-        df.agg(
+def _correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """One row per pair, all from one aggregate over ``df``."""
+    rows = [
+        F.struct(
+            F.lit(x).alias("pressure"),
+            F.lit(y).alias("outcome"),
             round_half_up(pearson(x, y), 4).alias("correlation"),
             F.count_if(F.col(x).isNotNull() & F.col(y).isNotNull()).alias("pairs"),
-        ).select(F.lit(x).alias("pressure"), F.lit(y).alias("outcome"), "correlation", "pairs")
-        for df, x, y in pairs
+        )
+        for x, y in pairs
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
+def pressure_correlation(health: DataFrame, production: DataFrame) -> DataFrame:
+    """Q7: Pearson correlation of operational pressure with delays (monthly
+    groups) and with failure-predicting readings (machine-days).  Each mart is
+    aggregated once."""
+    pressures = ("avg_demand_index", "avg_rush_factor")
+    delays = _correlations(production, [(x, "delay_rate") for x in pressures])
+    return delays.unionByName(_correlations(health, [(x, "readings_predicting_failure_24h") for x in pressures]))
 
 
 def delay_hotspots(production: DataFrame) -> DataFrame:

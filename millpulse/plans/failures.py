@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from millpulse.functions import minutes_between, round_half_up
 from millpulse.operators.interval_join import window_join
-from millpulse.operators.joins import DEFAULT_BROADCAST_BYTES
 
 LOOKBACK_HOURS = 24
 
@@ -48,8 +47,6 @@ FAILURE_COLUMNS = [
 def pre_failure_state(
     failures: DataFrame,
     enriched: DataFrame,
-    *,
-    max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Averages over the readings in the 24 h before each failure."""
     anchors = failures.select("failure_id", "machine_id", "occurred_at")
@@ -59,7 +56,7 @@ def pre_failure_state(
     )
     pairs = window_join(
         anchors, points, ["machine_id"], "occurred_at", "recorded_at", "recording_date",
-        LOOKBACK_HOURS, max_broadcast_bytes=max_broadcast_bytes,
+        LOOKBACK_HOURS,
     )
     return pairs.groupBy("failure_id").agg(
         *[round_half_up(F.avg(src), 4).alias(name) for src, name in _PRIOR_MEANS],
@@ -84,11 +81,9 @@ def failure_analysis(
     failures: DataFrame,
     enriched: DataFrame,
     maintenance: DataFrame,
-    *,
-    max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """M2: failures LEFT JOIN pre-failure state LEFT JOIN maintenance response."""
-    p = pre_failure_state(failures, enriched, max_broadcast_bytes=max_broadcast_bytes)
+    p = pre_failure_state(failures, enriched)
     pm = post_failure_maintenance(maintenance)
     out = (
         failures.withColumnRenamed("maintenance_deferral", "maint_deferral_at_failure")

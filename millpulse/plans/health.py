@@ -8,7 +8,7 @@ over the small daily table (one row per machine-day), never over raw readings.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millpulse.functions import health_status, round_half_up, safe_divide
@@ -16,7 +16,8 @@ from millpulse.functions import health_status, round_half_up, safe_divide
 ROLLING_ROWS = 7  # current day and the 6 preceding rows (rows, not calendar days)
 
 
-def daily_machine_health(enriched: DataFrame) -> DataFrame:
+def daily_machine_health(enriched: DataFrame, extra: dict[str, Column] | None = None) -> DataFrame:
+    """One row per machine-day; ``extra`` adds aggregates of the readings."""
     n = F.count(F.lit(1))
     bearing, lube, align, motor = (
         F.avg("bearing_health"), F.avg("lube_health"), F.avg("align_health"), F.avg("motor_health")
@@ -47,6 +48,7 @@ def daily_machine_health(enriched: DataFrame) -> DataFrame:
         round_half_up(F.avg("maintenance_deferral"), 4).alias("avg_maintenance_deferral"),
         round_half_up(F.avg("daily_expected_tons"), 2).alias("expected_tons_that_day"),
         F.count_if("order_is_delayed").alias("delayed_order_readings"),
+        *[v.alias(k) for k, v in (extra or {}).items()],
     )
 
 

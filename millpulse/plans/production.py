@@ -2,7 +2,7 @@
 
 M3a aggregates started orders by (month, machine, market, grade) with partial
 aggregation; M3b reduces demand to one row per month.  M3 joins them with USING
-semantics on ``month_date``, broadcasting M3b without a counting job: being
+semantics on ``month_date``, broadcasting M3b: being
 grouped by month it has at most one row per calendar month in the data (120
 rows for ten years), a bound that holds whatever the input size.
 """

@@ -8,13 +8,14 @@ of the same name.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millpulse.functions import elapsed_minutes, minutes_between, ns_to_timestamp, timestamp_to_ns
 from millpulse.operators import quality
-from millpulse.operators.clean import CLEANERS
+from millpulse.operators.clean import CLEANERS, clean
 from millpulse.operators.enrich import enrich
 from millpulse.operators.interval_join import window_join
 from millpulse.operators.staging import STAGERS
@@ -237,20 +238,59 @@ def _declared(kind: str) -> dict:
     }
 
 
+def _with_readings_once(tables: Mapping, declared: dict) -> list[DataFrame]:
+    """Row checks of the enriched readings and of M1 from one pass over the readings.
+
+    The readings' violations are counted per machine-day, beside M1's own
+    aggregates, and summed with M1's checks.
+    """
+    readings, daily = "int_telemetry_enriched", "mart_machine_health"
+    own = {f"__reading_check_{i}": (c, quality.violations(c)) for i, c in enumerate(declared[readings])}
+    m1 = with_status(daily_machine_health(tables[readings], {k: v for k, (_, v) in own.items()}))
+    checks = [(readings, c, F.coalesce(F.sum(k), F.lit(0))) for k, (c, _) in own.items()]
+    checks += [(daily, c, quality.violations(c)) for c in declared[daily]]
+    return [quality.aggregate_checks(m1, checks)]
+
+
 def _quality_query(kind: str):
     def run(spark, sf_dir):
         tables = _model_tables(spark, sf_dir)
-        return quality.run_declared(tables, _declared(kind))
+        declared = _declared(kind)
+        parts = []
+        if kind == "not_null":
+            parts = _with_readings_once(tables, declared)
+            declared = {t: c for t, c in declared.items() if t not in ("int_telemetry_enriched", "mart_machine_health")}
+        parts.append(quality.run_declared(tables, declared))
+        return reduce(DataFrame.unionByName, parts)
 
     run.__name__ = f"d_{kind}"
     return run
 
 
+def _raw_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """The cleaned raw tables over the test data, as the source tests see them."""
+    apply_sql_defaults(spark)
+    return {name: clean(raw_roles.RAW_ROLES[name](spark, sf_dir), name) for name in raw_roles.RAW_ROLES}
+
+
+def d_source_tests(spark, sf_dir):
+    """The 14 declared tests of the five sources."""
+    return quality.run_declared(_raw_tables(spark, sf_dir), quality.DECLARED_SOURCE_TESTS)
+
+
 def d5_freshness(spark, sf_dir):
+    """Freshness of the staged readings' own time."""
     t = _roles(spark, sf_dir)["telemetry"]
     return quality.freshness_check(t, "stg_telemetry", "recorded_at", FRESHNESS_AS_OF, 400)
 
 
+def d5_source_freshness(spark, sf_dir):
+    """The declared check: the telemetry load stamp, here a fixed one so that it can be compared."""
+    t = _raw_tables(spark, sf_dir)["telemetry"].withColumn("loaded_at", F.lit(LOAD_STAMP).cast("timestamp"))
+    field, days = quality.FRESHNESS["telemetry"]
+    return quality.freshness_check(t, "telemetry", field, FRESHNESS_AS_OF, days)
+
+
 def d6_row_count(spark, sf_dir):
     r = _roles(spark, sf_dir)
     parts = [
@@ -264,6 +304,7 @@ def d6_row_count(spark, sf_dir):
 
 
 FRESHNESS_AS_OF = "2000-01-01 00:00:00"
+LOAD_STAMP = "1998-11-01 00:00:00"
 
 
 # -- dashboard --------------------------------------------------------------------
@@ -312,6 +353,18 @@ def q9_sliced_failures(spark, sf_dir):
     return dashboard.slice_mart(f, "occurrence_date", **Q9_SLICE)
 
 
+Q9_HEALTH_SLICE = {"start": "1999-01-08", "end": "1999-01-21", "health_status": ["warning", "critical"]}
+Q9_PRODUCTION_SLICE = {"start": "1995-01-01", "end": "1996-12-31", "market": ["1-URGENT"], "steel_grade": None}
+
+
+def q9_sliced_health(spark, sf_dir):
+    return dashboard.slice_mart(_marts(spark, sf_dir)["health"], "recording_date", **Q9_HEALTH_SLICE)
+
+
+def q9_sliced_production(spark, sf_dir):
+    return dashboard.slice_mart(_marts(spark, sf_dir)["production"], "month_date", **Q9_PRODUCTION_SLICE)
+
+
 def q10_mart_row_counts(spark, sf_dir):
     return dashboard.mart_row_counts(_marts(spark, sf_dir).all())
 
@@ -351,6 +404,8 @@ QUERIES: dict[str, Query] = {
     "d4_accepted_range": _quality_query("accepted_range"),
     "d5_freshness": d5_freshness,
     "d6_row_count": d6_row_count,
+    "d_source_tests": d_source_tests,
+    "d5_source_freshness": d5_source_freshness,
     "q1_kpi_scorecards": q1_kpi_scorecards,
     "q2_health_trend": q2_health_trend,
     "q3_tons_vs_forecast": q3_tons_vs_forecast,
@@ -360,6 +415,8 @@ QUERIES: dict[str, Query] = {
     "q7_pressure_correlation": q7_pressure_correlation,
     "q8_delay_hotspots": q8_delay_hotspots,
     "q9_sliced_failures": q9_sliced_failures,
+    "q9_sliced_health": q9_sliced_health,
+    "q9_sliced_production": q9_sliced_production,
     "q10_mart_row_counts": q10_mart_row_counts,
     "q11_machines_needing_action": q11_machines_needing_action,
 }

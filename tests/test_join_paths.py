@@ -7,17 +7,49 @@ import io
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from millpulse.operators.enrich import enrich
-from millpulse.operators.interval_join import window_join, window_join_plain
+from millpulse.operators.interval_join import window_join
 from millpulse.operators.joins import lookup_join
 from millpulse.sources import roles
 from tests.conftest import SF_ORACLE
 
 
+def window_join_plain(anchors, points, on, anchor_ts, point_ts, lookback_hours=24):
+    """Brute force: every anchor against every point of its key."""
+    names = {k: f"__p_{k}" for k in on}
+    p = points.withColumnsRenamed(names)
+    back = F.expr(f"INTERVAL {lookback_hours} HOURS")
+    cond = [F.col(k) == F.col(v) for k, v in names.items()]
+    cond += [F.col(point_ts) >= F.col(anchor_ts) - back, F.col(point_ts) < F.col(anchor_ts)]
+    return anchors.join(p, cond, "inner").drop(*names.values())
+
+
+@contextlib.contextmanager
+def threshold(spark, value):
+    """Run under a broadcast threshold: -1 takes the shuffle path."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, str(value))
+    try:
+        yield
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def plan_of(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
 def _same(a, b):
-    assert a.count() == b.count()
-    assert a.exceptAll(b).count() == 0
-    assert b.exceptAll(a).count() == 0
+    a, b = sorted(map(str, a)), sorted(map(str, b))
+    assert len(a) == len(b) and a == b
 
 
 @pytest.fixture(scope="module")
@@ -25,69 +57,77 @@ def r(spark):
     return roles.all_roles(spark, SF_ORACLE)
 
 
-@pytest.mark.parametrize("max_bytes", [1, 4096, 200_000, None])
-def test_interval_join_paths_equal_plain(spark, r, max_bytes):
+@pytest.mark.parametrize("hours", [24, 72])
+@pytest.mark.parametrize("limit", [-1, 10 << 20])
+def test_interval_join_paths_equal_plain(spark, r, limit, hours):
     anchors = r["failures"].select("failure_id", "machine_id", "occurred_at")
     points = r["telemetry"].select("machine_id", "recorded_at", "recording_date")
-    plain = window_join_plain(anchors, points.drop("recording_date"), ["machine_id"], "occurred_at", "recorded_at")
-    bucketed = window_join(
-        anchors, points, ["machine_id"], "occurred_at", "recorded_at", "recording_date", max_broadcast_bytes=max_bytes
-    )
     cols = ["failure_id", "machine_id", "occurred_at", "recorded_at"]
-    _same(plain.select(cols), bucketed.select(cols))
-
-
-def test_interval_join_longer_lookback(spark, r):
-    anchors = r["failures"].select("failure_id", "machine_id", "occurred_at")
-    points = r["telemetry"].select("machine_id", "recorded_at", "recording_date")
-    plain = window_join_plain(anchors, points.drop("recording_date"), ["machine_id"], "occurred_at", "recorded_at", 72)
-    bucketed = window_join(anchors, points, ["machine_id"], "occurred_at", "recorded_at", "recording_date", 72)
-    cols = ["failure_id", "recorded_at"]
-    _same(plain.select(cols), bucketed.select(cols))
+    plain = window_join_plain(anchors, points.drop("recording_date"), ["machine_id"], "occurred_at", "recorded_at", hours)
+    with threshold(spark, limit):
+        bucketed = window_join(anchors, points, ["machine_id"], "occurred_at", "recorded_at", "recording_date", hours)
+        assert ("BroadcastHashJoin" in plan_of(bucketed)) == (limit > 0)
+        _same(plain.select(cols).collect(), bucketed.select(cols).collect())
 
 
 def test_lookup_join_shuffle_path_equals_broadcast(spark, r):
     t = r["telemetry"].select("machine_id", "recorded_at", "active_maintenance_id")
     m = r["maintenance"].select("maintenance_id", "is_planned")
-    a = lookup_join(t, m, "active_maintenance_id", "maintenance_id")
-    b = lookup_join(t, m, "active_maintenance_id", "maintenance_id", max_broadcast_bytes=1,
-                    spread_by=["machine_id", "recorded_at"])
-    c = lookup_join(t, m, "active_maintenance_id", "maintenance_id", max_broadcast_bytes=None)
-    _same(a, b)
-    _same(a, c)
-    assert a.count() == t.count()
+    whole = lookup_join(t, m, "active_maintenance_id", "maintenance_id").collect()
+    assert len(whole) == t.count()
+    with threshold(spark, -1):
+        spread = lookup_join(t, m, "active_maintenance_id", "maintenance_id", spread_by=["machine_id", "recorded_at"])
+        assert "SortMergeJoin" in plan_of(spread)
+        _same(whole, spread.collect())
 
 
 def test_enrich_shuffle_path_equals_broadcast(spark, r):
     args = (r["telemetry"], r["orders"], r["failures"], r["maintenance"], r["demand"])
-    _same(enrich(*args), enrich(*args, max_broadcast_bytes=1))
+    whole = enrich(*args).collect()
+    with threshold(spark, -1):
+        _same(whole, enrich(*args).collect())
 
 
-def test_interval_join_semi_path_is_planned(spark, r):
-    """Anchors too big to broadcast, their day buckets small enough: the readings
-    are semi-joined against the broadcast buckets before the shuffle."""
-    anchors = r["failures"].select("failure_id", "machine_id", "occurred_at")
-    points = r["telemetry"].select("machine_id", "recorded_at", "recording_date")
-    out = window_join(
-        anchors, points, ["machine_id"], "occurred_at", "recorded_at", "recording_date", max_broadcast_bytes=200_000
-    )
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        out.explain()
-    assert "LeftSemi" in buf.getvalue()
+def test_building_a_plan_runs_no_job(spark, r):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "no job expected")
+    try:
+        enriched = enrich(r["telemetry"], r["orders"], r["failures"], r["maintenance"], r["demand"])
+        window_join(
+            r["failures"].select("failure_id", "machine_id", "occurred_at"), enriched.select("machine_id", "recorded_at", "recording_date"),
+            ["machine_id"], "occurred_at", "recorded_at", "recording_date",
+        )
+        assert list(tracker.getJobIdsForGroup("plan-only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_unused_dimension_is_not_computed(spark):
+    """M2 uses no forecast column, so the forecast's aggregate is not in its plan."""
+    from millpulse.plans.registry import QUERIES
+
+    assert "lineitem" not in plan_of(QUERIES["m2_failure_analysis"](spark, SF_ORACLE))
+
+
+def test_wide_dimension_is_not_broadcast(spark, tmp_path):
+    """The size that decides is measured from the files, not guessed from the types."""
+    wide = spark.range(1500).select("id", F.array_join(F.transform(F.sequence(F.lit(1), F.lit(160)), lambda i: F.sha2(F.concat_ws("-", "id", i), 512)), "").alias("text"))
+    wide.write.parquet(f"{tmp_path}/wide")
+    spark.range(1500).select("id", (F.col("id") * 2).alias("v")).write.parquet(f"{tmp_path}/narrow")
+    fact = spark.range(10).withColumnRenamed("id", "k")
+    wide, narrow = (spark.read.parquet(f"{tmp_path}/{x}") for x in ("wide", "narrow"))
+    assert "BroadcastHashJoin" not in plan_of(lookup_join(fact, wide, "k", "id"))
+    assert "BroadcastHashJoin" in plan_of(lookup_join(fact, narrow, "k", "id"))
 
 
 def test_null_keys_spread_over_partitions(spark, r):
     """In the shuffle path the NULL-key rows hash to many reducers, not one."""
-    from pyspark.sql import functions as F
-
     t = r["telemetry"].select("machine_id", "recorded_at", "active_maintenance_id")
     m = r["maintenance"].select("maintenance_id", "is_planned")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = lookup_join(t, m, "active_maintenance_id", "maintenance_id", max_broadcast_bytes=1,
-                          spread_by=["machine_id", "recorded_at"], null_spread=64)
+        out = lookup_join(t, m, "active_maintenance_id", "maintenance_id", spread_by=["machine_id", "recorded_at"], null_spread=64)
         per_part = (
             out.where(F.col("active_maintenance_id").isNull())
             .groupBy(F.spark_partition_id().alias("p")).count().collect()
@@ -101,8 +141,6 @@ def test_null_keys_spread_over_partitions(spark, r):
 def test_hot_key_split_by_adaptive_skew_join(spark):
     """A third of the fact rows share one key; on the shuffle path AQE splits
     that key's partition instead of giving it to one task."""
-    from pyspark.sql import functions as F
-
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -120,7 +158,7 @@ def test_hot_key_split_by_adaptive_skew_join(spark):
             F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("order_fk"),
         )
         dim = spark.range(60000).select(F.col("id").alias("order_id"), (F.col("id") * 2).alias("w"))
-        out = lookup_join(fact, dim, "order_fk", "order_id", max_broadcast_bytes=1, spread_by=["rid"])
+        out = lookup_join(fact, dim, "order_fk", "order_id", spread_by=["rid"])
         rows = out.collect()
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
