@@ -119,6 +119,8 @@ def fit(docs: DataFrame, scratch: Scratch, fit_docs: int = FIT_DOCS, top_words:
     words = scratch.table(_count_words(sample).groupBy("lang", "token").agg(F.sum("c").alias("c")), "words")
     grams = scratch.table(_count_grams(words).groupBy("lang", "token").agg(F.sum("c").alias("c")), "grams")
     languages = sorted(r["lang"] for r in cut.select("lang").collect())
+    if not languages:
+        return Model([], {}, {}, np.zeros((0, 0), dtype=np.float32))
     number = {x: i for i, x in enumerate(languages)}
 
     def vectors(counts: DataFrame, kind: Column, most: int) -> tuple[dict[str, int], np.ndarray]:

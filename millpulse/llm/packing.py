@@ -1,13 +1,13 @@
 """Operator 3: best-fit packing of tokenized documents, by hierarchical residual packing.
 
-Each task tokenizes its documents, cuts those longer than a sequence and packs
-the pieces best-fit, longest first, in nodes of a bounded number of pieces.
-Bins that are nearly full are sequences.  Underfull bins go up a tree as single
-items: a round hashes them to fewer nodes and packs each node best-fit again.
-A bin's pieces keep their order and gain the bin's offset in its new bin.  The
-tree ends at one node, or at nodes of ``NODE_BINS`` bins where there are more
-underfull bins than one task should hold (a node that large loses next to
-nothing).  Only (bin, used) rows move; token ids never do.
+Each task tokenizes its documents and cuts those longer than a sequence.  The
+pieces, as (number, length), are dealt evenly to nodes of a bounded size and each
+node packs its items best-fit, longest first.  Bins that are nearly full are
+sequences.  Underfull bins go up a tree as single items: a round deals them to
+fewer nodes and packs each node best-fit again; a bin's pieces keep their order
+and gain the bin's offset in its new bin.  The tree ends at one node, or at nodes
+of ``node_bins`` bins where there are more underfull bins than one task should
+hold (a node that large loses next to nothing).  Token ids never move.
 
 Defined cases: null text is empty; an empty text is its end token alone.
 Repeated rows are packed each on its own.  A null id is kept as it is.  An
@@ -32,7 +32,6 @@ from .common import Scratch, binary, groups, spread
 
 CAPACITY = 1024
 END = 2
-NODE_PIECES = 200_000
 NODE_BINS = 200_000
 FAN_IN = 8
 #: Free places of a bin that counts as nearly full: capacity / 256.
@@ -75,20 +74,13 @@ def cut_pieces(tokens: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarra
     return doc, piece, start, np.where(piece > 0, capacity, rest[doc])
 
 
-def _pieces(docs: DataFrame, path: str, capacity: int, end: int, node_pieces: int, with_ids: bool) -> DataFrame:
-    """Pieces with their first bin (numbered by task and place), its use and the offset there."""
-
-    def pack(held: list[list], first_bin: int) -> tuple[pa.RecordBatch, int]:
-        cols = [pa.concat_arrays(c) for c in zip(*held, strict=True)]
-        bins, offset, used = best_fit(cols[3].to_numpy(), capacity)
-        batch = pa.RecordBatch.from_arrays([*cols[:5], pa.array(bins + first_bin), pa.array(used[bins]), pa.array(offset), *cols[5:]], schema=pa.schema([*zip(names, [*(c.type for c in cols[:5]), pa.int64(), pa.int64(), pa.int64(), *(c.type for c in cols[5:])], strict=True)]))
-        return batch, first_bin + len(used)
-
-    names = ["id", "piece", "start", "length", "ids_crc32", "bin", "used", "offset", *(["ids"] if with_ids else [])]
+def _pieces(docs: DataFrame, path: str, capacity: int, end: int, with_ids: bool) -> DataFrame:
+    """Pieces of the documents, numbered by task and place (``bin``)."""
+    names = ["id", "piece", "start", "length", "ids_crc32", "bin", *(["ids"] if with_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load(path)
-        held, size, next_bin = [], 0, TaskContext.get().partitionId() << 40
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             for i, data, offs in tx.text_blocks(batch.column(1)):
                 ids, ends = encoder.encode_column(data, offs)
@@ -100,19 +92,13 @@ def _pieces(docs: DataFrame, path: str, capacity: int, end: int, node_pieces: in
                 begin = ends[doc] + start
                 raw = memoryview(closed.tobytes())
                 crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(begin.tolist(), (begin + length).tolist(), strict=True)]
-                row = [batch.column(0).take(pa.array(doc + i)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
+                row = [batch.column(0).take(pa.array(doc + i)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(number + np.arange(len(doc)))]
                 if with_ids:
                     row.append(binary(closed, np.concatenate(([0], np.cumsum(length)))))
-                held.append(row)
-                size += len(doc)
-                if size >= node_pieces:
-                    out, next_bin = pack(held, next_bin)
-                    yield out
-                    held, size = [], 0
-        if size:
-            yield pack(held, next_bin)[0]
-
-    fields = [docs.schema["id"], T.StructField("piece", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in names[2:8]), *([T.StructField("ids", T.BinaryType())] if with_ids else [])]
+                number += len(doc)
+                yield pa.RecordBatch.from_arrays(row, names=names)
+
+    fields = [docs.schema["id"], T.StructField("piece", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in names[2:6]), *([T.StructField("ids", T.BinaryType())] if with_ids else [])]
     return docs.select("id", "text").mapInArrow(run, T.StructType(fields))
 
 
@@ -131,27 +117,26 @@ def _merge_round(bins: DataFrame, nodes: int, capacity: int) -> DataFrame:
     return placed.repartition("node").sortWithinPartitions("node").mapInArrow(run, "bin long, into long, shift long, used long")
 
 
-def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END, with_ids: bool = False, node_pieces: int = NODE_PIECES, node_bins: int = NODE_BINS, fan_in: int = FAN_IN) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END, with_ids: bool = False, node_bins: int = NODE_BINS, fan_in: int = FAN_IN) -> DataFrame:
     """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset (and the ids, little-endian, if asked for)."""
     scratch = Scratch(docs.sparkSession, "packing")
     docs = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    out = scratch.table(_pieces(docs, path, capacity, end, node_pieces, with_ids), "pieces")
+    out = scratch.table(_pieces(docs, path, capacity, end, with_ids), "pieces").withColumn("offset", F.lit(0).cast("long"))
     full = capacity - capacity // NEARLY
-    rest = out.where((F.col("offset") == 0) & (F.col("used") < full)).select("bin", "used")
-    rounds, nodes = 0, None
-    while True:
-        counted = rest.agg(F.count("*"), F.countDistinct(F.shiftright("bin", 40))).first() if nodes is None else rest.agg(F.count("*")).first()
-        before = counted[1] if nodes is None else nodes
-        nodes = max(1, -(-before // fan_in), -(-counted[0] // node_bins))
-        if counted[0] < 2 or (rounds and nodes >= before and before == 1) or (rounds and nodes == before):
+    rest = out.where(F.col("length") < full).select("bin", F.col("length").alias("used"))
+    rounds, before = 0, None
+    while (many := rest.count()) > 1:
+        nodes = -(-many // node_bins)
+        if before is not None:
+            nodes = max(nodes, -(-before // fan_in))
+        if nodes == before:
             break
         moved = scratch.table(_merge_round(rest, nodes, capacity), f"round-{rounds}")
         step = moved.where("bin <> into").select(F.col("bin").alias("moved"), "into", "shift")
         out = out.join(step, F.col("bin") == F.col("moved"), "left").withColumn("bin", F.coalesce("into", "bin")).withColumn("offset", F.col("offset") + F.coalesce("shift", F.lit(0))).drop("moved", "into", "shift")
         rest = moved.where((F.col("bin") == F.col("into")) & (F.col("used") < full)).select("bin", "used")
-        rounds += 1
-    out = out.select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset", *(["ids"] if with_ids else []))
-    return out
+        rounds, before = rounds + 1, nodes
+    return out.select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset", *(["ids"] if with_ids else []))
 
 
 def sequences(packed: DataFrame) -> DataFrame:

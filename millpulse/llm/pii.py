@@ -38,7 +38,7 @@ SECRET_WORD = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 NAME_WORD = r"\p{Lu}\p{L}+(?:-\p{Lu}\p{L}+)?"
 PATTERNS = [
-    r"(?<![\p{L}\d_])" + SECRET_WORD + r"[^\s\"']{6,128}",
+    r"(?<![\p{L}\d_])" + SECRET_WORD + r"[^\s\"']{5,127}[^\s\"'.,;:!?)\]}]",
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
