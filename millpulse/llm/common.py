@@ -1,7 +1,7 @@
 """Scratch tables and grouping of sorted Arrow batches.
 
-Joins carry no hints: Catalyst broadcasts a stored table only where its size is
-within ``spark.sql.autoBroadcastJoinThreshold`` and adaptive execution splits
+Joins that carry texts always shuffle (``shuffled``).  The others carry no hints:
+Catalyst broadcasts a stored table only where its size is ``spark.sql.autoBroadcastJoinThreshold`` and adaptive execution splits
 skewed keys of the others.
 """
 
@@ -63,6 +63,15 @@ class Scratch:
         _delete(self.spark, f"{self.root}/{name}")
 
 
+def shuffled(small: DataFrame) -> DataFrame:
+    """The side of a join with whole texts: both sides are shuffled at every size.
+
+    Left to its size, the join would change from a broadcast to a shuffle of the
+    texts somewhere on the way up, and a small run would say nothing about a large one.
+    """
+    return small.hint("merge")
+
+
 def column(batch: pa.RecordBatch, name: str) -> np.ndarray:
     """A column without nulls as numpy array."""
     return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, shuffled
 
 MIN_LINES = 3
 MIN_WORDS = 50
@@ -97,7 +97,7 @@ def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     gone = repeated_lines(docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("h")), scratch, min_lines, min_words)
     gone = gone.select(F.col("id").alias("gid"), F.col("h").alias("gh"), "gone")
     # the lines come out of the join as a column: places are looked up in it, not in the text again
-    out = keyed.join(gone, keyed["id"].eqNullSafe(gone["gid"]) & (keyed["h"] == gone["gh"]), "left")
+    out = keyed.join(shuffled(gone), keyed["id"].eqNullSafe(gone["gid"]) & (keyed["h"] == gone["gh"]), "left")
     drop = F.transform("gone", lambda p: F.get("own", p))
     keep = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), drop)
     lines = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(keep, lambda i: F.get("lines", i)))

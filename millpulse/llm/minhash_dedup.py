@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import textops as tx
-from .common import Scratch, binary, binary_values, groups, spread
+from .common import Scratch, binary, binary_values, groups, shuffled, spread
 from .graph import components
 
 W = 5
@@ -234,7 +234,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     live = clusters.join(classes.select("nid", "n", "rep.id", "rep.h"), "nid")
     sizes = live.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") * 8 / block_bytes)).cast("int").alias("blocks"))
     live = scratch.table(live.join(sizes, "cluster").select("cluster", "blocks", "nid", F.col("id").alias("rid"), F.col("h").alias("rh")), "live")
-    wanted = docs.join(live, docs["id"].eqNullSafe(live["rid"]) & (docs["h"] == live["rh"]))
+    wanted = docs.join(shuffled(live), docs["id"].eqNullSafe(live["rid"]) & (docs["h"] == live["rh"]))
     sets = set_rows(wanted, w)
     own = F.pmod(F.xxhash64("nid"), F.col("blocks").cast("long")).cast("int")
     cells = sets.select("cluster", "nid", "shingles", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -256,6 +256,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     stays = scratch.table(near_duplicates(docs, id_col, text_col, **how).where("first").select(F.col(id_col).alias("sid"), F.col("h").alias("sh"), (F.col("n_shingles") > 0).alias("words")).distinct(), "stays")
     row = F.struct(*[docs[c] for c in docs.columns])
     keyed = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"))
-    out = keyed.join(stays, keyed["id"].eqNullSafe(stays["sid"]) & (keyed["h"] == stays["sh"]))
+    out = keyed.join(shuffled(stays), keyed["id"].eqNullSafe(stays["sid"]) & (keyed["h"] == stays["sh"]))
     copy = F.row_number().over(Window.partitionBy("id", "h").orderBy(F.lit(0)))
     return out.withColumn("copy", copy).where("copy = 1 or not words").select("row.*")

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, shuffled
 
 # What entities look like.
 TITLES_F = "Mrs|Ms|Miss|Frau|Mme|Madame|Señora|Sra|Doña|Госпожа|Κυρία"
@@ -256,6 +256,6 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     whole = F.array_join(F.transform(F.array_sort(F.concat(kept, "drawn")), lambda x: x["text"]), "")
     new = scratch.table(both.select(F.col("id").alias("nid"), F.col("h").alias("nh"), whole.alias("new"), F.size("drawn").cast("long").alias("many")), "texts")
     keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
-    out = keyed.join(new, keyed["id"].eqNullSafe(new["nid"]) & (keyed["h"] == new["nh"]), "left")
+    out = keyed.join(shuffled(new), keyed["id"].eqNullSafe(new["nid"]) & (keyed["h"] == new["nh"]), "left")
     cols = [F.coalesce("new", F.col("row").getField(c)).alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns]
     return out.select(*cols, F.coalesce("many", F.lit(0)).cast("long").alias("_entities"))

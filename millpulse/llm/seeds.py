@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textops as tx
-from .common import Scratch, binary, binary_values, spread
+from .common import Scratch, binary, binary_values, shuffled, spread
 
 
 @dataclass(frozen=True)
@@ -212,7 +212,7 @@ def repeated_spans(docs: DataFrame, units: Units, found: Callable[[DataFrame], D
     one = F.struct("anchor", "segment", "n", "start", "count", "lead", "hot")
     wanted = marked.groupBy(F.col("id").alias("rid"), F.col("h").alias("rh")).agg(F.collect_list(one).alias("wanted"))
     wanted = scratch.table(wanted, "wanted")
-    sources = docs.join(wanted, docs["id"].eqNullSafe(wanted["rid"]) & (docs["h"] == wanted["rh"]))
+    sources = docs.join(shuffled(wanted), docs["id"].eqNullSafe(wanted["rid"]) & (docs["h"] == wanted["rh"]))
     masks = scratch.table(found(segment_texts(sources, units)), "masks").withColumnRenamed("count", "many")
     span = F.struct((F.col("start") + F.col("off")).alias("start"), F.col("many").alias("count"), "mask")
     spans = shared.join(masks, ["anchor", "segment"]).groupBy("id", "h").agg(F.collect_set(span).alias("spans"))
@@ -224,4 +224,4 @@ def repeated_spans(docs: DataFrame, units: Units, found: Callable[[DataFrame], D
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """docs (id, h, text) with their spans, null where there are none."""
     s = spans.select(F.col("id").alias("sid"), F.col("h").alias("sh"), "spans")
-    return docs.join(s, docs["id"].eqNullSafe(s["sid"]) & (docs["h"] == s["sh"]), "left").select("id", "h", "text", "spans")
+    return docs.join(shuffled(s), docs["id"].eqNullSafe(s["sid"]) & (docs["h"] == s["sh"]), "left").select("id", "h", "text", "spans")
