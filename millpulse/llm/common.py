@@ -1,8 +1,8 @@
 """Scratch tables and grouping of sorted Arrow batches.
 
 Joins that carry texts always shuffle (``shuffled``).  The others carry no hints:
-Catalyst broadcasts a stored table only where its size is ``spark.sql.autoBroadcastJoinThreshold`` and adaptive execution splits
-skewed keys of the others.
+Catalyst broadcasts a stored table only where its size is within
+``spark.sql.autoBroadcastJoinThreshold``, and adaptive execution splits skewed keys.
 """
 
 from __future__ import annotations

@@ -42,7 +42,8 @@ PATTERNS = [
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)",
+    # a phone number, but not the address that may follow it
+    r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:(?!\s(?:\d{1,3}\.){3}\d)[ .-]?\d{2,4}){1,4}(?!\d|\.\d)",
     r"(?<![\d.])\d{13,19}(?!\d|\.\d)",
     r"(?<![\d-])\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}(?![\d-])",
     r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
