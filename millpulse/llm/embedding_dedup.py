@@ -128,11 +128,11 @@ def query_shards(index: DataFrame, queries: DataFrame, shards: int, salts: int,
             a, b = a[ok], b[ok]
             count = np.bincount(a, weights=weight[b], minlength=len(qid)).astype(np.int64)
             every = np.zeros(len(qid), dtype=np.int64)
-            if exact:
-                near = q @ vectors.T
-                maybe = np.argwhere(near >= cosine - SLACK)
-                sure = (np.einsum("ij,ij->i", q[maybe[:, 0]], vectors[maybe[:, 1]]) >= cosine) & (qid[maybe[:, 0]] != nid[maybe[:, 1]])
-                every = np.bincount(maybe[sure, 0], weights=weight[maybe[sure, 1]], minlength=len(qid)).astype(np.int64)
+            for s in range(0, len(qid), 16) if exact else ():
+                x, y = np.nonzero(q[s : s + 16] @ vectors.T >= cosine - SLACK)
+                x += s
+                sure = (np.einsum("ij,ij->i", q[x], vectors[y]) >= cosine) & (qid[x] != nid[y])
+                np.add.at(every, x[sure], weight[y[sure]])
             x, y = _forest(qid[a], nid[b])
             none = pa.nulls(len(qid), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(qid), none, pa.array(count), pa.array(every)], names=["u", "v", "c", "e"])
