@@ -38,7 +38,7 @@ def byte_symbols() -> list[str]:
 
 class ByteBpe:
     #: Distinct words kept by a worker; beyond it the store starts anew.
-    MOST_WORDS = 500_000
+    MOST_WORDS = 150_000
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -48,12 +48,13 @@ class ByteBpe:
         self.symbols = byte_symbols()
         self.kind = np.full(0x110000, UNKNOWN, dtype=np.uint8)
         self.value = mix(np.arange(1, 0x110001, dtype=np.uint64))
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
+        """Forget all words."""
         self.place: dict[int, int] = {}
-        self.ids, self.used = np.zeros(1 << 20, dtype=np.uint32), 0
-        self.start, self.length = np.zeros(1 << 18, dtype=np.int64), np.zeros(1 << 18, dtype=np.int64)
+        self.ids, self.used = np.zeros(1 << 18, dtype=np.uint32), 0
+        self.start, self.length = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
 
     def _classify(self, points: np.ndarray) -> None:
         """Ask the library's pre-tokenizer which class a character joins."""
@@ -135,7 +136,7 @@ class ByteBpe:
         key = Rolling(self.value[points]).slices(start, end)
         distinct, first, which = np.unique(key, return_index=True, return_inverse=True)
         if len(self.place) + len(distinct) > self.MOST_WORDS:
-            self._clear()
+            self.clear()
         place = self.place
         row = np.array([place.get(k, -1) for k in distinct.tolist()], dtype=np.int64)
         missing = np.flatnonzero(row < 0)

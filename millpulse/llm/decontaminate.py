@@ -37,7 +37,7 @@ from .fm_index import FMIndex
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 1 << 22
+SHARD_BYTES = 1 << 19
 
 
 @dataclass

@@ -40,7 +40,7 @@ from pyspark.sql.window import Window
 from .common import Scratch
 
 FIT_DOCS = 4000
-TOP_WORDS = 60_000
+TOP_WORDS = 40_000
 TOP_GRAMS = 20_000
 ORDERS = (4, 3, 2, 1)
 ALPHA = 0.1
@@ -48,7 +48,7 @@ UNKNOWN = "und"
 #: A filter keeps texts whose language has at least this score.
 LEAST_SCORE = 0.3
 #: Words that a worker keeps besides the model's.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 50_000
 
 WORD = re.compile(r"[^\W\d_]+")
 

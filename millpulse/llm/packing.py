@@ -97,6 +97,7 @@ def _pieces(docs: DataFrame, path: str, capacity: int, end: int, with_ids: bool)
                     row.append(binary(closed, np.concatenate(([0], np.cumsum(length)))))
                 number += len(doc)
                 yield pa.RecordBatch.from_arrays(row, names=names)
+        encoder.clear()  # the worker lives on
 
     fields = [docs.schema["id"], T.StructField("piece", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in names[2:6]), *([T.StructField("ids", T.BinaryType())] if with_ids else [])]
     return docs.select("id", "text").mapInArrow(run, T.StructType(fields))

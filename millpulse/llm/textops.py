@@ -35,15 +35,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 _powers: dict[int, np.ndarray] = {}
+#: Powers that a worker keeps; a longer text has its own computed and dropped.
+KEPT_POWERS = (1 << 19) + (1 << 16)
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept and grown on demand."""
+    """base**0 .. base**(n-1) modulo 2**64, kept up to a bound."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         out = np.full(max(n, 1 << 16), _U(base))
         out[0] = 1
-        have = _powers[base] = np.multiply.accumulate(out)
+        have = np.multiply.accumulate(out)
+        if len(have) <= KEPT_POWERS:
+            _powers[base] = have
     return have[:n]
 
 
