@@ -132,10 +132,13 @@ def _list_of_pairs(row: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> pa.
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
-def scan(docs: DataFrame, shared, window_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Merge one block's spans (in words) and items into docs (rest, text, spans, items)."""
+def scan(docs: DataFrame, shared, last: bool, window_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Merge one block's spans (in words) and items into docs (rest, text, spans, items).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The pass of the last block makes the report in the same worker.
+    """
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases: Phrases = shared.value
         for batch in batches:
             for i, data, offs in tx.text_blocks(batch.column(1), window_bytes):
@@ -172,39 +175,42 @@ def scan(docs: DataFrame, shared, window_bytes: int = SHARD_BYTES) -> DataFrame:
                     names=["rest", "text", "spans", "items"],
                 )
 
+    if last:
+        return docs.mapInArrow(lambda batches: reported(merged(batches)), report_schema(docs))
     schema = T.StructType([docs.schema["rest"], T.StructField("text", T.StringType()), T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType()))])
-    return docs.mapInArrow(run, schema)
-
-
-def _report(docs: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, data, offs in tx.text_blocks(batch.column(1)):
-                _, s, e, first = block_words(data, offs)
-                rows = batch.slice(i, len(offs) - 1)
-                spans, items = rows.column(2).to_pylist(), rows.column(3).to_pylist()
-                hit, clean = [], []
-                for d, found in enumerate(spans):
-                    text = data[offs[d] : offs[d + 1]].tobytes()
-                    hit.append(sum(x["end"] - x["start"] for x in found))
-                    if found:
-                        cut, parts = 0, []
-                        for x in found:
-                            parts.append(text[cut : s[first[d] + x["start"]] - offs[d]])
-                            cut = e[first[d] + x["end"] - 1] - offs[d]
-                        text = b"".join([*parts, text[cut:]])
-                    clean.append(text)
-                digest = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(np.diff(first).astype(np.int64)), pa.array(hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(digest), pa.array([x > 0 for x in hit]), rows.column(2), rows.column(3), pa.array(clean, pa.binary()).cast(pa.string())],
-                    names=["rest", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items", "clean_text"],
-                )
-
-    schema = T.StructType([
+    return docs.mapInArrow(merged, schema)
+
+
+def reported(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts, digests and clean texts of scanned batches."""
+    for batch in batches:
+        for i, data, offs in tx.text_blocks(batch.column(1)):
+            _, s, e, first = block_words(data, offs)
+            rows = batch.slice(i, len(offs) - 1)
+            spans, items = rows.column(2).to_pylist(), rows.column(3).to_pylist()
+            hit, clean = [], []
+            for d, found in enumerate(spans):
+                text = data[offs[d] : offs[d + 1]].tobytes()
+                hit.append(sum(x["end"] - x["start"] for x in found))
+                if found:
+                    cut, parts = 0, []
+                    for x in found:
+                        parts.append(text[cut : s[first[d] + x["start"]] - offs[d]])
+                        cut = e[first[d] + x["end"] - 1] - offs[d]
+                    text = b"".join([*parts, text[cut:]])
+                clean.append(text)
+            digest = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), pa.array(np.diff(first).astype(np.int64)), pa.array(hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(digest), pa.array([x > 0 for x in hit]), rows.column(2), rows.column(3), pa.array(clean, pa.binary()).cast(pa.string())],
+                names=["rest", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items", "clean_text"],
+            )
+
+
+def report_schema(docs: DataFrame) -> T.StructType:
+    return T.StructType([
         docs.schema["rest"], T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType()),
         T.StructField("contaminated", T.BooleanType()), T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("clean_text", T.StringType()),
     ])
-    return docs.mapInArrow(run, schema)
 
 
 def _found(docs: DataFrame, rest: Column, text: Column, benchmark: DataFrame, item_col: str, item_text_col: str, window: int, block_bytes: int) -> DataFrame:
@@ -216,8 +222,8 @@ def _found(docs: DataFrame, rest: Column, text: Column, benchmark: DataFrame, it
     for b in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).toArrow()
         phrases = make_phrases(block.column("item").to_pylist(), block.column("text").to_pylist(), window)
-        out = scan(out, spark.sparkContext.broadcast(phrases))
-    return _report(out)
+        out = scan(out, spark.sparkContext.broadcast(phrases), b == blocks - 1)
+    return out
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
