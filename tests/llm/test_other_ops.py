@@ -335,3 +335,22 @@ def test_pipeline_equals_brute_force_after_language_id(spark, docs, rows):
     clean = stages["decontaminate"](spark, second, sf_dir).collect()
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     assert len(clean) == len(ids) and not any(w[4] for w in contamination([r["text"] for r in clean], items))
+
+
+def test_near_dedup_stage_takes_similarity_of_four_fifths(spark):
+    """Copies with one word replaced in about 50: similarity between 0.80 and 0.85."""
+    import corpus_pipeline
+    from tests.llm.helpers import shingle_set
+
+    rows = []
+    for k in range(40):
+        words = [f"w{k}x{i}" for i in range(50)]
+        copy = [*words[:20], "other", *words[21:]]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    words = [f"far{i}" for i in range(40)]  # 31 shingles of 41: below 0.80
+    rows += [(900, " ".join(words)), (901, " ".join([*words[:20], "other", *words[21:]]))]
+    a, b = (shingle_set(t) for _, t in rows[:2])
+    assert 0.80 <= len(a & b) / len(a | b) < 0.85
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, df, "").collect()}
+    assert kept == {*range(0, 80, 2), 900, 901}
