@@ -15,8 +15,13 @@ of the original.
 
 Collision checks: surrogates of one type must differ from each other and from
 every real value of that type in the corpus.  Entities that break this, all but
-the first of them, draw again until none does.  After some draws, types of free
-length grow, so that this ends.
+the first of them, draw again until none does.  After ``GROW_AFTER`` draws types of
+free length (mailboxes, domains, names, secrets) grow by one symbol a draw, after
+``FIXED_AFTER`` draws those of fixed length too (an IPv4 address by a part, a card
+before its check digit), so that this ends however densely a type's values are used.
+
+In secrets every letter, digit and symbol is replaced by one of its class (script
+and case; symbols by symbols); ``-``, ``_`` and ``.`` stay between others.
 
 Defined cases: null text stays null.  Texts without an entity stay as they are.
 Rows with the same id and text are one document and get equal texts.  All other
@@ -67,12 +72,32 @@ ENDINGS = {
     "greek": {"given_f": "λια", "given_m": "ρον", "given_x": "νι", "surname": "ρελ"},
 }
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
-#: Draws after which types of free length grow by one symbol a draw.
+#: Classes of characters and what replaces them in secrets; any other character is replaced by a symbol.
+CLASSES = [
+    ("[0-9]", DIGITS),
+    ("[a-z]", LOWER),
+    ("[A-Z]", UPPER),
+    (r"[\p{IsCyrillic}&&\p{Lu}]", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"),
+    (r"\p{IsCyrillic}", "абвгдежзиклмнопрстуфхцчшэюя"),
+    (r"[\p{IsGreek}&&\p{Lu}]", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"),
+    (r"\p{IsGreek}", "αβγδεζηθικλμνξοπρστυφχψω"),
+    (r"\p{IsArabic}", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي"),
+    (r"\p{IsHebrew}", "אבגדהוזחטיכלמנסעפצקרשת"),
+    (r"[\p{IsHiragana}\p{IsKatakana}]", "かきくけこさしすせそたちつてとなにぬねのまみむめもらりるれろ"),
+    (r"\p{IsHangul}", "가나다라마바사아자차카타파하고노도로모보소오조초코토포호"),
+    (r"\p{IsHan}", "日月火水木金土山川田石竹米花草虫魚鳥馬牛羊犬車門雨雪風雲"),
+    (r"\p{Lu}", UPPER),
+    (r"[\p{L}\p{M}]", LOWER),
+    (r"\p{N}", DIGITS),
+]
+SYMBOLS = "#$%&*+/<=>@^|~"
+#: Draws after which types of free length grow by one symbol a draw, and those of fixed length.
 GROW_AFTER = 3
+FIXED_AFTER = 8
 
 
 def _chars(text: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(text, i, F.lit(1)))
+    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
 
 def _digits(text: Column) -> Column:
@@ -159,6 +184,21 @@ def _redrawn(text: Column, seed: Column) -> Column:
     return F.array_join(F.transform(_chars(text), one), "")
 
 
+def _secret(text: Column, seed: Column) -> Column:
+    """Each character replaced by another of its class; separators stay between letters and digits."""
+    some = text.rlike(r"[\p{L}\p{N}]")
+
+    def one(c: Column, i: Column) -> Column:
+        b = _byte(seed, i)
+        pick = lambda letters: F.substring(F.lit(letters), b % len(letters) + 1, F.lit(1))
+        out = F.when(some & c.rlike("[-_.]"), c)
+        for pattern, letters in CLASSES:
+            out = out.when(c.rlike(pattern), pick(letters))
+        return out.otherwise(pick(SYMBOLS))
+
+    return F.array_join(F.transform(_chars(text), one), "")
+
+
 def _name(canon: Column, kind: Column, seed: Column, attempt: Column) -> Column:
     """Syllables and an ending by script and gender."""
     count = F.lit(3) + F.greatest(F.lit(0), attempt - GROW_AFTER)
@@ -176,24 +216,32 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The canonical surrogate of an entity at a draw."""
     text = F.concat_ws("\u0001", F.lit(key), kind, canon, attempt.cast("string"))
     seed = F.concat(F.sha2(F.concat(text, F.lit("\u0001a")), 512), F.sha2(F.concat(text, F.lit("\u0001b")), 512))
-    grown = F.substring(F.translate(seed, DIGITS, "ghijklmnop"), F.lit(1), F.greatest(F.lit(0), attempt - GROW_AFTER))
+    # as a variable of a lambda the seed is hashed once, not once a character
+    return F.get(F.transform(F.array(seed), lambda x: _drawn(kind, canon, attempt, x)), 0)
+
+
+def _drawn(kind: Column, canon: Column, attempt: Column, seed: Column) -> Column:
+    more, fixed = (F.greatest(F.lit(0), attempt - n) for n in (GROW_AFTER, FIXED_AFTER))
+    grown = F.substring(F.translate(seed, DIGITS, "ghijklmnop"), F.lit(1), more)
+    digits = F.substring(F.translate(seed, "abcdef", "012345"), F.lit(129), fixed)
     code = F.substring_index(canon, "/", 1)
     number = F.substring_index(canon, "/", -1)
-    body = F.concat(F.substring(canon, 1, 1), _redrawn(F.substring(canon, F.lit(2), F.length(canon) - 2), seed))
+    body = F.concat(F.substring(canon, 1, 1), _redrawn(F.substring(canon, F.lit(2), F.length(canon) - 2), seed), digits)
     check = (F.lit(10) - _luhn_sum(body, 1) % 10) % 10
-    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_byte(seed, i * 2) * 256 + _byte(seed, i * 2 + 1)) % 254 + 1), ".")
+    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3) + fixed), lambda i: (_byte(seed, i * 2) * 256 + _byte(seed, i * 2 + 1)) % 254 + 1), ".")
     top = F.substring_index(canon, ".", -1)
-    hexed = F.substring(seed, F.lit(1), F.length(canon))
+    hexed = F.substring(F.repeat(seed, F.ceil((F.length(canon) + more) / 256).cast("int")), F.lit(1), F.length(canon) + more)
     return (
-        F.when(kind == "phone", F.concat(code, F.lit("/"), _redrawn(number, seed)))
+        F.when(kind == "phone", F.concat(code, F.lit("/"), _redrawn(number, seed), digits))
         .when(kind == "card", F.concat(body, check.cast("string")))
         .when(kind == "ip", octets)
         .when(kind == "mailbox", F.concat(_redrawn(F.substring_index(canon, "@", 1), seed), grown))
         .when(kind == "domain", F.concat(_redrawn(F.substring(canon, F.lit(1), F.length(canon) - F.length(top) - 1), seed), grown, F.lit("."), top))
-        .when(kind == "key", F.concat(F.substring(canon, 1, 4), _redrawn(F.substring(canon, F.lit(5), F.length(canon)), seed)))
-        .when(kind == "iban", F.concat(F.substring(canon, 1, 2), _redrawn(F.substring(canon, F.lit(3), F.length(canon)), seed)))
+        .when(kind == "key", F.concat(F.substring(canon, 1, 4), _redrawn(F.substring(canon, F.lit(5), F.length(canon)), seed), digits))
+        .when(kind == "iban", F.concat(F.substring(canon, 1, 2), _redrawn(F.substring(canon, F.lit(3), F.length(canon)), seed), digits))
         .when((kind == "secret") & canon.rlike("^[0-9a-f]+$"), hexed)
-        .when(kind.isin("secret", "national"), _redrawn(canon, seed))
+        .when(kind == "secret", F.concat(_secret(canon, seed), grown))
+        .when(kind == "national", F.concat(_redrawn(canon, seed), digits))
         .otherwise(_name(canon, kind, seed, attempt))
     )
 
@@ -223,7 +271,7 @@ def assign(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
 
 
 def _written(kind: Column, text: Column, drawn: Column) -> Column:
-    """A canonical surrogate in the format of the original."""
+    """A canonical surrogate in the format of the original; what it has grown by comes last."""
     symbols = F.regexp_replace(drawn, "[^0-9A-Za-z]", "")
     filled = F.array_join(
         F.transform(
@@ -232,6 +280,7 @@ def _written(kind: Column, text: Column, drawn: Column) -> Column:
         ),
         "",
     )
+    filled = F.concat(filled, F.substring(symbols, F.length(F.regexp_replace(text, "[^0-9A-Za-z]", "")) + 1, F.length(symbols)))
     shouted = text == F.upper(text)
     return (
         F.when(kind.isin("phone", "card", "national", "iban"), filled)

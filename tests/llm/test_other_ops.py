@@ -294,6 +294,23 @@ def test_surrogates_are_distinct_where_room_is_short(spark):
     assert len({g.split("@")[1] for g in got}) == 1
 
 
+def test_draws_end_for_secrets_of_any_characters(spark):
+    secrets = ["********", "--------", "секретное", "密码密码密码", "pa-ss_wo.rd", "ЖЁ€42-xyz", "🔑🔑🔑🔑🔑🔑"]
+    df = spark.createDataFrame([(i, f"password: {s} here") for i, s in enumerate(secrets)], "doc_id long, text string")
+    got = [re.fullmatch(r"password: (\S+) here", r["text"]).group(1) for r in pii.replace_pii(df, "k").orderBy("doc_id").collect()]
+    assert len(set(got)) == len(secrets) and not set(got) & set(secrets)
+    assert re.fullmatch("[Ѐ-ӿ]{9}", got[2]) and re.fullmatch("[一-鿿]{6}", got[3]) and re.fullmatch(r"[a-z]{2}-[a-z]{2}_[a-z]{2}\.[a-z]{2}", got[4])
+
+
+def test_draws_end_where_short_numbers_are_dense(spark):
+    """6,000 of the 10,000 numbers behind a code: not enough are free for all."""
+    phones = [f"+49 {i:04d}" for i in range(6000)]
+    df = spark.createDataFrame([(k, "; ".join(phones[k::10])) for k in range(10)], "doc_id long, text string")
+    got = [p for r in pii.replace_pii(df, "k").collect() for p in r["text"].split("; ")]
+    assert len(set(got)) == 6000 and not set(got) & set(phones)
+    assert all(re.fullmatch(r"\+49 \d{4,}", p) for p in got) and sum(len(p) == 8 for p in got) > 3000
+
+
 # -- pipeline ------------------------------------------------------------------------
 
 
