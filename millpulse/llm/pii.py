@@ -6,6 +6,12 @@ keys, passwords and tokens after their word, and names after a title.  A text is
 cut at its entities; an e-mail gives a mailbox and a domain, a name its given
 names and its surname, so that parts shared by several entities stay shared.
 
+A secret follows one of the words password, passwd, pwd, secret, token and API key
+or an identifier with it as a part (``DB_PASSWORD``, ``secret_key``, ``accessToken``,
+also in quotes) and ``=``, ``:``, ``=>`` or ``:=``.  It has six characters or more, of
+any number, and ends at white space or a quote, so of a quoted phrase of several
+words only the first is taken.
+
 A surrogate is drawn from a keyed hash of the entity's type and canonical form:
 the same entity has the same surrogate in all documents, however it is written
 there.  It keeps type and format: lengths, separators, country code, first card
@@ -39,11 +45,18 @@ from .common import Scratch, shuffled
 TITLES_F = "Mrs|Ms|Miss|Frau|Mme|Madame|Señora|Sra|Doña|Госпожа|Κυρία"
 TITLES_M = "Mr|Herrn|Herr|Monsieur|Señor|Sr|Господин|Κύριος"
 TITLES_X = "Dr|Prof"
-SECRET_WORD = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
+SECRET_WORD = (
+    # the word, the rest of its identifier, the quote that closes a key, the separator, the quote that opens the value
+    r"(?i:password|passwd|pwd|secret|token|api[_-]?key)(?:[_-][A-Za-z0-9_-]*+)?+(?:\\{0,2}[\"'])?+"
+    r"\s{0,3}(?:=>|:=|[=:])\s{0,3}(?:\\{0,2}[\"'])?"
+)
+#: Before the word: a part of the identifier that ends in - or _ or, in camel case, before a capital.
+SECRET_START = r"(?:(?<![\p{L}\d])|(?<=[a-z\d])(?=[PSTA][a-z]))"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 NAME_WORD = r"\p{Lu}\p{L}+(?:-\p{Lu}\p{L}+)?"
 PATTERNS = [
-    r"(?<![\p{L}\d_])" + SECRET_WORD + r"[^\s\"']{5,127}[^\s\"'.,;:!?)\]}]",
+    # to the end of the secret, however long, without the punctuation after it
+    SECRET_START + SECRET_WORD + r"[^\s\"']{5,}[^\s\"'\\.,;:!?)\]}]",
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -51,6 +64,7 @@ PATTERNS = [
     r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:(?!\s(?:\d{1,3}\.){3}\d)[ .-]?\d{2,4}){1,4}(?!\d|\.\d)",
     r"(?<![\d.])\d{13,19}(?!\d|\.\d)",
     r"(?<![\d-])\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}(?![\d-])",
+    r"(?<![\d-])\d{4}[ -]\d{6}[ -]\d{4,5}(?![\d-])",
     r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     r"(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)",
     r"(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",

@@ -302,6 +302,35 @@ def test_draws_end_for_secrets_of_any_characters(spark):
     assert re.fullmatch("[Ѐ-ӿ]{9}", got[2]) and re.fullmatch("[一-鿿]{6}", got[3]) and re.fullmatch(r"[a-z]{2}-[a-z]{2}_[a-z]{2}\.[a-z]{2}", got[4])
 
 
+def test_secrets_are_replaced_to_their_end(spark):
+    rng = random.Random(5)
+    long = ".".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=n)) for n in (40, 900, 300))
+    longhex = "".join(rng.choices("0123456789abcdef", k=700))
+    plain = [
+        (f"token={long}, end", long),
+        (f"token: {longhex} end", longhex),
+        ("DB_PASSWORD=hunter2hunter end", "hunter2hunter"),
+        ("GITHUB_TOKEN=ghp_Abcdef123456 end", "ghp_Abcdef123456"),
+        ("client_secret=s3cr3tvalue end", "s3cr3tvalue"),
+        ('{"password": "Abcd1234", "accessToken": "xyzw9876"}', "Abcd1234"),
+        ('{"user":"x","api_key":"Qwer5678"}', "Qwer5678"),
+        (r'"{\"password\": \"Zxcv4321\"}"', "Zxcv4321"),
+        ("secret_key=Poiu0987poiu end", "Poiu0987poiu"),
+        ("AWS_SECRET_ACCESS_KEY => wJalrXUtnFEMI end", "wJalrXUtnFEMI"),
+        ("card 3782 822463 10005 end", "3782 822463 10005"),
+        ("card 3782-822463-10005 end", "3782-822463-10005"),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(plain)], "doc_id long, text string")
+    for r in pii.replace_pii(df, "k").collect():
+        text, secret = plain[r["doc_id"]]
+        head, tail = text.split(secret)
+        got = r["text"]
+        assert got.startswith(head) and len(got) == len(text), got
+        for k in range(0, len(secret) - 7, 8):
+            assert secret[k : k + 8] not in got, got
+        assert "xyzw9876" not in got and (got.endswith(tail) or "accessToken" in tail)
+
+
 def test_draws_end_where_short_numbers_are_dense(spark):
     """6,000 of the 10,000 numbers behind a code: not enough are free for all."""
     phones = [f"+49 {i:04d}" for i in range(6000)]
