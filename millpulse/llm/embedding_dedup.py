@@ -37,6 +37,9 @@ QUERY_ROWS = 20_000
 BEAM = 32
 AUDIT = 256
 RECALL = 0.99
+#: Pairs of a slice of queries with a whole shard (but for 8 queries), and numbers of the vectors verified at a time.
+PAIRS = 1 << 22
+VERIFIED = 1 << 20
 #: Room for single precision in the search; the verification decides.
 SLACK = 1e-4
 
@@ -123,17 +126,12 @@ def query_shards(index: DataFrame, queries: DataFrame, shards: int, salts: int,
             qid = part.column("nid").to_numpy()
             values, _ = binary_values(part.column("body"), np.float64)
             q = unit(values.reshape(len(qid), -1))
-            a, b = hnsw.within(q, cosine - SLACK, beam)
-            ok = (np.einsum("ij,ij->i", q[a], vectors[b]) >= cosine) & (qid[a] != nid[b])
-            a, b = a[ok], b[ok]
-            count = np.bincount(a, weights=weight[b], minlength=len(qid)).astype(np.int64)
+            count, x, y = graph_links(hnsw, nid, weight, vectors, qid, q, cosine, beam)
             every = np.zeros(len(qid), dtype=np.int64)
             for s in range(0, len(qid), 16) if exact else ():
-                x, y = np.nonzero(q[s : s + 16] @ vectors.T >= cosine - SLACK)
-                x += s
-                sure = (np.einsum("ij,ij->i", q[x], vectors[y]) >= cosine) & (qid[x] != nid[y])
-                np.add.at(every, x[sure], weight[y[sure]])
-            x, y = _forest(qid[a], nid[b])
+                a, b = np.nonzero(q[s : s + 16] @ vectors.T >= cosine - SLACK)
+                for a, b in _verified(a + s, b, nid, vectors, qid, q, cosine):
+                    np.add.at(every, a, weight[b])
             none = pa.nulls(len(qid), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(qid), none, pa.array(count), pa.array(every)], names=["u", "v", "c", "e"])
             if len(x):
@@ -147,9 +145,36 @@ def query_shards(index: DataFrame, queries: DataFrame, shards: int, salts: int,
     return both.repartition(shards * salts, "cell").sortWithinPartitions("cell", "nid").mapInArrow(run, "u long, v long, c long, e long")
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest of the given ones."""
+def _verified(a: np.ndarray, b: np.ndarray, nid: np.ndarray, vectors: np.ndarray, qid: np.ndarray, q: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs (query, node) that reach the cosine in double precision, some at a time."""
+    step = max(1, VERIFIED // q.shape[1])
+    for s in range(0, len(a), step):
+        x, y = a[s : s + step], b[s : s + step]
+        ok = (np.einsum("ij,ij->i", q[x], vectors[y]) >= cosine) & (qid[x] != nid[y])
+        yield x[ok], y[ok]
+
+
+def graph_links(hnsw: Hnsw, nid: np.ndarray, weight: np.ndarray, vectors: np.ndarray, qid: np.ndarray, q: np.ndarray, cosine: float, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each query's weight of links, and the links (u, v) of a spanning forest.
+
+    Queries come in slices of so few that all their pairs with the shard have room;
+    a slice leaves counts and forest links only, so memory does not grow with a group.
+    """
+    count = np.zeros(len(qid), dtype=np.int64)
     root: dict[int, int] = {}
+    links: list[tuple[int, int]] = []
+    step = max(8, min(256, PAIRS // max(1, len(nid))))
+    for s in range(0, len(qid), step):
+        a, b = hnsw.within(q[s : s + step], cosine - SLACK, beam)
+        for x, y in _verified(a + s, b, nid, vectors, qid, q, cosine):
+            np.add.at(count, x, weight[y])
+            links += _forest(qid[x], nid[y], root)
+    x, y = np.array(links, dtype=np.int64).reshape(-1, 2).T
+    return count, x, y
+
+
+def _forest(a: np.ndarray, b: np.ndarray, root: dict[int, int]) -> list[tuple[int, int]]:
+    """The given links that connect what ``root`` does not; ``root`` follows."""
 
     def find(x: int) -> int:
         while (up := root.setdefault(x, x)) != x:
@@ -163,7 +188,7 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if p != q:
             root[p] = q
             out.append((x, y))
-    return tuple(np.array(out, dtype=np.int64).reshape(-1, 2).T)
+    return out
 
 
 def _binary_vectors(df: DataFrame) -> DataFrame:

@@ -126,6 +126,26 @@ def test_float_vectors_and_recall_on_the_test_table(spark):
     assert (found <= true).all() and found.sum() >= 0.9 * true.sum()
 
 
+def test_pairs_of_a_large_group_are_not_held_at_once():
+    """1,000 near copies: a million pairs, a gigabyte as vectors."""
+    import tracemalloc
+
+    from millpulse.llm.hnsw import Hnsw, levels, unit
+
+    rng = np.random.default_rng(4)
+    vectors = unit(rng.normal(size=64) + rng.normal(size=(1000, 64)) * 0.1)
+    level = levels(rng.random(1000))
+    order = np.argsort(-level, kind="stable")
+    vectors, nid = vectors[order], order.astype(np.int64)
+    index = Hnsw(vectors, level[order])
+    tracemalloc.start()
+    count, x, _ = embedding_dedup.graph_links(index, nid, np.ones(1000, np.int64), vectors, nid, vectors, 0.95, 32)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (count == (vectors @ vectors.T >= 0.95).sum(axis=1) - 1).all() and len(x) == 999
+    assert peak < 300 << 20
+
+
 # -- 5: urls -----------------------------------------------------------------------
 
 
