@@ -51,7 +51,7 @@ SECRET_WORD = (
     r"\s{0,3}(?:=>|:=|[=:])\s{0,3}(?:\\{0,2}[\"'])?"
 )
 #: Before the word: a part of the identifier that ends in - or _ or, in camel case, before a capital.
-SECRET_START = r"(?:(?<![\p{L}\d])|(?<=[a-z\d])(?=[PSTA][a-z]))"
+SECRET_START = r"(?=[PSTApsta])(?:(?<![\p{L}\d])|(?<=[a-z\d])(?=[PSTA][a-z]))"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 NAME_WORD = r"\p{Lu}\p{L}+(?:-\p{Lu}\p{L}+)?"
 PATTERNS = [
