@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
 import math
 import os
 import sys
@@ -33,6 +35,27 @@ def spark():
     s.stop()
 
 
+@contextlib.contextmanager
+def threshold(spark, value):
+    """Run under a broadcast threshold: -1 takes the shuffle path."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, str(value))
+    try:
+        yield
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def plan_of(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
 def duck(sf_dir: str):
     import duckdb
 

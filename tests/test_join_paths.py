@@ -13,7 +13,7 @@ from millpulse.operators.enrich import enrich
 from millpulse.operators.interval_join import window_join
 from millpulse.operators.joins import lookup_join
 from millpulse.sources import roles
-from tests.conftest import SF_ORACLE
+from tests.conftest import SF_ORACLE, plan_of, threshold
 
 
 def window_join_plain(anchors, points, on, anchor_ts, point_ts, lookback_hours=24):
@@ -26,27 +26,6 @@ def window_join_plain(anchors, points, on, anchor_ts, point_ts, lookback_hours=2
     return anchors.join(p, cond, "inner").drop(*names.values())
 
 
-@contextlib.contextmanager
-def threshold(spark, value):
-    """Run under a broadcast threshold: -1 takes the shuffle path."""
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    saved = {k: spark.conf.get(k, None) for k in keys}
-    for k in keys:
-        spark.conf.set(k, str(value))
-    try:
-        yield
-    finally:
-        for k, v in saved.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
-def plan_of(df):
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()
-
-
 def _same(a, b):
     a, b = sorted(map(str, a)), sorted(map(str, b))
     assert len(a) == len(b) and a == b

@@ -12,11 +12,18 @@ from millpulse.operators.enrich import ENRICHED_COLUMNS, enrich
 from millpulse.plans.failures import failure_analysis
 from millpulse.plans.health import daily_machine_health, machine_health, with_status
 from millpulse.plans.production import production_performance
+from tests.conftest import plan_of, threshold
 
 D = dt.date
 TS = dt.datetime
 
 
+def _stored(df, path):
+    """The rows as a table: joins are chosen by the measured size of files."""
+    df.write.parquet(str(path))
+    return df.sparkSession.read.parquet(str(path))
+
+
 def _daily(spark, rows):
     return spark.createDataFrame(rows, "machine_id string, recording_date date, composite_health_score double")
 
@@ -83,10 +90,13 @@ def _staged(spark):
     return tel.select(*ENRICHED_COLUMNS), failures, maint
 
 
-@pytest.mark.parametrize("max_bytes", [64 << 20, 1, None])
-def test_failure_window_and_maintenance(spark, max_bytes):
-    tel, failures, maint = _staged(spark)
-    out = {r["failure_id"]: r for r in failure_analysis(failures, tel, maint, max_broadcast_bytes=max_bytes).collect()}
+@pytest.mark.parametrize(("max_bytes", "joins"), [(64 << 20, "BroadcastHashJoin"), (-1, "SortMergeJoin")])
+def test_failure_window_and_maintenance(spark, tmp_path, max_bytes, joins):
+    tel, failures, maint = (_stored(df, tmp_path / str(i)) for i, df in enumerate(_staged(spark)))
+    with threshold(spark, max_bytes):
+        mart = failure_analysis(failures, tel, maint)
+        assert joins in plan_of(mart)
+        out = {r["failure_id"]: r for r in mart.collect()}
     f1 = out["F1"]
     assert f1["avg_bearing_health_24h_prior"] == 0.6  # (0.5 + 0.7) / 2; the reading at the instant is out
     assert f1["readings_that_predicted_failure"] == 1
@@ -135,7 +145,7 @@ def test_production_edge_cases(spark):
     assert len(out) == 2  # the order without a machine is not counted
 
 
-def test_duplicate_key_fans_out_and_is_reported(spark):
+def test_duplicate_key_fans_out_and_is_reported(spark, tmp_path):
     tel = spark.createDataFrame([("M1", TS(2025, 1, 1), 7)], "machine_id string, recorded_at timestamp, active_order_id int")
     from_dims = {"order_market", "order_steel_grade", "order_weight_tons", "order_is_completed", "order_is_delayed",
                  "order_duration_variance_min", "failure_category", "failure_root_cause", "failure_severity",
@@ -152,8 +162,11 @@ def test_duplicate_key_fans_out_and_is_reported(spark):
     empty_f = spark.createDataFrame([], "failure_id int, failure_category string, root_cause string, severity_level int")
     empty_m = spark.createDataFrame([], "maintenance_id int, is_planned boolean, duration_minutes bigint")
     empty_d = spark.createDataFrame([], "demand_date date, expected_total_tons double, seasonal_index double")
-    for mb in (64 << 20, 1):
-        e = enrich(tel, orders, empty_f, empty_m, empty_d, max_broadcast_bytes=mb)
-        assert e.count() == 2
+    tel, orders = _stored(tel, tmp_path / "telemetry"), _stored(orders, tmp_path / "orders")
+    for max_bytes, joins in ((64 << 20, "BroadcastHashJoin"), (-1, "SortMergeJoin")):
+        with threshold(spark, max_bytes):
+            e = enrich(tel, orders, empty_f, empty_m, empty_d)
+            assert joins in plan_of(e)
+            assert e.count() == 2
     report = quality.unique_check(orders, "stg_orders", "order_id").first()
     assert report["violations"] == 1 and report["passed"] is False
