@@ -16,6 +16,8 @@ from .line_dedup import deduplicate_lines
 from .minhash_dedup import near_duplicates
 from .packing import pack_documents
 from .pii import replace_pii
+from .prefix_trie import prefix_trie, turn_sequences
+from .sharding import shard_documents
 from .substring_dedup import remove_repeats
 from .suffix_dedup import remove_repeated_bytes
 from .url_filter import judge_urls
@@ -69,6 +71,26 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_entities").alias("n_entities"), "text")
 
 
+def rebuilt(sequences: DataFrame, block: int = 100, heads: int = 6) -> DataFrame:
+    """Each conversation after the first turns of its block's first one: as many as a checksum of its id says."""
+    first = F.col("conv_id") - F.col("conv_id") % block
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % heads).cast("int")
+    head = sequences.where(F.col("conv_id") % block == 0).select(F.col("conv_id").alias("first"), F.slice("turns", 1, heads - 1).alias("head"))
+    joined = sequences.withColumn("first", first).join(head, "first", "left").withColumn("h", h)
+    kept = F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns"), F.lit(1)))
+    given = F.when(F.col("head").isNotNull(), F.slice("head", F.lit(1), F.col("h"))).otherwise(F.slice("turns", 1, 0))
+    return joined.select("conv_id", F.concat(given, kept).alias("turns"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt(turn_sequences(table(spark, sf_dir, "conversations"))))
+
+
+def op13_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shard_documents(documents(spark, sf_dir), keep=["doc_id"])
+    return out.select("row.doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -80,6 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_hilbert_sharding": op13_hilbert_sharding,
 }
 
 ORACLE: dict[str, str] = {
