@@ -21,6 +21,7 @@ from .sharding import shard_documents
 from .substring_dedup import remove_repeats
 from .suffix_dedup import remove_repeated_bytes
 from .url_filter import judge_urls
+from .whitening import whiten
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,15 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_entities").alias("n_entities"), "text")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    out = whiten(table(spark, sf_dir, "embeddings")).select("id", "n", "deviation", "identity_error", each)
+    return out.select(
+        F.col("id").alias("vec_id"), (F.col("at") + 1).cast("int").alias("component"), "n", F.col("deviation").try_cast("long").alias("deviation"),
+        F.col("c.whitened").alias("whitened"), F.col("c.explained").alias("explained"), "identity_error",
+    )
+
+
 def rebuilt(sequences: DataFrame, block: int = 100, heads: int = 6) -> DataFrame:
     """Each conversation after the first turns of its block's first one: as many as a checksum of its id says."""
     first = F.col("conv_id") - F.col("conv_id") % block
@@ -102,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_conversation_trie": op12_conversation_trie,
     "op13_hilbert_sharding": op13_hilbert_sharding,
 }

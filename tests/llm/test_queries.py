@@ -20,6 +20,7 @@ CONTRACT = {
     "op8_language_id": (["doc_id", "held_out", "lang_pred", "score"], "documents"),
     "op9_suffix_array_dedup": (["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], "documents"),
     "op10_pii_surrogates": (["doc_id", "n_entities", "text"], "documents"),
+    "op11_embedding_whitening": (["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"], None),
     "op12_conversation_trie": (["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"], None),
     "op13_hilbert_sharding": (["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"], "documents"),
 }
