@@ -45,7 +45,7 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 
 #: What hangs at a node of an item: members, smallest one, digest of those that end here, and of subtrees already final: children, leaves, savings.
 AT = "depth int, n long, lo long, ends string, children long, leaves long, saved long"
-NODE = "conv_id long, depth int, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends_sha256 string, key string, parent_key string"
+NODE = "conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends_sha256 string, key string, parent_key string"
 ITEM = f"path binary, sizes binary, at array<struct<{AT}>>, keys array<string>"
 OUT = f"shard long, node struct<{NODE}>, item struct<{ITEM}>"
 
@@ -233,7 +233,7 @@ def _shard(table: pa.Table, shard: int, upper: bool, last: bool) -> pa.RecordBat
     asked = (above >= 0) & ~known
     nodes = pa.StructArray.from_arrays(
         [
-            pa.array(lo[final]), pa.array(depth[final].astype(np.int32)), pa.array(lo[np.maximum(above, 0)], mask=~known),
+            pa.array(lo[final]), pa.array(depth[final]), pa.array(lo[np.maximum(above, 0)], mask=~known),
             pa.array(n[final]), pa.array(children[final]), pa.array(leaves[final]), pa.array(saved[final]),
             pa.array([x or EMPTY for x in ended[final]], pa.string()), pa.array(final_key[final], pa.string()),
             pa.array(np.where(asked, key_of[np.maximum(above, 0)], None), pa.string()),

@@ -166,4 +166,79 @@ ORACLE: dict[str, str] = {
         SELECT h.page_id, h.host, h.path, b.rule, coalesce(b.says, 'allow') AS verdict
         FROM hosts h LEFT JOIN best b USING (page_id)
     """,
+    "op12_conversation_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), convs AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS first,
+                   xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+                                   lambda c, s: CASE WHEN s >= 0 THEN xor(c, s) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 6 AS h
+            FROM (SELECT DISTINCT conv_id FROM turns)
+        ), rebuilt AS (
+            SELECT c.conv_id, t.p, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.first AND t.p <= c.h
+            UNION ALL
+            SELECT c.conv_id, c.h + t.p, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.p > c.h
+        ), placed AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY p) AS d, length(text) AS size, md5(length(role) || ':' || role || text) AS turn FROM rebuilt
+        ), prefixes AS (
+            SELECT conv_id, d, size, string_agg(turn, '') OVER (PARTITION BY conv_id ORDER BY d) AS key FROM placed
+            UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+        ), ends AS (
+            SELECT conv_id, max_by(key, d) AS key FROM prefixes GROUP BY conv_id
+        ), digests AS (
+            SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS digest FROM ends GROUP BY key
+        ), nodes AS (
+            SELECT key, d, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * max(size) AS saved FROM prefixes GROUP BY key, d
+        ), linked AS (
+            SELECT a.*, b.key AS above, b.conv_id AS parent FROM nodes a LEFT JOIN nodes b ON b.d = a.d - 1 AND b.key = left(a.key, greatest(32 * (a.d - 1), 0)::BIGINT)
+        ), families AS (
+            SELECT above AS key, d - 1 AS d, count(*) AS children FROM linked WHERE above IS NOT NULL GROUP BY ALL
+        ), totals AS (
+            SELECT p.key, p.d, sum(n.saved) AS saved, count(*) FILTER (WHERE f.children IS NULL) AS leaves
+            FROM nodes n LEFT JOIN families f ON f.key = n.key AND f.d = n.d JOIN prefixes p ON p.conv_id = n.conv_id AND p.d <= n.d
+            GROUP BY p.key, p.d
+        )
+        SELECT l.conv_id, l.d::BIGINT AS depth, l.parent AS parent_conv_id, l.n AS n_convs, coalesce(f.children, 0) AS n_children, t.leaves AS n_leaves,
+               t.saved::BIGINT AS saved_tokens, coalesce(g.digest, sha256('')) AS ends_sha256
+        FROM linked l JOIN totals t ON t.key = l.key AND t.d = l.d LEFT JOIN families f ON f.key = l.key AND f.d = l.d LEFT JOIN digests g ON g.key = l.key
+    """,
+    "op13_hilbert_sharding": r"""
+        WITH crc_step AS (
+            SELECT list_transform(range(256), lambda i: list_reduce([i, -1, -1, -1, -1, -1, -1, -1, -1], lambda c, s: xor(c >> 1, 3988292384 * (c & 1)))) AS step
+        ), docs AS (
+            SELECT row_number() OVER () AS nth, doc_id, lang, source, n_chars, strlen(coalesce(text, '')) + 8 AS size,
+                   xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT),
+                                   lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+            FROM documents, crc_step
+        ), lang_bins AS (
+            SELECT lang AS v, ((sum(n) OVER (ORDER BY lang NULLS FIRST) - n) * 32 // sum(n) OVER ())::BIGINT AS bin FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang)
+        ), source_bins AS (
+            SELECT source AS v, ((sum(n) OVER (ORDER BY source NULLS FIRST) - n) * 32 // sum(n) OVER ())::BIGINT AS bin FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)
+        ), length_bins AS (
+            SELECT n_chars AS v, ((sum(n) OVER (ORDER BY n_chars NULLS FIRST) - n) * 32 // sum(n) OVER ())::BIGINT AS bin FROM (SELECT n_chars, count(*) AS n FROM documents GROUP BY n_chars)
+        ), cells AS (
+            SELECT d.*, CASE WHEN d.lang IS NULL THEN 0 ELSE a.bin END AS a, CASE WHEN d.source IS NULL THEN 0 ELSE b.bin END AS b, CASE WHEN d.n_chars IS NULL THEN 0 ELSE c.bin END AS c
+            FROM docs d JOIN lang_bins a ON a.v IS NOT DISTINCT FROM d.lang JOIN source_bins b ON b.v IS NOT DISTINCT FROM d.source JOIN length_bins c ON c.v IS NOT DISTINCT FROM d.n_chars
+        ), turned AS (  -- each step: bit, axis
+            SELECT *, list_reduce([[a, b, c], [16, 1, 0], [16, 2, 0], [16, 3, 0], [8, 1, 0], [8, 2, 0], [8, 3, 0], [4, 1, 0], [4, 2, 0], [4, 3, 0], [2, 1, 0], [2, 2, 0], [2, 3, 0]],
+                lambda s, t: CASE WHEN s[t[2]] & t[1] > 0 THEN [xor(s[1], t[1] - 1), s[2], s[3]]
+                    ELSE [xor(s[1], xor(s[1], s[t[2]]) & (t[1] - 1)),
+                          CASE WHEN t[2] = 2 THEN xor(s[2], xor(s[1], s[2]) & (t[1] - 1)) ELSE s[2] END,
+                          CASE WHEN t[2] = 3 THEN xor(s[3], xor(s[1], s[3]) & (t[1] - 1)) ELSE s[3] END] END) AS x
+            FROM cells
+        ), gray AS (
+            SELECT *, x[1] AS x1, xor(x[1], x[2]) AS x2, xor(xor(x[1], x[2]), x[3]) AS x3 FROM turned
+        ), flipped AS (
+            SELECT *, xor(xor(CASE WHEN x3 & 16 > 0 THEN 15 ELSE 0 END, CASE WHEN x3 & 8 > 0 THEN 7 ELSE 0 END), xor(CASE WHEN x3 & 4 > 0 THEN 3 ELSE 0 END, CASE WHEN x3 & 2 > 0 THEN 1 ELSE 0 END)) AS f FROM gray
+        ), curved AS (
+            SELECT *, list_sum(list_transform([0, 1, 2, 3, 4], lambda k: ((xor(x1, f) >> k) & 1) * (4 << 3 * k) + ((xor(x2, f) >> k) & 1) * (2 << 3 * k) + ((xor(x3, f) >> k) & 1) * (1 << 3 * k))) AS curve FROM flipped
+        ), ranked AS (
+            SELECT *, (row_number() OVER (ORDER BY curve, crc, size, doc_id NULLS FIRST, nth) - 1) AS rank, count(*) OVER () AS total FROM curved
+        ), cut AS (
+            SELECT *, rank * 24 // total AS shard FROM ranked
+        )
+        SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'rows' AS law, shard::INTEGER AS shard, rank - min(rank) OVER (PARTITION BY shard) AS slot, NULL::INTEGER AS grown_shard FROM cut
+    """,
 }
