@@ -7,8 +7,8 @@ flags, and which columns are derived from the typed ones.  Rows missing a key
 
 ``years=(first, last)`` is an optional guard: a timestamp or date outside these
 calendar years fails the query (``raise_error``).  It is off by default; the
-yearly load checks its files as a whole instead (``outside_years``), so that a
-single odd date does not stop a year.
+yearly load judges its files as a whole instead, by what it observes while it
+writes them (``year_metrics``), so that a single odd date does not stop a year.
 """
 
 from __future__ import annotations
@@ -105,20 +105,14 @@ def clean(df: DataFrame, name: str, years: tuple[int, int] | None = None) -> Dat
     return df.where(has_keys(name)).select(*stored, *added, F.current_timestamp().alias("loaded_at"))
 
 
-def outside_years(df: DataFrame, name: str, first: int, last: int) -> DataFrame:
-    """(source, column, rows, outside): how many values of each epoch or date column lie outside the years."""
+def year_metrics(name: str, first: int, last: int) -> dict[str, Column]:
+    """Aggregates of a cleaned table, two for each timestamp or date column: its values, and those outside the years."""
     spec = SPECS[name]
-    values = {c: ns_to_timestamp(c) for c in spec.epochs} | {c: F.col(c) for c in spec.dates}
-    counted = [
-        F.struct(
-            F.lit(name).alias("source"),
-            F.lit(c).alias("column"),
-            F.count(v).alias("rows"),
-            F.count_if(~F.year(v).between(first, last)).alias("outside"),
-        )
-        for c, v in values.items()
-    ]
-    return df.agg(F.array(*counted).alias("c")).select(F.inline("c"))
+    out = {}
+    for c in (*spec.epochs, *spec.dates):
+        out[f"values.{c}"] = F.count(c)
+        out[f"outside.{c}"] = F.count_if(~F.year(c).between(first, last))
+    return out
 
 
 def _cleaner(name: str) -> Callable[..., DataFrame]:

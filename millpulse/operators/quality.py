@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The declared tests of the plant models and sources.
@@ -127,6 +127,27 @@ def violations(check: tuple[str, str, dict]) -> Column:
     return _violation_expr(*check)
 
 
+def check_metrics(checks: list[tuple[str, str, dict]]) -> dict[str, Column]:
+    """The row-level checks as aggregates to observe while the table is written."""
+    return {f"check.{column}.{check}": _violation_expr(column, check, params) for column, check, params in checks if check != "unique"}
+
+
+def observed_checks(spark: SparkSession, table: str, checks: list[tuple[str, str, dict]], batches: list[dict]) -> DataFrame | None:
+    """Report of the row-level checks from what was observed at the writes of ``batches``.
+
+    None where a batch lacks a count.
+    """
+    rows = []
+    for column, check, params in checks:
+        if check == "unique":
+            continue
+        counts = [b.get(f"check.{column}.{check}") for b in batches]
+        if any(c is None for c in counts):
+            return None
+        rows.append((table, column, check, _params(params), sum(counts), sum(counts) == 0))
+    return spark.createDataFrame(rows, "table string, column string, check string, params string, violations bigint, passed boolean")
+
+
 def _report(table: str, rows: DataFrame) -> DataFrame:
     """``rows`` has column, check, params, violations -> full report shape."""
     return rows.select(

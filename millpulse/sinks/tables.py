@@ -1,43 +1,35 @@
-"""K1-K8: table writes.
-
-Raw tables live under ``{root}/{table}``, split by a literal ``load_year``
-partition (the batch argument, never a nullable data column); telemetry has day
-partitions inside it.  A year is replaced with dynamic partition overwrite:
-Spark writes the new files to a staging folder and swaps the partitions in when
-the job commits, so a failed load leaves the previous version of the year.
-What the new batch no longer has (a lost day, or the whole year of a batch
-without rows) is removed after the commit.
-
-Model tables are rebuilt whole.  Each build writes a version folder of its own
-and switches a small pointer file once it is complete; a build that fails
-leaves the previous version readable.
-
-Physical organisation before a write: ``rebalance`` lets adaptive execution
-split large and merge tiny partitions; sorting within partitions by the date and
-the cluster columns gives per-file min/max ranges that parquet readers skip on.
+"""Physical organisation of writes, day-partitioned tables, and tables in other layouts.
+
+``rebalance`` lets adaptive execution split large and merge tiny partitions before a
+write; sorting within partitions by the date and the cluster columns gives per-file
+min/max ranges that parquet readers skip on.  Sets of tables that change as a whole
+are in ``snapshots``.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
+from millpulse.operators.clustering import Bounds, along_curve
 from millpulse.sources.files import file_schema
 
 LOAD_YEAR = "load_year"
-POINTER = "_CURRENT"
 
 
 class LayoutError(ValueError):
-    """A stored table cannot be replaced by year as it is."""
+    """A stored table cannot be replaced by year where it is."""
+
 
+def organize(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), rebalance_by: Sequence[str] = (), curve: Bounds | None = None) -> DataFrame:
+    """Rebalance (by the given columns, or evenly) and sort for clustering (K7, K8).
 
-def organize(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), rebalance_by: Sequence[str] = ()) -> DataFrame:
-    """Rebalance (by the given columns, or evenly) and sort for clustering (K7, K8)."""
+    ``curve``, bounds of several columns (``curve_bounds``), clusters by all of them alike.
+    """
+    if curve:
+        return along_curve(df, curve, partition_by)
     df = df.hint("rebalance", *rebalance_by)
     keys = [*partition_by, *cluster_by]
     return df.sortWithinPartitions(*keys) if keys else df
@@ -52,166 +44,48 @@ def write_table(
     rows: Observation | None = None,
     dynamic: bool = False,
     rebalance_by: Sequence[str] = (),
+    metrics: dict[str, Column] | None = None,
+    curve: Bounds | None = None,
 ) -> None:
     """Write a (partitioned, clustered) table.
 
     ``dynamic`` replaces only the partitions present in ``df`` (at commit);
     otherwise an overwrite replaces the whole path.  ``rows`` (K9) observes the
-    written row count in the write's result stage, where Spark applies each
-    task's metric update once even when tasks or stages are retried.
+    written row count, and the aggregates ``metrics``, in the write's result stage, where
+    Spark applies each task's metric update once even when tasks or stages are retried.
     """
-    out = organize(df, partition_by, cluster_by, rebalance_by)
+    out = organize(df, partition_by, cluster_by, rebalance_by, curve)
     if rows is not None:
-        out = out.observe(rows, F.count(F.lit(1)).alias("rows"))
+        out = out.observe(rows, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (metrics or {}).items()])
     w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
-# -- files ------------------------------------------------------------------------
-
-
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-
-
-# -- raw tables: replaced by year ------------------------------------------------
-
-
 def table_layout(spark: SparkSession, root: str) -> str:
     """What is stored at ``root``.
 
     absent       no data file
-    by_year      this library's layout
-    other_years  rows of several batches in another layout (a ``year`` or ``date``
-                 column but no ``load_year``)
+    other_years  rows of several batches (a ``load_year``, ``year`` or ``date`` column)
     unknown      none of these columns
     """
     found = file_schema(spark, root)
     if found is None:
         return "absent"
     names = set(found.fieldNames())
-    if LOAD_YEAR in names:
-        return "by_year"
-    return "other_years" if names & {"year", "date"} else "unknown"
+    return "other_years" if names & {LOAD_YEAR, "year", "date"} else "unknown"
 
 
 def check_layouts(spark: SparkSession, roots: Sequence[str]) -> dict[str, str]:
-    """Layouts of all tables of a load; raises before anything is written."""
+    """Layouts of folders outside a store; raises where rows of other years would be lost sight of."""
     layouts = {root: table_layout(spark, root) for root in roots}
     bad = [root for root, layout in layouts.items() if layout == "other_years"]
     if bad:
-        raise LayoutError("tables without load_year hold other years; move them with migrate_by_year first: " + ", ".join(bad))
+        raise LayoutError("tables outside the store hold other years; take them in with adopt_table first: " + ", ".join(bad))
     return layouts
 
 
-def migrate_by_year(spark: SparkSession, old_root: str, new_root: str, year_from: str = "year") -> None:
-    """Copy a table with a ``year`` (or, from its year, ``date``) column to the load_year layout, all years kept.
-
-    Rows whose year is unknown go to load_year 0, which no load replaces.
-    """
-    df = spark.read.parquet(old_root)
-    year = F.year("date") if year_from == "date" else F.col(year_from)
-    inner = [c for c in ("date",) if c in df.columns and year_from == "date"]
-    write_table(df.withColumn(LOAD_YEAR, F.coalesce(year, F.lit(0)).cast("int")), new_root, [LOAD_YEAR, *inner], mode="errorifexists")
-
-
-def replace_year(
-    spark: SparkSession,
-    df: DataFrame,
-    root: str,
-    year: int,
-    cluster_by: Sequence[str] = (),
-    day_col: str | None = None,
-    rows: Observation | None = None,
-) -> str:
-    """K1-K4: make one batch year of a raw table exactly ``df``; other years are untouched.
-
-    ``day_col`` adds day partitions inside the year.  A table with neither
-    ``load_year`` nor ``year`` nor ``date`` cannot be split; as in the original
-    pipeline it is recreated.  One that holds other years in another layout is
-    refused (``LayoutError``).
-    """
-    layout = check_layouts(spark, [root])[root]
-    rows = rows or Observation(f"replace_{uuid.uuid4().hex}")
-    inner = [day_col] if day_col else []
-    days = {f"{day_col}={d[0]}" for d in df.select(F.col(day_col).cast("string")).distinct().collect()} if day_col else set()
-    out = df.withColumn(LOAD_YEAR, F.lit(int(year)))
-    write_table(out, root, [LOAD_YEAR, *inner], cluster_by, rows=rows, dynamic=layout != "unknown", rebalance_by=inner)
-    folder = f"{root.rstrip('/')}/{LOAD_YEAR}={int(year)}"
-    if rows.get["rows"] == 0:
-        _remove(spark, folder)
-    elif day_col:
-        for stale in set(_folders(spark, folder)) - days:
-            if stale.startswith(f"{day_col}="):
-                _remove(spark, f"{folder}/{stale}")
-    return {"absent": "created", "by_year": "replaced", "unknown": "recreated"}[layout]
-
-
 def replace_days(df: DataFrame, root: str, date_col: str = "date", cluster_by: Sequence[str] = ()) -> None:
     """K1: in a day-partitioned table, replace only the days present in ``df``."""
     write_table(df, root, [date_col], cluster_by, dynamic=True, rebalance_by=[date_col])
-
-
-def read_years(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """A raw table in its declared columns and order, ``load_year`` last; empty where nothing is stored."""
-    whole = StructType([*schema.fields, StructField(LOAD_YEAR, IntegerType())])
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return spark.createDataFrame([], whole)
-    return spark.read.schema(whole).parquet(root).select(*whole.fieldNames())
-
-
-# -- model tables: versions and a pointer ------------------------------------------
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """The folder of the complete version of a model table."""
-    fs, p = _fs(spark, f"{root}/{POINTER}")
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        return f"{root}/{bytes(stream.readAllBytes()).decode().strip()}"
-    finally:
-        stream.close()
-
-
-def _point_to(spark: SparkSession, root: str, version: str) -> None:
-    fs, final = _fs(spark, f"{root}/{POINTER}")
-    out = fs.create(final, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-
-
-def rebuild_table(spark: SparkSession, df: DataFrame, root: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
-    """K6: write a new version, switch to it, drop versions older than the previous one; returns the stored table."""
-    root = root.rstrip("/")
-    before = current_version(spark, root)
-    version = f"version-{uuid.uuid4().hex}"
-    write_table(df, f"{root}/{version}", partition_by, cluster_by, rebalance_by=partition_by)
-    _point_to(spark, root, version)
-    for old in _folders(spark, root):
-        if old.startswith("version-") and old != version and f"{root}/{old}" != before:
-            _remove(spark, f"{root}/{old}")
-    return read_table(spark, root, df.schema)
-
-
-def read_table(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """The current version of a model table in its declared columns and order."""
-    path = current_version(spark, root.rstrip("/"))
-    if path is None:
-        raise FileNotFoundError(f"no complete version of {root}")
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

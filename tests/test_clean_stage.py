@@ -80,10 +80,12 @@ def test_year_guard_is_optional_and_covers_every_table(spark):
             clean.clean(raw_df(spark, name, rows), name, (2030, 2031)).collect()
 
 
-def test_outside_years_counts(spark):
+def test_year_metrics(spark):
     rows = [{"order_id": "a", "timestamp_planned": ns("2027-01-01T00:00:00")}, {"order_id": "b", "timestamp_planned": ns("2025-01-01T00:00:00")}]
-    got = {r["column"]: (r["rows"], r["outside"]) for r in clean.outside_years(raw_df(spark, "orders", rows), "orders", 2024, 2026).collect()}
-    assert got == {"timestamp_planned": (2, 1), "timestamp_start": (0, 0), "timestamp_end": (0, 0)}
+    metrics = clean.year_metrics("orders", 2024, 2026)
+    got = clean.clean(raw_df(spark, "orders", rows), "orders").agg(*[c.alias(k) for k, c in metrics.items()]).first().asDict()
+    assert {k: v for k, v in got.items() if v} == {"values.timestamp_planned": 2, "outside.timestamp_planned": 1}
+    assert set(got) == {f"{k}.{c}" for k in ("values", "outside") for c in ("timestamp_planned", "timestamp_start", "timestamp_end")}
 
 
 def test_staged_column_counts(spark):

@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from millpulse.plans import pipeline
-from millpulse.plans.pipeline import clean_schema, load_year, read_raw_tables, run_year
-from millpulse.sinks.tables import LayoutError, migrate_by_year, read_years, rebuild_table, replace_days, replace_year, table_layout
+from millpulse.plans.pipeline import adopt_table, build_models, clean_schema, load_year, read_models, read_raw_tables, run_year
+from millpulse.sinks.snapshots import SnapshotStore
+from millpulse.sinks.tables import LayoutError, replace_days, table_layout
 from millpulse.sources.files import SourceError, check_sources, year_path
 from tests.fixtures import ns, raw_df, small_year, year_files
 
@@ -20,6 +21,10 @@ def work():
     return tempfile.mkdtemp(prefix="millpulse-test-")
 
 
+def stored(spark, raw_root, name):
+    return read_raw_tables(spark, raw_root)[name]
+
+
 def test_year_path():
     assert year_path("gs://b/raw/", "orders", 2025) == "gs://b/raw/orders_2025.parquet"
 
@@ -51,11 +56,11 @@ def test_load_counts_and_rerun_is_idempotent(spark, work):
     assert counts["failures"]["raw"] == 2 and counts["failures"]["clean"] == 1
     again = load_year(spark, src, 2025, raw_root)
     assert again["orders"]["write"] == "replaced"
-    orders = spark.read.parquet(f"{raw_root}/orders")
+    orders = stored(spark, raw_root, "orders")
     # the order with a NULL planned time is not duplicated by the rerun
     assert orders.count() == 2
     assert orders.where(F.col("year").isNull()).count() == 1
-    tel = spark.read.parquet(f"{raw_root}/telemetry")
+    tel = stored(spark, raw_root, "telemetry")
     assert tel.count() == 4 and {"load_year", "date"} <= set(tel.columns)
 
 
@@ -71,7 +76,7 @@ def test_other_years_kept_and_year_fully_replaced(spark, work):
     src2 = f"{work}/src2"
     year_files(spark, src2, 2025, fixed)
     load_year(spark, src2, 2025, raw_root)
-    tel = spark.read.parquet(f"{raw_root}/telemetry")
+    tel = stored(spark, raw_root, "telemetry")
     per_year = {r[0]: r[1] for r in tel.groupBy("load_year").count().collect()}
     assert per_year == {2024: 4, 2025: 3}
     assert tel.where(F.col("date") == dt.date(2025, 3, 2)).count() == 0
@@ -84,8 +89,7 @@ def test_unknown_layout_recreated(spark, work):
     assert table_layout(spark, f"{raw_root}/demand") == "unknown"
     counts = load_year(spark, src, 2025, raw_root)
     assert counts["demand"]["write"] == "recreated"
-    assert table_layout(spark, f"{raw_root}/demand") == "by_year"
-    assert spark.read.parquet(f"{raw_root}/demand").count() == 2
+    assert stored(spark, raw_root, "demand").count() == 2
 
 
 @pytest.mark.parametrize("name", ["telemetry", "failures", "maintenance", "orders", "demand"])
@@ -108,26 +112,27 @@ def test_other_layouts_are_refused_before_any_write_and_migrate_losslessly(spark
 
     assert os.listdir(raw_root) == [name]
     new_root = f"{work}/new"
-    migrate_by_year(spark, f"{work}/old/{name}", f"{new_root}/{name}", "date" if name == "telemetry" else "year")
+    adopt_table(spark, new_root, name, f"{work}/old/{name}")
+    with pytest.raises(ValueError, match="already"):
+        adopt_table(spark, new_root, name, f"{work}/old/{name}")
     load_year(spark, src, 2025, new_root)
     load_year(spark, src, 2025, new_root)
-    whole = read_years(spark, f"{new_root}/{name}", clean_schema(spark, name))
+    whole = stored(spark, new_root, name)
     assert whole.where("load_year <> 2025").count() == kept
     assert whole.where("load_year = 2025").count() == clean(raw_df(spark, name, small_year(2025)[name]), name).count()
 
 
 @pytest.mark.parametrize("name", ["telemetry", "failures", "maintenance", "orders", "demand"])
 def test_empty_batch_empties_exactly_its_year(spark, work, name):
-    from millpulse.operators.clean import clean
-
-    root, day = f"{work}/{name}", "date" if name == "telemetry" else None
-    table = {y: clean(raw_df(spark, name, small_year(y)[name]), name) for y in (2024, 2025)}
-    for y, df in table.items():
-        replace_year(spark, df, root, y, day_col=day)
-    assert replace_year(spark, table[2025].limit(0), root, 2025, day_col=day) == "replaced"
-    got = read_years(spark, root, clean_schema(spark, name))
+    for year in (2024, 2025):
+        year_files(spark, f"{work}/src", year, small_year(year))
+        load_year(spark, f"{work}/src", year, f"{work}/raw")
+    before = stored(spark, f"{work}/raw", name).where("load_year = 2024").count()
+    year_files(spark, f"{work}/empty", 2025, {**small_year(2025), name: []})
+    assert load_year(spark, f"{work}/empty", 2025, f"{work}/raw")[name] == {"raw": 0, "clean": 0, "write": "replaced"}
+    got = stored(spark, f"{work}/raw", name)
     assert [r[0] for r in got.select("load_year").distinct().collect()] == [2024]
-    assert got.count() == table[2024].count()
+    assert got.count() == before
 
 
 def test_replace_days_keeps_other_days(spark, work):
@@ -139,34 +144,28 @@ def test_replace_days_keeps_other_days(spark, work):
     assert got == [(1, 1), (2, 9)]
 
 
-def _model(spark, root, name):
-    from millpulse.sinks.tables import current_version
-
-    return spark.read.parquet(current_version(spark, f"{root}/{name}"))
-
-
-def test_run_year_builds_models_and_report(spark, work, monkeypatch):
+def test_run_year_builds_models_and_report(spark, work):
     from millpulse.operators.enrich import ENRICHED_COLUMNS
     from millpulse.plans.failures import FAILURE_COLUMNS
     from millpulse.plans.production import PRODUCTION_COLUMNS
 
     src = f"{work}/src"
     year_files(spark, src, 2025, small_year(2025))
-    stored = {}
-    rebuild = pipeline.rebuild_table
-    monkeypatch.setattr(pipeline, "rebuild_table", lambda s, df, root, *a: stored.setdefault(root.rsplit("/", 1)[1], rebuild(s, df, root, *a)))
-    counts, report = run_year(spark, src, 2025, f"{work}/raw", f"{work}/models")
-    enriched = stored["int_telemetry_enriched"]
+    counts, report = run_year(spark, src, 2025, f"{work}/raw", f"{work}/models", publish_failed=True)
+    models = read_models(spark, f"{work}/models")
+    enriched = models["int_telemetry_enriched"]
     assert enriched.count() == 4 and enriched.columns == ENRICHED_COLUMNS
-    assert len(stored["mart_machine_health"].columns) == 28
-    assert stored["mart_failure_analysis"].columns == FAILURE_COLUMNS
-    fa = stored["mart_failure_analysis"].first()
+    assert len(models["mart_machine_health"].columns) == 28
+    assert models["mart_failure_analysis"].columns == FAILURE_COLUMNS
+    fa = models["mart_failure_analysis"].first()
     assert fa["failure_id"] == "F1" and fa["minutes_to_first_maintenance"] == 60
     assert fa["avg_bearing_health_24h_prior"] == 0.9 and fa["was_predicted"] is True
-    assert stored["mart_production_performance"].columns == PRODUCTION_COLUMNS
+    assert models["mart_production_performance"].columns == PRODUCTION_COLUMNS
     rep = {(r["table"], r["column"], r["check"]): r for r in report.collect()}
     assert rep[("stg_orders", "order_id", "unique")]["passed"] is True
     assert rep[("telemetry", "loaded_at", "freshness")]["passed"] is True
+    # the order without a planned time has no month
+    assert [k for k, r in rep.items() if not r["passed"]] == [("mart_production_performance", "month_date", "not_null")]
     assert len(rep) == 51
 
 
@@ -187,15 +186,6 @@ def test_tables_without_rows_end_to_end(spark, work, empty):
         assert {r["check"] for r in report.where("not passed").collect()} == {"freshness"}
 
 
-def test_failed_rebuild_keeps_the_previous_version(spark, work):
-    root = f"{work}/t"
-    rebuild_table(spark, spark.range(5).toDF("v"), root)
-    with pytest.raises(Exception, match="broken"):
-        rebuild_table(spark, spark.range(5).select(F.raise_error(F.lit("broken")).cast("bigint").alias("v")), root)
-    assert _model(spark, work, "t").count() == 5
-    assert rebuild_table(spark, spark.range(7).toDF("v"), root).count() == 7
-
-
 def test_main_exits_non_zero_when_a_test_fails(spark, work):
     rows = small_year(2025)
     rows["orders"] = rows["orders"][:1]  # the other one has no planned month, which is a violation
@@ -283,7 +273,7 @@ def test_nanosecond_annotated_files_load_exactly(spark, work):
     check_sources(spark, src, 2025)
     counts = load_year(spark, src, 2025, raw_root)
     assert counts["failures"]["clean"] == 1
-    got = spark.read.parquet(f"{raw_root}/failures").first()["timestamp_occurrence"]
+    got = stored(spark, raw_root, "failures").first()["timestamp_occurrence"]
     assert got == dt.datetime(2025, 3, 1, 6, 0)
 
 
@@ -297,9 +287,9 @@ def test_column_of_wrong_type_reported(spark, work):
 
 
 def test_failed_reload_keeps_the_previous_year(spark, work):
-    """The year is swapped in at commit: a load that fails (here a file written
-    in microseconds trips the year check) leaves the loaded year readable, and
-    a rerun with good files replaces it."""
+    """A load that fails (here a file written in microseconds trips the year check)
+    leaves the loaded year readable and no files behind, and a rerun with good
+    files replaces it."""
     src, raw_root = f"{work}/src", f"{work}/raw"
     year_files(spark, src, 2025, small_year(2025))
     load_year(spark, src, 2025, raw_root)
@@ -311,9 +301,10 @@ def test_failed_reload_keeps_the_previous_year(spark, work):
     year_files(spark, src_bad, 2025, bad)
     with pytest.raises(Exception, match="outside batch year"):
         load_year(spark, src_bad, 2025, raw_root)
-    assert spark.read.parquet(f"{raw_root}/telemetry").count() == 4
+    assert SnapshotStore(spark, raw_root).expire(keep=9, grace_hours=0) == []
+    assert stored(spark, raw_root, "telemetry").count() == 4
     assert load_year(spark, src, 2025, raw_root)["telemetry"]["write"] == "replaced"
-    assert spark.read.parquet(f"{raw_root}/telemetry").count() == 4
+    assert stored(spark, raw_root, "telemetry").count() == 4
 
 
 def test_empty_table_folder_counts_as_absent(spark, work):
