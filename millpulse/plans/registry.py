@@ -19,7 +19,7 @@ from millpulse.operators.clean import CLEANERS, clean
 from millpulse.operators.enrich import enrich
 from millpulse.operators.interval_join import window_join
 from millpulse.operators.staging import STAGERS
-from millpulse.plans import dashboard
+from millpulse.plans import dashboard, stored
 from millpulse.plans.failures import failure_analysis, post_failure_maintenance, pre_failure_state
 from millpulse.plans.health import daily_machine_health, machine_health, with_status
 from millpulse.plans.production import monthly_demand, monthly_orders, production_performance
@@ -419,4 +419,5 @@ QUERIES: dict[str, Query] = {
     "q9_sliced_production": q9_sliced_production,
     "q10_mart_row_counts": q10_mart_row_counts,
     "q11_machines_needing_action": q11_machines_needing_action,
+    **stored.QUERIES,
 }

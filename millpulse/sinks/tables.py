@@ -70,7 +70,8 @@ def table_layout(spark: SparkSession, root: str) -> str:
     other_years  rows of several batches (a ``load_year``, ``year`` or ``date`` column)
     unknown      none of these columns
     """
-    found = file_schema(spark, root)
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found = file_schema(spark, root) if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) else None
     if found is None:
         return "absent"
     names = set(found.fieldNames())
