@@ -2,9 +2,10 @@
 
 Every check returns rows ``(table, column, check, params, violations, passed)``.
 All NOT NULL / accepted-values / range checks of one table run in a single
-aggregate pass (one scan, partial aggregation); each uniqueness check is one
-grouped count (map-side combined, so a hot duplicated key costs one partial
-row per task).  Nothing is collected: the report is itself a DataFrame.
+aggregate pass (one scan, partial aggregation); a uniqueness check is a grouped
+count (map-side combined, so a hot duplicated key costs one partial row per task)
+that carries the other checks' counts along, so the table is still read once.
+Nothing is collected: the report is itself a DataFrame.
 """
 
 from __future__ import annotations
@@ -232,13 +233,26 @@ def row_count_check(df: DataFrame, table: str, expected: int) -> DataFrame:
     return _report(table, rows)
 
 
+def _checks_by_key(df: DataFrame, table: str, checks: list[Check], key: str) -> DataFrame:
+    """Row-level checks and the uniqueness of ``key`` from one pass: violations are counted for each key, then summed."""
+    row_level = [c for c in checks if c[1] != "unique"]
+    counts = [violations(c).alias(f"__check_{i}") for i, c in enumerate(row_level)]
+    keyed = df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__rows"), *counts)
+    parts = [(table, c, F.coalesce(F.sum(f"__check_{i}"), F.lit(0))) for i, c in enumerate(row_level)]
+    parts.append((table, (key, "unique", {}), F.count_if((F.col("__rows") > 1) & F.col("__key").isNotNull())))
+    return aggregate_checks(keyed, parts)
+
+
 def run_checks(df: DataFrame, table: str, checks: list[tuple[str, str, dict]]) -> DataFrame:
-    """All declared checks of one table: one aggregate pass plus one per unique column."""
-    parts = []
+    """All declared checks of one table: one pass, and one more for each further unique column."""
     row_level = [c for c in checks if c[1] != "unique"]
-    if row_level:
+    unique = [column for column, check, _ in checks if check == "unique"]
+    parts = []
+    if row_level and unique:
+        parts.append(_checks_by_key(df, table, row_level, unique.pop(0)))
+    elif row_level:
         parts.append(row_checks(df, table, row_level))
-    parts += [unique_check(df, table, col) for col, check, _ in checks if check == "unique"]
+    parts += [unique_check(df, table, column) for column in unique]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -499,6 +499,15 @@ _HALVED = "if({day} = date '1999-01-10', bearing_health / 2, bearing_health)"
 
 ORACLE.update(
     {
+        "d1_footers": "with "
+        + ", ".join(f"raw_{n} as ({_raw.clean_sql(n)})" for n in _SOURCES)
+        + " "
+        + "\nunion all\n".join(_violated(_SOURCE_NOT_NULL, "not_null", "", _IS_NULL, {n: f"raw_{n}" for n in _SOURCES})),
+        "d6_stored_rows": "\nunion all\n".join(
+            f"""select '{n}' as "table", count(*) as row_count from ({_raw.clean_sql(n)})"""
+            + (""" where "date" not between date '1999-01-08' and date '1999-01-14' or status <> 'purchase'""" if n == "telemetry" else "")
+            for n in _SOURCES
+        ),
         "t6_load_year": _load_counts(),
         "k1_day_replace": f"""
             select "date", machine_id, status, if("date" between date '1999-01-08' and date '1999-01-14', {_HALVED.format(day='"date"')}, bearing_health) as bearing_health, "timestamp"

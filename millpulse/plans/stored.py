@@ -7,18 +7,25 @@ on them under a scratch root and returns what a reader then sees.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millpulse.functions import ns_to_timestamp
+from millpulse.operators import quality
 from millpulse.operators.clean import clean
 from millpulse.plans.pipeline import build_models, load_year, read_models, read_raw_tables
 from millpulse.session import apply_sql_defaults
 from millpulse.sinks.catalog import register
+from millpulse.sinks.drift import fitted
 from millpulse.sinks.scratch import scratch_root
 from millpulse.sinks.snapshots import Change, SnapshotStore
+from millpulse.sinks.tables import LOAD_YEAR
 from millpulse.sources import raw_roles
 from millpulse.sources.files import year_path
+from millpulse.sources.footers import not_null_checks, row_counts
+from millpulse.sources.schemas import SOURCE_NAMES
 
 #: The column whose year tells a raw row's file.
 YEAR_OF = {"telemetry": "timestamp", "failures": "timestamp_occurrence", "maintenance": "timestamp_start", "orders": "timestamp_planned", "demand": "date"}
@@ -134,7 +141,28 @@ def k7_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_models(spark, f"{root}/models")["mart_machine_health"]
 
 
+def d1_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources' not-null tests on the stored tables, from row-group counts."""
+    root, _, _ = _loaded(spark, sf_dir, "d1")
+    store = SnapshotStore(spark, f"{root}/raw")
+    parts = [not_null_checks(store, name, checks) for name, checks in quality.DECLARED_SOURCE_TESTS.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def d6_stored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the stored tables from the manifest, and of telemetry, replaced in part, from footers."""
+    root, tables, _ = _loaded(spark, sf_dir, "d6")
+    store = SnapshotStore(spark, f"{root}/raw")
+    week = F.to_date(ns_to_timestamp("timestamp")).between("1999-01-08", "1999-01-14")
+    rows = clean(corrected_telemetry(tables["telemetry"]).where(week), "telemetry").withColumn(LOAD_YEAR, F.lit(YEARS[1]))
+    base = store.current()
+    store.commit(base, [Change(store.stage("telemetry", fitted(rows, base.schema("telemetry")), [LOAD_YEAR, "date"]), None)])
+    return row_counts(store, SOURCE_NAMES)
+
+
 QUERIES = {
+    "d1_footers": d1_footers,
+    "d6_stored_rows": d6_stored_rows,
     "t6_load_year": t6_load_year,
     "k1_day_replace": k1_day_replace,
     "k3_year_replace": k3_year_replace,
