@@ -31,6 +31,7 @@ from millpulse.operators.staging import STAGERS
 from millpulse.plans.failures import failure_analysis
 from millpulse.plans.health import ROLLING_ROWS, daily_machine_health, machine_health, with_status
 from millpulse.plans.production import production_performance
+from millpulse.plans.steps import run_steps
 from millpulse.sinks.snapshots import Snapshot, SnapshotStore
 
 #: What each model waits for.
@@ -61,6 +62,15 @@ def _dates(df: DataFrame) -> set:
     return {r[0] for r in df.distinct().collect()}
 
 
+def _prints(pair: list[DataFrame], key: str) -> set:
+    """Values of ``key`` whose rows differ between two tables, by their number and the sum of their hashes."""
+    sides = [p.withColumn("__side", F.lit(side)) for side, p in zip((1, -1), pair, strict=True)]
+    columns = [c for c in pair[0].columns if c != key]
+    h = F.xxhash64(*columns).cast("decimal(38,0)") * F.col("__side")
+    rows = sides[0].unionByName(sides[1]).groupBy(key).agg(F.sum("__side").alias("n"), F.sum(h).alias("h"))
+    return _dates(rows.where("n <> 0 or h <> 0").select(key))
+
+
 @dataclass(frozen=True)
 class Touched:
     """Days of readings and of failures, and months, that a change reaches."""
@@ -95,16 +105,22 @@ def touched_since(spark: SparkSession, store: SnapshotStore, new: Snapshot, mode
         return a, b
 
     def differing(name: str) -> DataFrame | None:
+        """Rows that one side has more often; None where a reload brought the same rows."""
         pair = both(name)
-        return None if pair is None else pair[0].exceptAll(pair[1]).unionByName(pair[1].exceptAll(pair[0]))
-
-    days: set = set()
-    if (pair := both("telemetry")) is not None:
-        # a day is the same where its number of rows and the sum of their hashes are
-        prints = [p.groupBy("recording_date").agg(F.count("*").alias("n"), F.sum(F.xxhash64(*p.columns).cast("decimal(38,0)")).alias("h")) for p in pair]
-        days |= _dates(prints[0].exceptAll(prints[1]).unionByName(prints[1].exceptAll(prints[0])).select("recording_date"))
+        if pair is None or len(_prints([p.select(F.lit(0).alias("all"), "*") for p in pair], "all")) == 0:
+            return None
+        return pair[0].exceptAll(pair[1]).unionByName(pair[1].exceptAll(pair[0]))
+
+    small = ("orders", "failures", "maintenance", "demand")
+    found = run_steps(
+        spark,
+        {"telemetry": ((), lambda done: _prints(pair, "recording_date") if (pair := both("telemetry")) is not None else set())}
+        | {name: ((), lambda done, name=name: differing(name)) for name in small},
+        at_once=1 + len(small),
+    )
+    days: set = set(found["telemetry"])
     telemetry = staged["telemetry"]
-    changed = {name: df for name in ("orders", "failures", "maintenance", "demand") if (df := differing(name)) is not None}
+    changed = {name: found[name] for name in small if found[name] is not None}
     for name, (key, reference) in REFERENCES.items():
         if name in changed:
             keys = changed[name].select(F.col(key).alias(reference)).distinct()
