@@ -32,7 +32,7 @@ from .common import Scratch, binary, groups, spread
 
 CAPACITY = 1024
 END = 2
-NODE_BINS = 200_000
+NODE_BINS = 10_000
 FAN_IN = 8
 #: Free places of a bin that counts as nearly full: capacity / 256.
 NEARLY = 256
