@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import atexit
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -18,16 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-_made: list[tuple[SparkSession, str]] = []
-
+from millpulse.sinks.scratch import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="millpulse-scratch-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+_made: list[tuple[SparkSession, str]] = []
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -63,6 +55,14 @@ class Scratch:
         _delete(self.spark, f"{self.root}/{name}")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` for a new column, with underscores after it where the table has one of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffled(small: DataFrame) -> DataFrame:
     """The side of a join with whole texts: both sides are shuffled at every size.
 

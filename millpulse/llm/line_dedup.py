@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, shuffled
+from .common import Scratch, free_name, shuffled
 
 MIN_LINES = 3
 MIN_WORDS = 50
@@ -88,7 +88,7 @@ def repeated_lines(docs: DataFrame, scratch: Scratch, min_lines: int = MIN_LINES
 def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with ``text`` replaced, and a struct column ``_lines`` (total, removed).
 
-    All columns of docs stay; ``_lines`` is the last one.
+    All columns of docs stay; the new one is the last (``_lines_`` where docs have a ``_lines``).
     """
     scratch = Scratch(docs.sparkSession, "lines")
     text = F.col(text_col)
@@ -103,4 +103,4 @@ def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     lines = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(keep, lambda i: F.get("lines", i)))
     kept = [F.array_join(lines, "\n").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns]
     total, removed = (F.when(F.col(c).isNull(), 0).otherwise(F.size(c)).cast("long") for c in ("own", "gone"))
-    return out.select(*kept, F.struct(total.alias("total"), removed.alias("removed")).alias("_lines"))
+    return out.select(*kept, F.struct(total.alias("total"), removed.alias("removed")).alias(free_name(docs, "_lines")))

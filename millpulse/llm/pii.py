@@ -39,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, shuffled
+from .common import Scratch, free_name, shuffled
 
 # What entities look like.
 TITLES_F = "Mrs|Ms|Miss|Frau|Mme|Madame|Señora|Sra|Doña|Госпожа|Κυρία"
@@ -305,7 +305,7 @@ def _written(kind: Column, text: Column, drawn: Column) -> Column:
 
 
 def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with ``text`` replaced, and a last column ``_entities`` (number of replaced parts)."""
+    """docs with ``text`` replaced, and a last column ``_entities`` (number of replaced parts; ``_entities_`` where docs have an ``_entities``)."""
     scratch = Scratch(docs.sparkSession, "pii")
     text = F.col(text_col)
     seen = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), text.alias("text")).where(text.rlike(HINT))
@@ -322,4 +322,4 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
     out = keyed.join(shuffled(new), keyed["id"].eqNullSafe(new["nid"]) & (keyed["h"] == new["nh"]), "left")
     cols = [F.coalesce("new", F.col("row").getField(c)).alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns]
-    return out.select(*cols, F.coalesce("many", F.lit(0)).cast("long").alias("_entities"))
+    return out.select(*cols, F.coalesce("many", F.lit(0)).cast("long").alias(free_name(docs, "_entities")))

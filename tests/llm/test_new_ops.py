@@ -260,3 +260,16 @@ def test_files_prune_in_every_dimension(spark, tmp_path):
 
 def test_small_table_queries(spark):
     assert op13_hilbert_sharding(spark, SF_SMALL).count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+
+
+def test_result_columns_that_the_input_has_already(spark, docs):
+    """Lines and entities under a free name, the input's own columns as they were."""
+    from millpulse.llm.line_dedup import deduplicate_lines
+    from millpulse.llm.pii import replace_pii
+
+    clash = docs.withColumns({"_lines": F.col("doc_id"), "_entities": F.col("doc_id"), "_Entities_": F.lit(1)})
+    lines, plain = deduplicate_lines(clash), deduplicate_lines(docs)
+    assert lines.columns == [*clash.columns, "_lines_"]
+    assert sorted(map(tuple, lines.where("_lines = doc_id").select("doc_id", "text", "_lines_").collect())) == sorted(map(tuple, plain.select("doc_id", "text", "_lines").collect()))
+    out = replace_pii(clash, key="k")
+    assert out.columns == [*clash.columns, "_entities__"] and out.where("_entities = doc_id").count() == docs.count()
