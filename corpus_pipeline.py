@@ -40,8 +40,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: later copies of line runs go, and documents made of nothing else."""
-    out = deduplicate_lines(docs).where("_lines.removed = 0 or _lines.removed < _lines.total")
-    return _counted(out.drop("_lines"))
+    out = deduplicate_lines(docs)
+    lines = out.columns[-1]
+    return _counted(out.where(f"`{lines}`.removed = 0 or `{lines}`.removed < `{lines}`.total").drop(lines))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
