@@ -6,14 +6,15 @@ all lines; ranks of twice as many lines are those of the pairs (rank here, rank
 h places further).  Ranks follow the order of the keys: distinct keys are range
 partitioned and sorted, and numbered by partition and place, so no total count
 and no single task is needed.  Positions whose rank nobody shares are dropped
-after each step; they have no longer common prefix with any other.  Two steps
-meet (2 ranks that overlap) where the depth is no power of two.
+after each step; they have no longer common prefix with any other.  Two ranks
+that overlap meet where the depth is no power of two.  The rank further on comes
+from a window of one row, so a document of any length is sorted, never held.
 
-At depth ``min_lines`` the positions of one rank are an interval of the suffix
-array with longest common prefixes of at least that many lines.  The first of
-them in document order keeps its lines, those of all later ones are deleted;
-consecutive later ones make up the maximal repeated runs.  A single line of at
-least ``min_words`` words that has an earlier copy is deleted as well.
+At each depth the positions of one rank are an interval of the suffix array with
+longest common prefixes of at least that many lines.  A repeated run counts if it
+has ``min_lines`` lines, or fewer with ``min_words`` words together.  The first
+of an interval in document order keeps its lines, those of all later ones are
+deleted; consecutive later ones make up the maximal repeated runs.
 
 Defined cases: null text stays null, with no lines.  Blank lines are never
 deleted and do not interrupt a run.  Document order is by id (null first), then
@@ -24,7 +25,7 @@ are, whatever their names; an empty table stays empty.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, free_name, shuffled
@@ -47,18 +48,17 @@ def _ranked(keys: DataFrame, names: list[str], scratch: Scratch, name: str) -> D
     return scratch.table(ordered.withColumn("rank", F.monotonically_increasing_id()), name)
 
 
-def _sequences(ranks: DataFrame) -> DataFrame:
-    """Each document's ranks, as a map from place to rank; repeated rows meet here."""
-    return ranks.groupBy("id", "h").agg(F.map_from_entries(F.collect_set(F.struct("p", "rank"))).alias("ranks"))
+def _words(line: Column) -> Column:
+    return F.size(F.split(F.trim(line), r"\s+"))
 
 
 def _doubled(ranks: DataFrame, step: int, scratch: Scratch, name: str) -> DataFrame:
-    """(id, h, p, rank) for prefixes longer by ``step`` lines."""
-    seq = scratch.table(_sequences(ranks), f"{name}-sequences")
-    one = seq.select("id", "h", "ranks", F.explode(F.map_keys("ranks")).alias("p"))
-    pairs = one.select("id", "h", "p", F.element_at("ranks", F.col("p")).alias("a"), F.try_element_at("ranks", F.col("p") + step).alias("b")).where("b is not null")
+    """(id, h, p, rank, before, through) for prefixes longer by ``step`` lines."""
+    ahead = Window.partitionBy("id", "h").orderBy("p").rangeBetween(step, step)
+    after = F.first(F.struct("rank", "through")).over(ahead)
+    pairs = ranks.withColumn("after", after).where("after is not null").select("id", "h", "p", F.col("rank").alias("a"), "after.rank", "before", "after.through").withColumnRenamed("rank", "b")
     order = _ranked(pairs, ["a", "b"], scratch, f"{name}-order")
-    return scratch.table(pairs.join(order, ["a", "b"]).select("id", "h", "p", "rank"), name)
+    return scratch.table(pairs.join(order, ["a", "b"]).select("id", "h", "p", "rank", "before", "through"), name)
 
 
 def _later(ranks: DataFrame) -> DataFrame:
@@ -71,18 +71,22 @@ def _later(ranks: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame, scratch: Scratch, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """(id, h, gone): per document (id, h, text) the places of the lines to delete."""
     lines = docs.where("text is not null").select("id", "h", F.posexplode(_lines(F.col("text"))).alias("p", "x"))
-    words = F.size(F.split(F.trim(F.col("x.line")), r"\s+"))
-    keyed = lines.select("id", "h", "p", F.xxhash64("x.line").alias("a"), F.hash("x.line").alias("b"), (words >= min_words).alias("long"))
+    keyed = lines.select("id", "h", "p", F.xxhash64("x.line").alias("a"), F.hash("x.line").alias("b"), _words(F.col("x.line")).alias("words"))
     order = _ranked(keyed, ["a", "b"], scratch, "order")
-    ranks = scratch.table(keyed.join(order, ["a", "b"]).select("id", "h", "p", "rank", "long"), "lines")
-    gone = _later(ranks.where("long")).select("id", "h", "p")
-    depth, deep = 1, ranks.drop("long")
-    while depth < min_lines:
-        step = min(depth, min_lines - depth)
-        depth += step
-        deep = _doubled(deep, step, scratch, f"depth-{depth}")
-    runs = _later(deep).select("id", "h", F.explode(F.sequence(F.col("p"), F.col("p") + (min_lines - 1))).alias("p"))
-    return scratch.table(gone.union(runs).groupBy("id", "h").agg(F.collect_set("p").alias("gone")), "gone")
+    # a repeated window holds repeated lines only: running sums over those give its words
+    shared = keyed.join(order, ["a", "b"]).select("id", "h", "p", "rank", "words").repartition("id", "h").distinct()
+    through = F.sum("words").over(Window.partitionBy("id", "h").orderBy("p").rowsBetween(Window.unboundedPreceding, 0))
+    shared = shared.withColumn("through", through).select("id", "h", "p", "rank", (F.col("through") - F.col("words")).alias("before"), "through")
+    at = {1: scratch.table(shared, "lines")}
+    gone = None
+    for depth in range(1, min_lines + 1):
+        if depth > 1:
+            half = 1 << (depth - 1).bit_length() - 1  # the largest power of two below the depth
+            at[depth] = _doubled(at[half], depth - half, scratch, f"depth-{depth}")
+        runs = at[depth] if depth == min_lines else at[depth].where(F.col("through") - F.col("before") >= min_words)
+        places = _later(runs).select("id", "h", F.explode(F.sequence(F.col("p"), F.col("p") + (depth - 1))).alias("p"))
+        gone = places if gone is None else gone.union(places)
+    return scratch.table(gone.groupBy("id", "h").agg(F.collect_set("p").alias("gone")), "gone")
 
 
 def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:

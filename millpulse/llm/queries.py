@@ -125,16 +125,17 @@ ORACLE: dict[str, str] = {
             SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p FROM every WHERE NOT regexp_full_match(line, '\s*')
         ), runs AS (
             SELECT doc_id, i, p, line,
-                   lead(line, 1) OVER w AS line2, lead(line, 2) OVER w AS line3,
-                   len(string_split_regex(trim(line), '\s+')) AS words
-            FROM seq WINDOW w AS (PARTITION BY doc_id ORDER BY p)
+                   lead(line, 1) OVER w AS line2, lead(line, 2) OVER w AS line3, words, words + lead(words, 1) OVER w AS words2
+            FROM (SELECT *, len(string_split_regex(trim(line), '\s+')) AS words FROM seq) WINDOW w AS (PARTITION BY doc_id ORDER BY p)
         ), marked AS (
-            SELECT doc_id, p, words,
+            SELECT doc_id, p, words, words2,
                    row_number() OVER (PARTITION BY line ORDER BY doc_id, p) AS nth1,
+                   CASE WHEN line2 IS NOT NULL THEN row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, p) END AS nth2,
                    CASE WHEN line3 IS NOT NULL THEN row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, p) END AS nth3
             FROM runs
         ), gone AS (
             SELECT doc_id, p FROM marked WHERE words >= 50 AND nth1 > 1
+            UNION SELECT doc_id, p + k FROM marked, (VALUES (0), (1)) AS t(k) WHERE words2 >= 50 AND nth2 > 1
             UNION SELECT doc_id, p + k FROM marked, (VALUES (0), (1), (2)) AS t(k) WHERE nth3 > 1
         ), kept AS (
             SELECT e.doc_id, string_agg(e.line, chr(10) ORDER BY e.i) AS text

@@ -101,7 +101,7 @@ def contamination(texts: list, items: list[tuple], window: int = 10) -> list[tup
 
 
 def without_later_lines(texts: list, min_lines: int, min_words: int) -> list:
-    """Texts in document order without the later copies of line runs."""
+    """Texts in document order without the later copies of runs of so many lines, or of fewer with so many words."""
     seen, out, gone = set(), [], []
     sequences = []
     for t in texts:
@@ -109,16 +109,13 @@ def without_later_lines(texts: list, min_lines: int, min_words: int) -> list:
         sequences.append([(i, x) for i, x in enumerate(lines) if x.strip()])
     for d, seq in enumerate(sequences):
         mine = set()
-        for p, (_, line) in enumerate(seq):
-            if len(line.split()) >= min_words:
-                if (line,) in seen:
-                    mine.add(p)
-                seen.add((line,))
-            run = tuple(x for _, x in seq[p : p + min_lines])
-            if len(run) == min_lines:
-                if ("run", run) in seen:
-                    mine |= set(range(p, p + min_lines))
-                seen.add(("run", run))
+        for p in range(len(seq)):
+            for depth in range(1, min_lines + 1):
+                run = tuple(x for _, x in seq[p : p + depth])
+                if len(run) == depth and (depth == min_lines or sum(len(x.split()) for x in run) >= min_words):
+                    if run in seen:
+                        mine |= set(range(p, p + depth))
+                    seen.add(run)
         gone.append(mine)
     for t, seq, mine in zip(texts, sequences, gone, strict=True):
         drop = {seq[p][0] for p in mine}

@@ -78,6 +78,32 @@ def test_line_dedup_other_depths(spark, depth):
     assert [got[i]["text"] for i in range(12)] == without_later_lines(texts, depth, 50)
 
 
+@pytest.mark.parametrize("depth", [2, 3, 4, 6])
+def test_runs_of_few_lines_count_by_their_words(spark, depth):
+    rng = np.random.default_rng(depth)
+    lines = [" ".join(f"{c}{k}" for k in range(n)) for c, n in zip("abcdef", (1, 3, 9, 10, 11, 20), strict=True)]
+    texts = ["\n".join(rng.choice([*lines, ""], rng.integers(0, 14))) for _ in range(14)]
+    df = spark.createDataFrame(list(enumerate(texts)) * 2, "doc_id long, text string")
+    got = by_id(line_dedup.deduplicate_lines(df, min_lines=depth, min_words=20))
+    assert [got[i]["text"] for i in range(14)] == without_later_lines(texts, depth, 20)
+
+
+def test_two_repeated_lines_of_98_words_go(spark):
+    two = "\n".join(" ".join(f"{c}{k}" for k in range(49)) for c in "ab")
+    texts = [f"one x\n{two}\none y", f"two x\n{two}\ntwo y", f"three x\n{two}", "\n".join(two.split("\n")[:1])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(line_dedup.deduplicate_lines(df))
+    assert [got[i]["_lines"]["removed"] for i in range(4)] == [0, 2, 2, 0] and got[1]["text"] == "two x\ntwo y"
+
+
+def test_copies_of_a_document_of_many_lines(spark):
+    """Time that grows with the square of the lines would take hours here."""
+    text = "\n".join(f"line {k}" for k in range(100_000))
+    df = spark.createDataFrame([(1, text), (2, text + "\nits own end")], "doc_id long, text string")
+    got = by_id(line_dedup.deduplicate_lines(df))
+    assert got[1]["_lines"]["removed"] == 0 and (got[2]["text"], got[2]["_lines"]["removed"]) == ("its own end", 100_000)
+
+
 def test_line_dedup_odd_and_empty(odd, empty):
     got = line_dedup.deduplicate_lines(odd).collect()
     assert sorted(str(r["text"]) for r in got) == sorted(str(t) for _, t, *_ in ODD)
