@@ -115,6 +115,40 @@ def test_vectors_are_linked_as_by_brute_force(spark):
     assert embedding_dedup.link_vectors(df.limit(0)).count() == 0
 
 
+def test_links_are_counted_in_blocks_at_both_ends(spark, monkeypatch):
+    """Pairs, and one hot group whose members are not all linked with each other; found with the narrowest beam."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(400, 24))
+    hot = rng.normal(size=24) + rng.normal(size=(300, 24)) * 0.23
+    vectors = np.concatenate((base, base[:80] + rng.normal(size=(80, 24)) * 0.28, hot, hot[:20]))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in embedding_dedup.link_vectors(df, shards=3, beam=4).collect()}
+    u = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    close = u @ u.T >= 0.95
+    links = [(a, b) for a, b in np.argwhere(close).tolist() if a != b]
+    root = roots(range(len(u)), links)
+    few = [i for i in range(480) if close[i].sum() > 1]
+    assert len(few) > 50 and 20 < np.median(close[480:].sum(axis=1)) < 300
+    assert sum(got[i]["n_links"] == close[i].sum() - 1 for i in few) >= 0.97 * len(few)
+    assert sum(got[i]["component_id"] == root[i] for i in range(len(u))) >= 0.97 * len(u)
+    for i in range(480, 800):  # the component is whole: so is each count
+        assert got[i]["n_links"] == sum(close[i, j] for j in range(len(u)) if root[j] == root[i]) - 1
+
+
+def test_probes_lie_just_above_the_threshold(spark):
+    sample = spark.createDataFrame([(i, 1, np.random.default_rng(i + 1000).normal(size=8).tobytes()) for i in range(50)], "nid long, n long, vector binary")
+    for r in embedding_dedup.probes(sample, 0.95).collect():
+        v, p = np.random.default_rng(r["nid"] - embedding_dedup.PROBE + 1000).normal(size=8), np.frombuffer(r["vector"])
+        assert abs(v @ p / np.linalg.norm(v) - 0.951) < 1e-9
+
+
+def test_an_audit_judges_queries_with_few_links_apart(spark):
+    rows = [(i, 0, 1) for i in range(2)] + [(i, 1, 1) for i in range(2, 4)] + [(i, 1000, 1000) for i in range(4, 50)] + [(50, 0, 0)]
+    assert embedding_dedup._recall(spark.createDataFrame(rows, "u long, c long, e long")) == 0.5
+    assert embedding_dedup._recall(spark.createDataFrame(rows[-1:], "u long, c long, e long")) == 1.0
+
+
 def test_float_vectors_and_recall_on_the_test_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.link_vectors(df).collect()}
