@@ -1,12 +1,15 @@
-"""The registered queries: SQL oracles where there are any, else shape and row count on whole tables."""
+"""The registered queries on whole tables: SQL oracles where there are any, else contract columns, row counts and brute force."""
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 
 import __spark_entry__ as entry_mod
 from millpulse.llm.queries import ORACLE, QUERIES
 from tests.conftest import SF_ORACLE, SF_SMALL, compare_with_oracle
+from tests.llm.helpers import WS, contamination, near_groups, repeated_cover, sha, shingle_set
 
 #: Columns of the contracts and the table whose rows the result has (None: pieces).
 CONTRACT = {
@@ -45,3 +48,45 @@ def test_query_returns_its_contract(spark, name):
     want = spark.read.parquet(f"{SF_SMALL}/{table or 'documents'}.parquet").count()
     got = out.count()
     assert got == want if table else got >= want
+
+
+def _near(texts, ids, spark):
+    found = near_groups(texts)
+    return [(len(shingle_set(t)), ids[r], ids[r] == i) for t, i, r in zip(texts, ids, found, strict=True)]
+
+
+def _substrings(texts, ids, spark):
+    words = [WS.findall(t or "") for t in texts]
+    return [(len(w), sum(g), sha(" ".join(x for x, q in zip(w, g, strict=True) if not q).encode())) for w, g in zip(words, repeated_cover(words, 35), strict=True)]
+
+
+def _bytes(texts, ids, spark):
+    raw = [(t or "").encode() for t in texts]
+    windows = [[hash(b[i : i + 400]) for i in range(len(b) - 399)] for b in raw]
+    count = Counter(x for w in windows for x in w)
+    out = []
+    for b, w in zip(raw, windows, strict=True):
+        gone = bytearray(len(b))
+        for i, x in enumerate(w):
+            if count[x] > 1:
+                gone[i : i + 400] = b"\1" * 400
+        spans = sum(1 for k, x in enumerate(gone) if x and (k == 0 or not gone[k - 1]))
+        out.append((len(b), sum(gone), spans, sha(bytes(x for x, g in zip(b, gone, strict=True) if not g))))
+    return out
+
+
+def _hits(texts, ids, spark):
+    return contamination(texts, [tuple(r) for r in spark.read.parquet(f"{SF_ORACLE}/benchmark.parquet").select("item_id", "text").collect()])
+
+
+@pytest.mark.parametrize(
+    "name, brute",
+    [("op2_minhash_dedup", _near), ("op6_substring_dedup", _substrings), ("op7_decontamination", _hits), ("op9_suffix_array_dedup", _bytes)],
+)
+def test_query_equals_brute_force_on_the_whole_table(spark, name, brute):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    ids = [r["doc_id"] for r in docs]
+    want = dict(zip(ids, brute([r["text"] for r in docs], ids, spark), strict=True))
+    columns = CONTRACT[name][0][1:]
+    got = {r["doc_id"]: tuple(r[c] for c in columns) for r in QUERIES[name](spark, SF_ORACLE).collect()}
+    assert len(docs) > 900 and got == want
