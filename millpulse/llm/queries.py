@@ -43,7 +43,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identify(documents(spark, sf_dir))
+    return identify(documents(spark, sf_dir)).drop("coverage")
 
 
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

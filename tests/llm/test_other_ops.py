@@ -299,6 +299,110 @@ def test_languages_odd_and_empty(odd, empty, docs):
     assert not {900001, 900002, 900003, 900005} & {r["doc_id"] for r in kept.collect()}
 
 
+def _scored(model_rows, text, languages, whole, size):
+    """(sums, words) of a text by the stated rule, word by word from plain counts."""
+    import math
+    import re
+
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    sums = [0.0] * len(languages)
+    for w in words:
+        found = [(0, w)] if (0, w) in model_rows else []
+        for n in (4, 3, 2, 1):
+            if found:
+                break
+            padded = f"_{w}_" if n > 1 else w
+            found = [(n, padded[i : i + n]) for i in range(len(padded) - n + 1) if (n, padded[i : i + n]) in model_rows]
+        for kind, token in found:
+            for k, lang in enumerate(languages):
+                c = model_rows[kind, token].get(lang, 0)
+                sums[k] += math.log((c + 0.1) / (whole[kind, lang] + 0.1 * (size[kind] + 1))) / len(found)
+    return sums, len(words)
+
+
+def _plain_model(rows):
+    import re
+    from collections import Counter, defaultdict
+
+    counts, docs = defaultdict(Counter), defaultdict(set)
+    for i, (text, lang) in enumerate(rows):
+        for w in re.findall(r"[^\W\d_]+", text.lower()):
+            tokens = [(0, w)]
+            for n in (4, 3, 2, 1):
+                padded = f"_{w}_" if n > 1 else w
+                tokens += [(n, padded[k : k + n]) for k in range(len(padded) - n + 1)]
+            for token in tokens:
+                counts[token][lang] += 1
+                docs[token].add(i)
+    whole = Counter()
+    for (kind, _), c in counts.items():
+        for lang, x in c.items():
+            whole[kind, lang] += x
+    kept = {k: c for k, c in counts.items() if len(docs[k]) > 1}
+    return kept, whole, Counter(kind for kind, _ in kept)
+
+
+def test_languages_equal_a_plain_scorer(spark):
+    """Every row of the table, scored word by word from dictionaries."""
+    import math
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang").collect()
+    kept, whole, size = _plain_model([(r["text"] or "", r["lang"]) for r in rows if r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5])
+    languages = sorted({lang for _, lang in whole})
+    got = {r["doc_id"]: r for r in language_id.identify(docs).collect()}
+    assert len(got) == len(rows) and len(languages) == 4
+    for r in rows:
+        sums, words = _scored(kept, r["text"] or "", languages, whole, size)
+        mine = got[r["doc_id"]]
+        if not words:
+            assert (mine["lang_pred"], mine["score"]) == ("und", 0.0)
+            continue
+        best = max(range(4), key=lambda k: sums[k])
+        assert mine["lang_pred"] == languages[best]
+        assert abs(mine["score"] - 1 / sum(math.exp((x - sums[best]) / math.sqrt(words)) for x in sums)) < 1e-4
+
+
+def test_letters_beyond_ascii_and_very_long_texts(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("Über süße Grüße", "de"), ("было много слов", "ru"), ("the quick words", "en")] * 20)]
+    rows += [(900, "ÜBER, SÜSSE: GRÜßE!" * 60_000, None), (901, "«БЫЛО»…СЛОВ", None), (902, "12 34 _ ½ ²", None), (903, "THE quick " * 200_000, None)]
+    got = {r["doc_id"]: r for r in language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [got[i]["lang_pred"] for i in (900, 901, 902, 903)] == ["de", "ru", "und", "en"]
+    assert got[903]["coverage"] == 1.0 and got[902]["coverage"] == 0.0
+
+
+def test_the_sample_is_bounded_for_every_language_and_copies_count_once(spark):
+    from millpulse.llm.common import Scratch
+
+    rows = [(i, f"text {i}", "en" if i % 10 else "de") for i in range(5000)] + [(None, "copy", "en")] * 500
+    docs = spark.createDataFrame(rows, "id long, text string, lang string")
+    sample = language_id._sample(docs, 100, Scratch(spark, "sample")).collect()
+    assert sorted({r["lang"] for r in sample}) == ["de", "en"] and len({r["text"] for r in sample}) == len(sample) == 200
+
+
+def test_texts_in_no_learned_language_go_and_wrong_labels_change(spark):
+    """What the pipeline's first stage decides."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.collect()
+    foreign = ["Жыл башында көп кар жаады бирок жазында жылуу болду " * 5, "zxqv jjkwq vvbq qxzzk wqwq hjkl kkzx vqqj zzwx " * 6, "東京 大阪 名古屋 京都 神戸 横浜 福岡 札幌 " * 8, "12 34 -- ??", None, ""]
+    first = next(r for r in rows if r["lang"] == "de" and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+    extra = [(10_000_000 + k, t, "en", "s", len(t or "")) for k, t in enumerate([*foreign, first["text"]])]
+    out = {r["doc_id"]: r for r in corpus_pipeline.language_id(spark, docs.union(spark.createDataFrame(extra, docs.schema)), "").collect()}
+    assert {r["doc_id"] for r in rows} <= set(out)
+    assert set(out) - {r["doc_id"] for r in rows} == {10_000_006}
+    assert out[10_000_006]["lang"] == "de"
+
+
+def test_languages_with_clashing_columns(clashing, docs):
+    names = {"id": "lang_pred", "h": "score", "n": "held", "row": "coverage", "u": "token", "v": "order"}
+    other = clashing.withColumnsRenamed(names)
+    assert sorted(language_id.identify(other).collect()) == sorted(language_id.identify(docs).collect())
+    kept = language_id.keep_identified(other)
+    assert kept.columns == other.columns and kept.count() == docs.count()
+
+
 # -- 10: surrogates ------------------------------------------------------------------
 
 PRIVATE = (
