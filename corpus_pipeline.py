@@ -34,7 +34,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: texts without an identified language go."""
+    """Operator 8: texts in none of the corpus's languages go; the others get the label found."""
     return keep_identified(docs)
 
 
