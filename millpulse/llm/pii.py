@@ -14,8 +14,8 @@ words only the first is taken.
 
 A surrogate is drawn from a keyed hash of the entity's type and canonical form:
 the same entity has the same surrogate in all documents, however it is written
-there.  It keeps type and format: lengths, separators, country code, first card
-digit, check digit, top-level domain, letter case, hexadecimal alphabet; names
+there.  It keeps type and format: lengths, separators, country code, first two card
+digits (its network), right check digits of cards and IBANs, top-level domain, letter case, hexadecimal alphabet; names
 keep their title and get a name of the title's gender (by ending) in the script
 of the original.
 
@@ -125,6 +125,13 @@ def _luhn_sum(digits: Column, shift: int) -> Column:
     return F.aggregate(worth, F.lit(0), lambda a, v: a + F.when(v > 9, v - 9).otherwise(v))
 
 
+def _iban(country: Column, account: Column) -> Column:
+    """With the check digits that leave 1 modulo 97: letters count as 10 to 35, country and check come last."""
+    worth = F.transform(_chars(F.upper(F.concat(account, country, F.lit("00")))), lambda c: F.ascii(c) - F.when(c.rlike("[0-9]"), 48).otherwise(55))
+    rest = F.aggregate(worth, F.lit(0), lambda a, v: (a * F.when(v > 9, 100).otherwise(10) + v) % 97)
+    return F.concat(country, F.lpad((F.lit(98) - rest).cast("string"), 2, "0"), account)
+
+
 def _kind(m: Column) -> Column:
     digits = _digits(m)
     number = m.rlike(r"^\d[\d -]+$")
@@ -240,7 +247,7 @@ def _drawn(kind: Column, canon: Column, attempt: Column, seed: Column) -> Column
     digits = F.substring(F.translate(seed, "abcdef", "012345"), F.lit(129), fixed)
     code = F.substring_index(canon, "/", 1)
     number = F.substring_index(canon, "/", -1)
-    body = F.concat(F.substring(canon, 1, 1), _redrawn(F.substring(canon, F.lit(2), F.length(canon) - 2), seed), digits)
+    body = F.concat(F.substring(canon, 1, 2), _redrawn(F.substring(canon, F.lit(3), F.length(canon) - 3), seed), digits)
     check = (F.lit(10) - _luhn_sum(body, 1) % 10) % 10
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3) + fixed), lambda i: (_byte(seed, i * 2) * 256 + _byte(seed, i * 2 + 1)) % 254 + 1), ".")
     top = F.substring_index(canon, ".", -1)
@@ -252,7 +259,7 @@ def _drawn(kind: Column, canon: Column, attempt: Column, seed: Column) -> Column
         .when(kind == "mailbox", F.concat(_redrawn(F.substring_index(canon, "@", 1), seed), grown))
         .when(kind == "domain", F.concat(_redrawn(F.substring(canon, F.lit(1), F.length(canon) - F.length(top) - 1), seed), grown, F.lit("."), top))
         .when(kind == "key", F.concat(F.substring(canon, 1, 4), _redrawn(F.substring(canon, F.lit(5), F.length(canon)), seed), digits))
-        .when(kind == "iban", F.concat(F.substring(canon, 1, 2), _redrawn(F.substring(canon, F.lit(3), F.length(canon)), seed), digits))
+        .when(kind == "iban", _iban(F.substring(canon, 1, 2), F.concat(_redrawn(F.substring(canon, F.lit(5), F.length(canon)), seed), digits)))
         .when((kind == "secret") & canon.rlike("^[0-9a-f]+$"), hexed)
         .when(kind == "secret", F.concat(_secret(canon, seed), grown))
         .when(kind == "national", F.concat(_redrawn(canon, seed), digits))

@@ -489,6 +489,19 @@ def test_secrets_are_replaced_to_their_end(spark):
         assert "xyzw9876" not in got and (got.endswith(tail) or "accessToken" in tail)
 
 
+def test_ibans_and_cards_stay_valid(spark):
+    ibans = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR1420041010050500013M02606"]
+    cards = ["378282246310005", "5555555555554444", "4111 1111 1111 1111"]
+    df = spark.createDataFrame([(0, "; ".join([*ibans, *cards]))], "doc_id long, text string")
+    got = pii.replace_pii(df, "k").first()["text"].split("; ")
+    for old, new in zip(ibans, got, strict=False):
+        plain = new.replace(" ", "")
+        assert new != old and len(new) == len(old) and new[:2] == old[:2] and [c == " " for c in new] == [c == " " for c in old]
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    for old, new in zip(cards, got[3:], strict=True):
+        assert new != old and len(new) == len(old) and new[:2] == old[:2] and _luhn(new.replace(" ", ""))
+
+
 def test_draws_end_where_short_numbers_are_dense(spark):
     """6,000 of the 10,000 numbers behind a code: not enough are free for all."""
     phones = [f"+49 {i:04d}" for i in range(6000)]
