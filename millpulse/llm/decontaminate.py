@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textops as tx
-from .common import spread
+from .common import Scratch, spread
 from .fm_index import FMIndex
 
 WINDOW = 10
@@ -219,10 +219,18 @@ def _found(docs: DataFrame, rest: Column, text: Column, benchmark: DataFrame, it
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     out = docs.select(rest.alias("rest"), F.coalesce(text, F.lit("")).alias("text"), F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
+    scratch = Scratch(spark, "contamination")
     for b in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).toArrow()
         phrases = make_phrases(block.column("item").to_pylist(), block.column("text").to_pylist(), window)
-        out = scan(out, spark.sparkContext.broadcast(phrases), b == blocks - 1)
+        shared = spark.sparkContext.broadcast(phrases)
+        out = scan(out, shared, b == blocks - 1)
+        if b < blocks - 1:
+            # a pass of its own: an executor holds one block at a time
+            out = scratch.table(out, f"pass-{b}")
+            shared.unpersist()
+            if b:
+                scratch.drop(f"pass-{b - 1}")
     return out
 
 

@@ -139,10 +139,11 @@ def build_cascade(listed: DataFrame, universe: DataFrame, scratch: Scratch, name
     return out
 
 
-def _first_listed(urls: DataFrame, cascades: list[Cascade]) -> DataFrame:
+def _first_listed(urls: DataFrame, cascades: list[Cascade], scratch: Scratch, name: str) -> DataFrame:
     """``best``: the place of each row's first key (h1, h2) that is listed, null without one.
 
-    ``cascades`` are dealt by h1; each is applied in a pass of its own.
+    ``cascades`` are dealt by h1; each is applied in a pass of its own, written
+    before the next one, so that an executor holds one cascade at a time.
     """
     blocks = len(cascades)
     out = urls.withColumn("best", F.lit(None).cast("int"))
@@ -165,6 +166,11 @@ def _first_listed(urls: DataFrame, cascades: list[Cascade]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(best, pa.int32(), mask=best == none)], names=batch.schema.names)
 
         out = out.mapInArrow(run, out.schema)
+        if block < blocks - 1:
+            out = scratch.table(out, f"{name}-pass-{block}")
+            shared.unpersist()
+            if block:
+                scratch.drop(f"{name}-pass-{block - 1}")
     return out
 
 
@@ -184,10 +190,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     blocks = max(1, -(-listed.count() // block_keys))
     mine = [F.pmod("h1", F.lit(blocks)) == b for b in range(blocks)]
     member = [build_cascade(listed.where(m), universe.where(m), scratch, f"listed-{b}") for b, m in enumerate(mine)]
-    found = _first_listed(keyed, member).withColumn("k", F.when(F.col("best").isNotNull(), F.element_at("keys", F.coalesce("best", F.lit(0)) + 1)))
+    found = _first_listed(keyed, member, scratch, "member").withColumn("k", F.when(F.col("best").isNotNull(), F.element_at("keys", F.coalesce("best", F.lit(0)) + 1)))
     found = found.select("id", "host", "path", F.col("k.rule").alias("rule"), F.when(F.col("k").isNull(), F.array()).otherwise(F.array(F.struct("k.h1", "k.h2"))).alias("keys"))
     # among the listed keys, those that block
     blocking = rules.where("verdict = 'block'")
     stops = [build_cascade(blocking.where(m), listed.where(m), scratch, f"block-{b}") for b, m in enumerate(mine)]
-    out = _first_listed(found, stops)
+    out = _first_listed(found, stops, scratch, "stops")
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", F.when(F.col("best").isNull(), "allow").otherwise("block").alias("verdict"))
