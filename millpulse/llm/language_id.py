@@ -51,6 +51,8 @@ FIT_DOCS = 4000
 ORDERS = (4, 3, 2, 1)
 ALPHA = 0.1
 PRIOR = 5
+#: Texts that are worked on at once; the arrays take some 80 times that.
+BLOCK_BYTES = 1 << 17
 UNKNOWN = "und"
 #: A filter keeps texts whose language has at least this score, and of whose words at least this share is covered.
 LEAST_SCORE = 0.3
@@ -153,7 +155,7 @@ def _count_tokens(docs: DataFrame) -> DataFrame:
         for batch in batches:
             langs = batch.column(0).dictionary_encode()
             number = langs.indices.to_numpy()
-            for i, data, offs in tx.text_blocks(batch.column(1)):
+            for i, data, offs in tx.text_blocks(batch.column(1), BLOCK_BYTES):
                 words = words_of(data, offs)
                 hashes = tx.Rolling(words.values).slices(words.start, words.end)
                 of = number[i : i + len(offs) - 1][words.text]
@@ -249,12 +251,15 @@ def score(model: Model, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return np.where(some, best, -1), np.where(some, 1 / odds.sum(axis=1), 0.0), np.where(some, coverage, 0.0)
 
 
+def _names(model: Model, best: np.ndarray) -> pa.Array:
+    return pa.array([*model.languages, UNKNOWN], pa.string()).take(pa.array(np.where(best < 0, len(model.languages), best)))
+
+
 def predictions(model: Model, texts: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
     """(language, score, coverage) of a column of texts."""
-    parts = [score(model, words_of(data, offs)) for _, data, offs in tx.text_blocks(texts)]
+    parts = [score(model, words_of(data, offs)) for _, data, offs in tx.text_blocks(texts, BLOCK_BYTES)]
     best, scores, coverage = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, int), np.zeros(0), np.zeros(0))
-    names = pa.array([*model.languages, UNKNOWN], pa.string())
-    return names.take(pa.array(np.where(best < 0, len(model.languages), best))), pa.array(scores), pa.array(coverage)
+    return _names(model, best), pa.array(scores), pa.array(coverage)
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = LEAST_SCORE, least_coverage: float = LEAST_COVERAGE, fit_docs: int = FIT_DOCS) -> DataFrame:
@@ -271,12 +276,12 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores, coverage = predictions(shared.value, batch.column(text_at))
-            columns = list(batch.columns)
-            columns[lang_at] = names.cast(columns[lang_at].type)
-            stays = pa.array([x != UNKNOWN for x in names.to_pylist()], pa.bool_()).to_numpy(zero_copy_only=False)
-            stays = stays & (scores.to_numpy() >= least) & (coverage.to_numpy() >= least_coverage)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(stays))
+            for i, data, offs in tx.text_blocks(batch.column(text_at), BLOCK_BYTES):
+                best, scores, coverage = score(shared.value, words_of(data, offs))
+                columns = list(batch.slice(i, len(best)).columns)
+                columns[lang_at] = _names(shared.value, best).cast(columns[lang_at].type)
+                stays = (best >= 0) & (scores >= least) & (coverage >= least_coverage)
+                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(stays))
 
     return docs.mapInArrow(run, docs.schema)
 
