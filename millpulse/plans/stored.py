@@ -16,6 +16,7 @@ from millpulse.functions import ns_to_timestamp
 from millpulse.operators import quality
 from millpulse.operators.clean import clean
 from millpulse.plans.pipeline import build_models, load_year, read_models, read_raw_tables
+from millpulse.plans.steps import StepsFailed, run_steps
 from millpulse.session import apply_sql_defaults
 from millpulse.sinks.catalog import register
 from millpulse.sinks.drift import fitted
@@ -25,7 +26,7 @@ from millpulse.sinks.tables import LOAD_YEAR
 from millpulse.sources import raw_roles
 from millpulse.sources.files import year_path
 from millpulse.sources.footers import not_null_checks, row_counts
-from millpulse.sources.schemas import SOURCE_NAMES
+from millpulse.sources.schemas import SOURCE_NAMES, schema
 
 #: The column whose year tells a raw row's file.
 YEAR_OF = {"telemetry": "timestamp", "failures": "timestamp_occurrence", "maintenance": "timestamp_start", "orders": "timestamp_planned", "demand": "date"}
@@ -38,24 +39,36 @@ def _in_year(name: str, year: int) -> Column:
     return late if year == YEARS[1] else ~late
 
 
-def _write_years(tables: dict[str, DataFrame], prefix: str, years=YEARS) -> str:
-    for year in years:
-        for name, df in tables.items():
-            df.where(_in_year(name, year)).write.parquet(year_path(prefix, name, year))
+def _write_years(spark: SparkSession, tables: dict[str, DataFrame], prefix: str, years=YEARS) -> str:
+    """The yearly files of all sources, written side by side."""
+
+    def write(name: str, year: int):
+        return lambda done: tables[name].where(_in_year(name, year)).write.parquet(year_path(prefix, name, year))
+
+    try:
+        run_steps(spark, {f"{name}_{year}": ((), write(name, year)) for year in years for name in tables}, at_once=len(tables))
+    except StepsFailed as failed:
+        raise next(iter(failed.errors.values())) from failed
     return prefix
 
 
+def _written(spark: SparkSession, prefix: str, years=YEARS) -> dict[str, DataFrame]:
+    """The sources as their yearly files hold them."""
+    return {n: spark.read.schema(schema(n)).parquet(*(year_path(prefix, n, y) for y in years)) for n in SOURCE_NAMES}
+
+
 def _load(spark: SparkSession, prefix: str, raw_root: str, years=YEARS) -> dict[int, dict]:
     # the tables' dates span more than a batch year: the year check is off
     return {year: load_year(spark, prefix, year, raw_root, most_outside=1.0) for year in years}
 
 
 def _loaded(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, dict[str, DataFrame], dict[int, dict]]:
-    """(root, raw tables, counts) with both years loaded below ``{root}/raw``."""
+    """(root, raw tables, counts) with both years loaded below ``{root}/raw``; the tables are read from the files written."""
     apply_sql_defaults(spark)
     root = scratch_root(spark, name)
-    tables = {n: make(spark, sf_dir) for n, make in raw_roles.RAW_ROLES.items()}
-    return root, tables, _load(spark, _write_years(tables, f"{root}/src"), f"{root}/raw")
+    made = {n: make(spark, sf_dir) for n, make in raw_roles.RAW_ROLES.items()}
+    src = _write_years(spark, made, f"{root}/src")
+    return root, _written(spark, src), _load(spark, src, f"{root}/raw")
 
 
 def corrected_orders(orders: DataFrame) -> DataFrame:
@@ -103,7 +116,7 @@ def k1_day_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k3_year_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders after a corrected file of the first year was loaded; the other year is untouched."""
     root, tables, _ = _loaded(spark, sf_dir, "k3")
-    mended = _write_years({**tables, "orders": corrected_orders(tables["orders"])}, f"{root}/mended", YEARS[:1])
+    mended = _write_years(spark, {**tables, "orders": corrected_orders(tables["orders"])}, f"{root}/mended", YEARS[:1])
     _load(spark, mended, f"{root}/raw", YEARS[:1])
     orders = read_raw_tables(spark, f"{root}/raw")["orders"]
     return orders.select("load_year", "order_id", "market", "date_planned", "total_weight_tons", "is_completed")
@@ -114,7 +127,7 @@ def k5_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, tables, _ = _loaded(spark, sf_dir, "k5")
     views = register(spark, f"{root}/raw", prefix="k5_")
     try:
-        mended = _write_years({**tables, "orders": corrected_orders(tables["orders"])}, f"{root}/mended", YEARS[:1])
+        mended = _write_years(spark, {**tables, "orders": corrected_orders(tables["orders"])}, f"{root}/mended", YEARS[:1])
         _load(spark, mended, f"{root}/raw", YEARS[:1])
         return spark.sql("SELECT order_id, market, planned_date, total_weight_tons, is_delayed FROM k5_stg_orders WHERE market IS NOT NULL")
     finally:
@@ -125,7 +138,7 @@ def k6_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The production mart as published; a later build whose tests fail is refused."""
     root, tables, _ = _loaded(spark, sf_dir, "k6")
     build_models(spark, f"{root}/raw", f"{root}/models", publish_failed=True)
-    mended = _write_years({**tables, "orders": corrected_orders(tables["orders"])}, f"{root}/mended", YEARS[:1])
+    mended = _write_years(spark, {**tables, "orders": corrected_orders(tables["orders"])}, f"{root}/mended", YEARS[:1])
     _load(spark, mended, f"{root}/raw", YEARS[:1])
     build_models(spark, f"{root}/raw", f"{root}/models")
     return read_models(spark, f"{root}/models")["mart_production_performance"]
@@ -135,7 +148,7 @@ def k7_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Machine health after corrected telemetry, from the partitions that the correction reaches."""
     root, tables, _ = _loaded(spark, sf_dir, "k7")
     build_models(spark, f"{root}/raw", f"{root}/models", publish_failed=True)
-    mended = _write_years({**tables, "telemetry": corrected_telemetry(tables["telemetry"])}, f"{root}/mended", YEARS[1:])
+    mended = _write_years(spark, {**tables, "telemetry": corrected_telemetry(tables["telemetry"])}, f"{root}/mended", YEARS[1:])
     _load(spark, mended, f"{root}/raw", YEARS[1:])
     build_models(spark, f"{root}/raw", f"{root}/models", publish_failed=True)
     return read_models(spark, f"{root}/models")["mart_machine_health"]

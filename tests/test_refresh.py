@@ -9,11 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from millpulse.operators import quality
-from millpulse.plans import pipeline, refresh
+from millpulse.plans import pipeline, refresh, stored
 from millpulse.plans.pipeline import MODEL_LAYOUT, audit, build_models, load_year, read_models, raw_schema
 from millpulse.operators.staging import stage_all
 from millpulse.sinks.snapshots import SnapshotStore
+from millpulse.sources import raw_roles
 from millpulse.sources.schemas import SOURCE_NAMES
+from tests.conftest import SF_SMALL
 from tests.fixtures import ns, reading, small_year, year_files
 
 MACHINES = ["M1", "M2", "M3"]
@@ -195,3 +197,13 @@ def test_loads_read_each_file_once(spark, tmp_path, monkeypatch):
     batch = next(iter(SnapshotStore(spark, f"{tmp_path}/raw").current().tables["telemetry"].values()))
     assert batch.metrics["values.timestamp"] == 4 and batch.metrics["outside.timestamp"] == 0 and batch.metrics["check.machine_id.not_null"] == 0
     assert pipeline.check_years({"telemetry": batch}, 2025) is None
+
+
+def test_corrected_files_are_made_from_written_ones(spark):
+    """The source tables are read and summed up once, not again for every correction."""
+    root, tables, counts = stored._loaded(spark, SF_SMALL, "again")
+    for name, df in tables.items():
+        made = raw_roles.RAW_ROLES[name](spark, SF_SMALL)
+        assert df.dtypes == made.dtypes and all(f"{root}/src/" in f for f in df.inputFiles()), name
+        assert df.exceptAll(made).isEmpty() and made.exceptAll(df).isEmpty(), name
+        assert df.count() == sum(by[name]["raw"] for by in counts.values()), name
