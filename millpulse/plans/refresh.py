@@ -66,9 +66,12 @@ def _prints(pair: list[DataFrame], key: str) -> set:
     """Values of ``key`` whose rows differ between two tables, by their number and the sum of their hashes."""
     sides = [p.withColumn("__side", F.lit(side)) for side, p in zip((1, -1), pair, strict=True)]
     columns = [c for c in pair[0].columns if c != key]
-    h = F.xxhash64(*columns).cast("decimal(38,0)") * F.col("__side")
-    rows = sides[0].unionByName(sides[1]).groupBy(key).agg(F.sum("__side").alias("n"), F.sum(h).alias("h"))
-    return _dates(rows.where("n <> 0 or h <> 0").select(key))
+    h = F.xxhash64(*columns)
+    # the halves of the hashes are summed, each exact in a long up to 2 ** 32 rows
+    halves = {"high": F.shiftright(h, 32), "low": F.shiftright(F.shiftleft(h, 32), 32)}
+    sums = [F.sum(v * F.col("__side")).alias(k) for k, v in halves.items()]
+    rows = sides[0].unionByName(sides[1]).groupBy(key).agg(F.sum("__side").alias("n"), *sums)
+    return _dates(rows.where("n <> 0 or high <> 0 or low <> 0").select(key))
 
 
 @dataclass(frozen=True)
